@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 CHUNK = "_chunk"
 BLOCK = "_block"
 MAX_CHUNKS = 4096
@@ -99,7 +101,8 @@ def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None) -> Da
     heavy = len(points) < 0.75 * (chunks - 1)
     if heavy and len(order) > 1 and sort_image(df, order[1]) is not None:
         sub = chunk_number(sort_image(df, order[1]), cut_points(df, order[1], chunks)) + 1
-        number = number * F.lit(4 * MAX_CHUNKS) + F.when(F.pmod(number, F.lit(2)) == 1, sub).otherwise(F.lit(0))
+        df = df.withColumn(CHUNK, number)
+        number = col(CHUNK) * F.lit(4 * MAX_CHUNKS) + F.when(F.pmod(col(CHUNK), F.lit(2)) == 1, sub).otherwise(F.lit(0))
     return df.withColumn(CHUNK, number)
 
 
@@ -119,55 +122,90 @@ def _order(order: list[str], reverse: bool) -> list[Column]:
 
 
 def running(
-    df: DataFrame, by: list[str], order: list[str], aggs: dict[str, tuple[str, Column]], reverse: bool = False,
+    df: DataFrame, by: list[str], order: list[str], aggs: dict[str, tuple[str, Column | None]], reverse: bool = False,
     chunks: int | None = None,
 ) -> DataFrame:
-    """Add running aggregates from the first row of the group to the current one (from the last, if ``reverse``).
+    """Add aggregates running from the first row of the group to the current one (from the last, if ``reverse``).
+
+    ``aggs`` maps an output name to (kind, column). ``order`` should be a total order within a group. Kinds:
+
+    * sum, count, min, max, product;
+    * last / next: nearest non-null value at or before / at or after the row, of any type;
+    * last_at / next_at: the same as ``struct(v, p)`` with the 0-based group position ``p`` of that value;
+    * position: 0-based position of the row in the group (column ignored).
 
-    ``aggs`` maps an output name to (kind, column); kind is sum, count, min, max, product or last (last non-null).
-    ``order`` should be a total order within a group. Any column type works for ``last``, structs included.
+    All kinds share one shuffle of the rows.
     """
-    inputs = {f"_in_{i}": value for i, (_, value) in enumerate(aggs.values())}
-    work = with_chunk(df.withColumns(inputs), order, chunks)
+    work = with_chunk(df.withColumns({f"_in_{i}": F.lit(1) if x is None else x for i, (_, x) in enumerate(aggs.values())}), order, chunks)
     ties = F.struct(*[col(c) for c in order])
-    local = Window.partitionBy(*[col(k) for k in by], CHUNK).orderBy(*_order(order, reverse))
-    local = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = Window.partitionBy(*[col(k) for k in by]).orderBy(_order([CHUNK], reverse)[0])
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    groups = [col(k) for k in by]
+
+    def local(rev: bool):
+        w = Window.partitionBy(*groups, CHUNK).orderBy(*_order(order, rev))
+        return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def earlier(rev: bool):
+        return Window.partitionBy(*groups).orderBy(*_order([CHUNK], rev)).rowsBetween(Window.unboundedPreceding, -1)
 
-    totals, carries, locals_, outputs = [], [], {}, {}
+    counted = any(kind == "position" or kind.endswith("_at") for kind, _ in aggs.values())
+    totals, carries, locals_, outputs = [F.count(F.lit(1)).alias("_rows")], [], {}, {}
+    base = F.coalesce(F.sum("_rows").over(earlier(reverse)), F.lit(0)).alias("_base")
+    if counted:
+        work = work.withColumn("_rn", F.row_number().over(local(reverse)).cast("long") - 1)
+    place = col("_rn") + F.coalesce(col("_base"), F.lit(0))
     for i, (name, (kind, _)) in enumerate(aggs.items()):
         x, t, c, v = col(f"_in_{i}"), f"_t{i}", f"_c{i}", f"_l{i}"
-        if kind in ("sum", "count"):
-            total, scan, roll = (F.sum(x) if kind == "sum" else F.count(x)), F.sum(t), F.sum(x)
-            roll = F.count(x) if kind == "count" else roll
-            both = F.when(col(c).isNull(), col(v)).when(col(v).isNull(), col(c)).otherwise(col(c) + col(v))
+        rev = reverse != kind.startswith("next")
+        total = None
+        if kind == "position":
+            both = place
+        elif kind in ("sum", "count", "product"):
+            fn = {"sum": F.sum, "count": F.count, "product": F.product}[kind]
+            total, scan, roll = fn(x), (F.product(t) if kind == "product" else F.sum(t)), fn(x)
+            joint = col(c) * col(v) if kind == "product" else col(c) + col(v)
+            both = F.when(col(c).isNull(), col(v)).when(col(v).isNull(), col(c)).otherwise(joint)
         elif kind in ("min", "max"):
             fn, pick = (F.min, F.least) if kind == "min" else (F.max, F.greatest)
             total, scan, roll, both = fn(x), fn(t), fn(x), pick(col(c), col(v))
-        elif kind == "product":
-            total, scan, roll = F.product(x), F.product(t), F.product(x)
-            both = F.when(col(c).isNull(), col(v)).when(col(v).isNull(), col(c)).otherwise(col(c) * col(v))
-        elif kind == "last":
-            edge = F.min_by if reverse else F.max_by
-            total = edge(x, F.when(x.isNotNull(), ties))
-            scan, roll, both = F.last(t, True), F.last(x, True), F.coalesce(col(v), col(c))
+        elif kind in ("last", "next", "last_at", "next_at"):
+            at = kind.endswith("_at")
+            value = F.when(x.isNotNull(), F.struct(x.alias("v"), col("_rn").alias("p"))) if at else x
+            total = (F.min_by if rev else F.max_by)(value, F.when(x.isNotNull(), ties))
+            moved = lambda name, by_: F.struct(col(name)["v"].alias("v"), (col(name)["p"] + by_).alias("p"))
+            scan = F.last(F.when(col(t).isNotNull(), moved(t, col("_base"))) if at else col(t), True)
+            roll = F.last(value, True)
+            here = F.when(col(v).isNotNull(), moved(v, F.coalesce(col("_base"), F.lit(0)))) if at else col(v)
+            both = F.coalesce(here, col(c))
         else:
             raise ValueError(kind)
-        totals.append(total.alias(t))
-        carries.append(scan.over(before).alias(c))
-        locals_[v] = roll.over(local)
+        if total is not None:
+            totals.append(total.alias(t))
+            carries.append(scan.over(earlier(rev)).alias(c))
+            locals_[v] = roll.over(local(rev))
         outputs[name] = F.when(has_group(by), both) if by else both
 
     keys = [*by, CHUNK]
-    summary = work.groupBy(*[col(k) for k in keys]).agg(*totals).select(*[col(k) for k in keys], *carries)
+    summary = work.groupBy(*[col(k) for k in keys]).agg(*totals)
+    if counted:
+        summary = summary.select("*", base)
+    summary = summary.select(*[col(k) for k in keys], *([col("_base")] if counted else []), *carries)
     joined = equi_join(work.withColumns(locals_), summary, keys)
     return joined.withColumns(outputs).select(*[col(c) for c in dict.fromkeys([*df.columns, *aggs])])
 
 
 def position(df: DataFrame, by: list[str], order: list[str], name: str = "_pos", reverse: bool = False) -> DataFrame:
     """0-based row position within the group, without putting the group into one task."""
-    return running(df, by, order, {name: ("count", F.lit(1))}, reverse).withColumn(name, col(name) - 1)
+    return running(df, by, order, {name: ("position", None)}, reverse)
+
+
+def settle(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write a small intermediate table to the shared scratch folder and read it back.
+
+    Used where a result is read several times (cut points, summary, rows), so what lies above it runs once.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def halo_blocks(df: DataFrame, pos: Column, size: int, before: int, after: int) -> DataFrame:
