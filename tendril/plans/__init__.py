@@ -1 +1,9 @@
+"""Registered queries, one module per group."""
 
+from importlib import import_module
+from pkgutil import iter_modules
+
+
+def load_all() -> None:
+    for module in iter_modules(__path__):
+        import_module(f"{__name__}.{module.name}")
