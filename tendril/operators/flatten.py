@@ -1,7 +1,7 @@
 """Nested notice documents to flat columns.
 
-Two ways with the same result: ``flatten_any`` keeps every path of a document it has never seen (a vectorised Python
-helper), ``flatten_declared`` reads a known list of paths with Spark's own XML parser and stays in the JVM.
+Two ways with the same result: ``flatten_any`` keeps every path of a document it has never seen (a Python
+helper over Arrow batches), ``flatten_declared`` reads a known list of paths with Spark's own XML parser and stays in the JVM.
 
 A path joins element and attribute names with ``__``. Paragraph elements (P) count towards their parent's path, font
 elements (FT) are dropped together with their text, empty elements give nothing, and the values of one path keep
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from xml.parsers import expat
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +21,6 @@ from .ordered import col
 
 SEP = "__"
 PATHS = "map<string,array<string>>"
-FLAT = f"struct<header: {PATHS}, forms: array<{PATHS}>, error: string>"
 HEADER_SECTIONS = ("CODIF_DATA", "NOTICE_DATA")
 SKIPPED = ("URI_LIST",)
 
@@ -30,66 +28,76 @@ SKIPPED = ("URI_LIST",)
 def _scan(text: str, wanted: frozenset | None) -> tuple[dict, list[dict]]:
     """Header and form path maps of one document, in one pass over its tags."""
     header, forms = {}, []
-    stack = []  # (element, path of its content, path of its own text, map it belongs to, text pieces)
+    stack = [(None, None, None, None, None)]  # (element, path of its content, path of its own text, map it fills, text pieces)
 
     def add(out, path, value):
-        if out is not None and value and (wanted is None or path in wanted):
+        if value and (wanted is None or path in wanted):
             out.setdefault(path, []).append(value)
 
     def start(name, attrs):
-        parent = stack[-1] if stack else (None, None, None, None, None)
-        names = [s[0] for s in stack]
-        out, base = parent[3], parent[1]
-        if name in ("FT", *SKIPPED) or parent[1] is False:
-            stack.append((name, False, None, None, []))
-            return
-        if out is None:
-            if name in HEADER_SECTIONS and names[-1:] == ["CODED_DATA_SECTION"]:
-                stack.append((name, "", "", header, []))
-            elif names[-1:] == ["FORM_SECTION"]:
-                forms.append({})
-                stack.append((name, "", "", forms[-1], []))
-                for key, value in attrs.items():
-                    add(forms[-1], key, value)
-            else:
-                stack.append((name, None, None, None, []))
+        parent, base, _, out, _ = stack[-1]
+        if out is not None:
+            if name == "FT" or name in SKIPPED:
+                stack.append((name, None, None, None, None))
+                return
+            path = base + SEP + name if base else name
+            stack.append((name, path, base if name == "P" else path, out, []))
+        elif parent == "CODED_DATA_SECTION" and name in HEADER_SECTIONS:
+            path, out = "", header
+            stack.append((name, "", "", header, []))
+        elif parent == "FORM_SECTION":
+            path, out = "", {}
+            forms.append(out)
+            stack.append((name, "", "", out, []))
+        else:
+            # outside the flattened sections; a dropped element hides the names below it
+            stack.append((None if parent in ("FT", *SKIPPED, None) and len(stack) > 1 else name, None, None, None, None))
             return
-        path = base + SEP + name if base else name
-        stack.append((name, path, base if name == "P" else path, out, []))
         for key, value in attrs.items():
-            add(out, path + SEP + key, value)
+            add(out, path + SEP + key if path else key, value)
 
     def data(piece):
-        if stack:
-            stack[-1][4].append(piece)
+        pieces = stack[-1][4]
+        if pieces is not None:
+            pieces.append(piece)
 
     def end(_):
         _, _, own, out, pieces = stack.pop()
-        if own:
+        if own and pieces:
             add(out, own, "".join(pieces).strip())
 
     parser = expat.ParserCreate()
+    parser.buffer_text = True
     parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
     parser.Parse(text, True)
     return header, forms
 
 
-def flatten_any(text: Column, paths: list[str] | None = None) -> Column:
-    """struct(header, forms, error) of a document; ``paths`` drops everything else inside the helper."""
+def flatten_any(docs: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """file, date, header, forms and error of each document, each parsed once; ``paths`` drops all else in the helper."""
     wanted = frozenset(paths) if paths is not None else None
 
-    @F.pandas_udf(FLAT)
-    def flat(docs: pd.Series) -> pd.DataFrame:
-        rows = []
-        for doc in docs:
-            try:
-                header, forms = _scan(doc, wanted)
-                rows.append((header, forms, None))
-            except (expat.ExpatError, TypeError) as problem:
-                rows.append((None, None, str(problem)))
-        return pd.DataFrame(rows, columns=["header", "forms", "error"])
-
-    return flat(text)
+    def flat(batches):
+        import pyarrow as pa
+
+        items = pa.map_(pa.string(), pa.list_(pa.string()))
+        for batch in batches:
+            headers, forms, errors = [], [], []
+            for doc in batch.column("value").to_pylist():
+                try:
+                    header, found = _scan(doc, wanted)
+                    headers.append(list(header.items()))
+                    forms.append([list(form.items()) for form in found])
+                    errors.append(None)
+                except (expat.ExpatError, TypeError) as problem:
+                    headers.append(None)
+                    forms.append(None)
+                    errors.append(str(problem))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("file"), batch.column("date"), pa.array(headers, items), pa.array(forms, pa.list_(items)), pa.array(errors, pa.string())],
+                ["file", "date", "header", "forms", "error"])
+
+    return docs.select("file", "date", "value").mapInArrow(flat, f"file string, date string, header {PATHS}, forms array<{PATHS}>, error string")
 
 
 def document_type(text: Column) -> Column:
@@ -196,15 +204,57 @@ def notice_rows(
     types = S.DOCUMENT_TYPES if types is None else types
     kept = docs.filter(document_type(col("value")).isin(types)) if types else docs
     wanted = None if paths is None else [*paths, "LG", "TD_DOCUMENT_TYPE"]
-    flat = kept.select("file", "date", flatten_any(col("value"), wanted).alias("_f"))
-    rows = flat.filter("_f.error is null").select("file", "date", "_f.header", "_f.forms")
+    rows = flatten_any(kept, wanted).filter("error is null").drop("error")
     return pick_language(rows, language, strict).drop("forms")
 
 
+def notice_columns(docs: DataFrame, paths: list[str], language: str | None = "EN", types: list[str] | None = None, strict: bool = False) -> DataFrame:
+    """Like ``notice_rows`` for a known list of paths: one list column per path, header values before the form's.
+
+    The paths become columns inside the helper, so no map travels through the plan and later projections stay cheap.
+    """
+    types = S.DOCUMENT_TYPES if types is None else types
+    kept = docs.filter(document_type(col("value")).isin(types)) if types else docs
+    names = list(dict.fromkeys(paths))
+    wanted = frozenset([*names, "LG"])
+
+    def flat(batches):
+        import pyarrow as pa
+
+        texts = pa.list_(pa.string())
+        for batch in batches:
+            source, number, total, language_, cells = [], [], [], [], [[] for _ in names]
+            for i, doc in enumerate(batch.column("value").to_pylist()):
+                try:
+                    header, forms = _scan(doc, wanted)
+                except (expat.ExpatError, TypeError):
+                    continue
+                for k, form in enumerate(forms):
+                    source.append(i)
+                    number.append(k)
+                    total.append(len(forms))
+                    language_.append(form.get("LG", [None])[0])
+                    for column, name in zip(cells, names):
+                        head, own = header.get(name), form.get(name)
+                        column.append(head + own if head and own else head or own)
+            picked = batch.select(["file", "date"]).take(pa.array(source, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*picked.columns, pa.array(number, pa.int32()), pa.array(total, pa.int32()), pa.array(language_, pa.string()), *[pa.array(c, texts) for c in cells]],
+                ["file", "date", "form_no", "n_forms", "_lg", *names])
+
+    kind = T.StructType([
+        T.StructField("file", T.StringType()), T.StructField("date", T.StringType()), T.StructField("form_no", T.IntegerType()),
+        T.StructField("n_forms", T.IntegerType()), T.StructField("_lg", T.StringType()), *[T.StructField(n, T.ArrayType(T.StringType())) for n in names]])
+    rows = kept.select("file", "date", "value").mapInArrow(flat, kind)
+    if language is not None:
+        same = F.coalesce(col("_lg") == language, F.lit(False))
+        rows = rows.filter(same if strict else (col("n_forms") == 1) | same)
+    return rows.drop("n_forms", "_lg")
+
+
 def broken_documents(docs: DataFrame) -> DataFrame:
     """Documents the parser rejects, with its message."""
-    flat = docs.select("file", "date", flatten_any(col("value"), []).alias("_f"))
-    return flat.filter("_f.error is not null").select("file", "date", F.col("_f.error").alias("error"))
+    return flatten_any(docs, []).filter("error is not null").select("file", "date", "error")
 
 
 def shallow(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from .flatten import path_values
 from .ordered import col
 
 
@@ -37,18 +36,16 @@ def to_eur(df: DataFrame, rates: DataFrame, value: str, currency: str, name: str
 
 
 def extracted(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """The fixed columns, then the MAIN_ columns, from ``notice_rows`` output. Absent paths give null columns."""
-    old = lambda suffix: (path_values(S.OLD_SINGLE_VALUE + suffix), path_values(S.OLD_RANGE_VALUE + suffix))
-    values = {c: path_values(c) for c in S.COLUMNS if c not in S.DERIVED}
-    values["VALUES__VALUE"] = with_fallback(values["VALUES__VALUE"], *old(""))
-    missing = path_values("VALUES__VALUE").isNull()
-    values["VALUES__VALUE__CURRENCY"] = F.when(missing, with_fallback(F.lit(None), *old("__CURRENCY"))).otherwise(values["VALUES__VALUE__CURRENCY"])
-    values["ORIGINAL_CPV_CODE"] = F.try_element_at(F.col("header"), F.lit("ORIGINAL_CPV__CODE"))
-    values["ORIGINAL_CPV_TEXT"] = F.try_element_at(F.col("header"), F.lit("ORIGINAL_CPV"))
+    """The fixed columns, then the MAIN_ columns, from ``notice_columns`` output over ``schema.source_paths()``."""
+    values = {c: col(c) for c in S.COLUMNS if c not in S.DERIVED}
+    single, range_ = S.OLD_SINGLE_VALUE, S.OLD_RANGE_VALUE
+    values["VALUES__VALUE"] = with_fallback(col("VALUES__VALUE"), col(single), col(range_))
+    older = F.coalesce(col(single + "__CURRENCY"), F.slice(col(range_ + "__CURRENCY"), 1, 1))
+    values["VALUES__VALUE__CURRENCY"] = F.when(col("VALUES__VALUE").isNull(), older).otherwise(col("VALUES__VALUE__CURRENCY"))
+    values["ORIGINAL_CPV_CODE"], values["ORIGINAL_CPV_TEXT"] = col("ORIGINAL_CPV__CODE"), col("ORIGINAL_CPV")
     flat = {c: as_declared(v, c) for c, v in values.items()}
     flat["DATE"], flat["YEAR"], flat["FILE"] = F.col("date"), F.substring("date", 1, 4), F.col("file")
-    reference = F.try_element_at(F.col("header"), F.lit("REF_NOTICE__NO_DOC_OJS"))
-    flat["REF_NO"] = F.coalesce(F.array_join(reference, ";"), F.lit(""))
+    flat["REF_NO"] = F.coalesce(F.array_join("REF_NOTICE__NO_DOC_OJS", ";"), F.lit(""))
     table = rows.select(*[v.alias(c) for c, v in flat.items()])
     table = to_eur(table, rates, "VALUES__VALUE", "VALUES__VALUE__CURRENCY")
     return table.select(*[col(c) for c in S.COLUMNS], *[F.try_element_at(col(c), F.lit(1)).alias(n) for c, n in S.FIRST_NAMES.items()])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import flatten as fl
 from ..operators import normalize as nz
-from ..operators.ordered import col
+from ..operators.ordered import col, settle
 from ..operators.profile import columns_like, drop_empty_columns
 from ..sources import packages as pk
 from .registry import query
@@ -28,7 +28,10 @@ SQL_FIELDS = _FIELDS.format(pad="lpad", text="VARCHAR", date="strftime", ymd="%Y
 
 
 def fields(t) -> DataFrame:
-    return t.orders.selectExpr(*[x for x in _split(SPARK_FIELDS)])
+    # the narrow source rows are spread over all tasks before the wide texts are made from them
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    parts = max(t.spark.sparkContext.defaultParallelism, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(parts, "o_orderkey").selectExpr(*_split(SPARK_FIELDS))
 
 
 def _split(text: str) -> list[str]:
@@ -62,7 +65,8 @@ def documents(t) -> DataFrame:
              WHEN 'both' THEN concat({form('FR', 'Titre')}, {form('EN', 'Title')}) ELSE {form('EN', 'Title')} END,
         '</FORM_SECTION></NOTICE_EXPORT>')"""
     made = fields(t).withColumn("old_value", F.expr(old))
-    return made.selectExpr("concat(id, '_', y, '.xml') AS file", "d AS date", f"{text} AS value")
+    # stored like an unpacked archive, so that what follows reads texts instead of composing them again
+    return settle(made.selectExpr("concat(id, '_', y, '.xml') AS file", "d AS date", f"{text} AS value"), "documents")
 
 
 def rates(spark) -> DataFrame:
@@ -162,13 +166,13 @@ def _extracted_sql() -> str:
 @query("a26_extracted_table", _extracted_sql())
 def extracted_table(t):
     """All fixed columns and the MAIN_ ones (without VALUE_EUR, which a38 checks as a number)."""
-    return nz.extracted(fl.notice_rows(documents(t), paths=S.source_paths()), rates(t.spark)).drop("VALUE_EUR")
+    return nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark)).drop("VALUE_EUR")
 
 
 @query("a38_value_in_euro", SRC + """
     SELECT file, cur AS currency, CASE cur WHEN 'EUR' THEN amount END AS unchanged, round(CASE cur WHEN 'EUR' THEN price WHEN 'SEK' THEN price / 10.5 WHEN 'GBP' THEN price / 0.85 END + 1e-7, 4) AS eur FROM f""")
 def value_in_euro(t):
-    rows = nz.extracted(fl.notice_rows(documents(t), paths=S.source_paths()), rates(t.spark))
+    rows = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
     eur, cur = F.col("VALUE_EUR"), F.col("VALUES__VALUE__CURRENCY")
     return rows.select(F.col("FILE").alias("file"), cur.alias("currency"), F.when(cur == "EUR", eur).alias("unchanged"), F.round(eur.try_cast("double") + 1e-7, 4).alias("eur"))
 
@@ -228,14 +232,14 @@ def list_rules(t):
 
 @query("a29_drop_empty_columns", SRC + "SELECT file AS FILE, lg AS LG, CASE WHEN k % 5 > 1 THEN 'T' END AS VALUES__VALUE__TYPE FROM f")
 def drop_empty(t):
-    table = nz.extracted(fl.notice_rows(documents(t), paths=S.source_paths()), rates(t.spark))
+    table = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
     return drop_empty_columns(table.select("FILE", "LG", "VALUES__VALUE__TYPE", "HEADING", "AWARD_CONTRACT__ITEM"))
 
 
 @query("a30_merged_mapping", SRC + """
     SELECT file, cast(d[1:4] AS VARCHAR) AS year, round(amount::FLOAT::DOUBLE, 1) AS values__value, lg_ok AS lg_orig, CASE WHEN k % 5 > 1 THEN 'T' END AS values__value__type FROM (SELECT *, ['EN'] AS lg_ok FROM f)""")
 def merged_mapping(t):
-    table = nz.merged(nz.extracted(fl.notice_rows(documents(t), paths=S.source_paths()), rates(t.spark)))
+    table = nz.merged(nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark)))
     return table.select("file", "year", F.round(F.col("values__value").cast("double"), 1).alias("values__value"), "lg_orig", "values__value__type")
 
 
@@ -270,13 +274,13 @@ def paragraph_join(t):
 
 @query("a34_empty_string_fill", SRC + "SELECT file AS FILE, coalesce(CASE WHEN k % 5 > 1 THEN 'T' END, '') AS VALUES__VALUE__TYPE, '' AS HEADING FROM f")
 def empty_string_fill(t):
-    table = nz.extracted(fl.notice_rows(documents(t), paths=S.source_paths()), rates(t.spark))
+    table = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
     return table.select("FILE", "VALUES__VALUE__TYPE", "HEADING").na.fill("")
 
 
 @query("a35_columns_by_substring", SRC + "SELECT amount AS VALUES__VALUE, cur AS VALUES__VALUE__CURRENCY, CASE WHEN k % 5 > 1 THEN 'T' END AS VALUES__VALUE__TYPE, file AS FILE FROM f")
 def columns_by_substring(t):
-    table = nz.extracted(fl.notice_rows(documents(t), paths=S.source_paths()), rates(t.spark))
+    table = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
     return table.select("FILE", *[col(c) for c in columns_like(table, "VALUES__VALUE") if not c.startswith("AWARD")])
 
 
@@ -365,8 +369,8 @@ def first_packages(t):
 
 
 @query("a43_year_month_folders", """
-    SELECT y AS year, lpad(m::VARCHAR, 2, '0') AS month, coalesce(n, 0) AS n FROM (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate))))::INT AS y FROM orders),
-      (SELECT unnest(generate_series(1, 12)) AS m) LEFT JOIN (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1, 2) USING (y, m)""")
+    SELECT y AS year, lpad(m::VARCHAR, 2, '0') AS month, coalesce(n, 0) AS n FROM (SELECT * FROM (SELECT unnest(generate_series(min(year(o_orderdate)), max(year(o_orderdate))))::INT AS y FROM orders),
+      (SELECT unnest(generate_series(1, 12)) AS m)) LEFT JOIN (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1, 2) USING (y, m)""")
 def year_month_folders(t):
     lo, hi = t.orders.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
     folders = pk.year_month_folders(t.spark, lo, hi)

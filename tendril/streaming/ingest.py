@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.flatten import notice_rows
+from .. import schema as S
+from ..operators.flatten import notice_columns
 from ..operators.normalize import extracted
 from ..session import prepare
 
@@ -23,7 +24,7 @@ def document_stream(spark: SparkSession, root: str, files_per_trigger: int = 100
 
 def notice_table(docs: DataFrame, rates: DataFrame, **choice) -> DataFrame:
     """The extracted table of a document table or stream; stateless, so batch and stream share it."""
-    return extracted(notice_rows(docs, **choice), rates)
+    return extracted(notice_columns(docs, S.source_paths(), **choice), rates)
 
 
 def run_routed(
