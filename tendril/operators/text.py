@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import strip_accents
@@ -25,14 +25,17 @@ def word_tokens(text):
     return F.regexp_extract_all(strip_accents(F.lower(text)), F.lit(r"(?U)\b\w+\b"), F.lit(0))
 
 
+def _grams(words: Column, n: int) -> Column:
+    """Runs of n neighbouring words."""
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+
 def terms(df: DataFrame, key: str, text: str, stop_words: list[str], longest: int = 3) -> DataFrame:
     """(key, term): n-grams up to ``longest`` words over each text's words after stop-word removal."""
     words = F.filter(word_tokens(col(text)), lambda w: ~w.isin(stop_words)) if stop_words else word_tokens(col(text))
     tokens = df.select(col(key), words.alias("w"))
-    grams = [F.col("w")]
-    for n in range(2, longest + 1):
-        starts = F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1)).otherwise(F.array().cast("array<int>"))
-        grams.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(F.col("w"), i, n), " ")))
+    grams = [F.col("w")] + [_grams(F.col("w"), n) for n in range(2, longest + 1)]
     return tokens.select(key, F.explode(F.concat(*grams)).alias("term"))
 
 
