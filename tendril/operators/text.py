@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import strip_accents
-from .ordered import col
+from .ordered import col, settle
 
 
 def language_subset(df: DataFrame, language: str, column: str = "lang") -> DataFrame:
@@ -49,11 +49,12 @@ def tf_idf(df: DataFrame, key: str, text: str, stop_words: list[str] = (), min_d
     A frequent term occurs in most texts, so its rows are dealt over ``salts`` copies of its one frequency row.
     """
     counts = terms(df, key, text, list(stop_words), longest).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = settle(counts, "terms")  # read for frequencies and for weights; texts are cut into terms once
     n = df.count()
     weights = document_frequencies(counts, min_df).select("term", (F.log((1 + n) / (1 + col("df"))) + 1).alias("idf"))
     copies = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     dealt = counts.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    raw = dealt.join(copies, ["term", "_salt"]).select(key, "term", ((1 + F.log("tf")) * col("idf")).alias("_w"))
+    raw = settle(dealt.join(copies, ["term", "_salt"]).select(key, "term", ((1 + F.log("tf")) * col("idf")).alias("_w")), "weights")
     norms = raw.groupBy(key).agg(F.sqrt(F.sum(col("_w") * col("_w"))).alias("_norm"))
     return raw.join(norms, key).select(key, "term", (col("_w") / col("_norm")).alias("weight"))
 
