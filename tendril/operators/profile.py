@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import col, equi_join
+from .ordered import col, equi_join, settle
 
 
 def _is_empty(c: str) -> Column:
@@ -78,8 +78,9 @@ def redundant_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Ordered pairs of columns whose values map one to one (null counts as a value).
 
     Column a determines b when b has one value per value of a. One grouped min/max pass per column answers that for all
-    partners at once; factor codes of such a pair agree row by row, so their correlation is 1.
+    partners at once, over the distinct combinations of values; factor codes of such a pair agree row by row, so their correlation is 1.
     """
+    df = settle(df.select(*[col(c) for c in columns]).distinct(), "combinations")
     marked = {c: F.struct(col(c).isNull(), col(c)) for c in columns}
     passes = []
     for a in columns:

@@ -14,27 +14,35 @@ def rank(
 ) -> DataFrame:
     """Rank of ``column`` within the group: average, min, max, dense or first (``tie`` gives the order of appearance).
 
-    Equal values are counted before anything is ordered, so a value repeated a billion times is one row of the scan.
     ``nulls``: keep (null rank), top (before all others) or bottom.
     """
     if method == "first":
         return _rank_first(df, by, column, name, ascending, pct, nulls, tie)
+    return rank_by_methods(df, by, column, {name: method}, ascending, pct, nulls)
+
+
+def rank_by_methods(
+    df: DataFrame, by: list[str], column: str, methods: dict[str, str], ascending: bool = True, pct: bool = False, nulls: str = "keep"
+) -> DataFrame:
+    """Several rank methods (name -> average, min, max or dense) from one scan.
+
+    Equal values are counted before anything is ordered, so a value repeated a billion times is one row of the scan.
+    """
     keys = [*by, column]
     known = df if nulls != "keep" else df.filter(col(column).isNotNull())
     counts = known.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    first = _null_class(column, nulls, ascending)
-    counts = settle(counts.withColumn("_class", first), "rank")
+    counts = settle(counts.withColumn("_class", _null_class(column, nulls, ascending)), "rank")
     aggs = {"_upto": ("sum", col("_n")), "_dense": ("count", F.lit(1))}
-    scanned = running(counts, by, [column, "_class"] if nulls == "keep" else ["_class", column], aggs, reverse=not ascending)
+    scanned = running(counts, by, [column] if nulls == "keep" else ["_class", column], aggs, reverse=not ascending)
     low, high = col("_upto") - col("_n") + 1, col("_upto")
-    value = {"average": (low + high) / 2, "min": low, "max": high, "dense": col("_dense")}[method]
-    table = scanned.select(*[col(k) for k in keys], value.alias(name))
+    value = {"average": (low + high) / 2, "min": low, "max": high, "dense": col("_dense")}
+    table = scanned.select(*[col(k) for k in keys], *[value[m].alias(n) for n, m in methods.items()])
     if pct:
         # dense pct divides by the number of distinct values, the others by the number of rows
-        size = F.count(F.lit(1)) if method == "dense" else F.sum("_n")
-        sizes = counts.groupBy(*[col(k) for k in by]).agg(size.alias("_size"))
+        sizes = counts.groupBy(*[col(k) for k in by]).agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
         table = equi_join(table, sizes, by) if by else table.join(F.broadcast(sizes))  # one row without groups
-        table = table.withColumn(name, col(name) / col("_size")).drop("_size")
+        shares = {n: col(n) / (col("_values") if m == "dense" else col("_rows")) for n, m in methods.items()}
+        table = table.withColumns(shares).drop("_rows", "_values")
     if nulls == "keep":
         return equi_join(df, table, keys)
     marked = table.withColumn(column + "_null", col(column).isNull()).withColumn(column, _no_null(table, column))

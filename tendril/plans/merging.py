@@ -230,7 +230,7 @@ def listed_pairs(t):
     size = F.expr("cast(l_linenumber % 3 + 1 as int)")
     services = F.when(F.col("l_linenumber") == 4, F.array(F.lit("x"), F.lit("y"))).otherwise(F.slice(F.array("l_returnflag", "l_linestatus", F.lit("Z")), F.lit(1), size))
     names = F.slice(F.array(*[F.concat(F.lit(p), "l_suppkey") for p in "ABC"]), F.lit(1), size)
-    listed = t.lineitem.select(text(services).alias("service"), F.when(F.col("l_linenumber") == 5, "[null]").otherwise(text(names)).alias("contractor"))
+    listed = t.spread("lineitem").select(text(services).alias("service"), F.when(F.col("l_linenumber") == 5, "[null]").otherwise(text(names)).alias("contractor"))
     return rec.listed_pairs(listed).groupBy("service", "contractor").agg(F.count("*").alias("n"))
 
 
@@ -299,13 +299,13 @@ def html_tables_of_orders(t):
     """One page per order with a small table, read back row by row."""
     page = F.concat(F.lit("<html><body><p>x</p><table><tr><th>Field</th><th>Value</th></tr><tr><td>Status &amp; kind</td><td>"), "o_orderstatus",
                     F.lit("</td></tr><tr><td>Priority</td><td><b>"), "o_orderpriority", F.lit("</b></td></tr></table></body></html>"))
-    return html_tables(t.orders.select("o_orderkey", page.alias("html")), "o_orderkey", "html")
+    return html_tables(t.spread("orders").select("o_orderkey", page.alias("html")), "o_orderkey", "html")
 
 
 @query("b86_html_tables_of_pages", """
     SELECT count(*) AS n_pages, sum(len(regexp_extract_all(lower(html), '<table[ >]')))::BIGINT AS n_tables FROM pages""")
 def html_tables_of_pages(t):
-    found = html_tables(t.pages, "page_id", "html").select("page_id", "table_no").distinct()
+    found = html_tables(t.spread("pages"), "page_id", "html").select("page_id", "table_no").distinct()
     # two one-row counts
     return t.pages.agg(F.count("*").alias("n_pages")).join(F.broadcast(found.agg(F.count("*").alias("n_tables"))))
 

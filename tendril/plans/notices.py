@@ -28,10 +28,7 @@ SQL_FIELDS = _FIELDS.format(pad="lpad", text="VARCHAR", date="strftime", ymd="%Y
 
 
 def fields(t) -> DataFrame:
-    # the narrow source rows are spread over all tasks before the wide texts are made from them
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    parts = max(t.spark.sparkContext.defaultParallelism, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
-    return rows.repartition(parts, "o_orderkey").selectExpr(*_split(SPARK_FIELDS))
+    return t.spread("orders").selectExpr(*_split(SPARK_FIELDS))
 
 
 def _split(text: str) -> list[str]:

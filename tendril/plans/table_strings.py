@@ -69,13 +69,13 @@ def strip_pad(t):
 
 @query("b72_unicode_normalise_and_fold", "SELECT doc_id, nfc_normalize(text) AS nfc, strip_accents(text) AS folded FROM documents WHERE lang = 'fr'")
 def unicode_normalise(t):
-    french = t.documents.filter("lang = 'fr'")
+    french = t.spread("documents").filter("lang = 'fr'")
     return french.select("doc_id", S.normalize(F.col("text")).alias("nfc"), S.strip_accents(F.col("text")).alias("folded"))
 
 
 @query("b72_wrap")
 def wrap(t):
-    return t.documents.select("doc_id", S.wrap(F.col("text"), 72).alias("wrapped"))
+    return t.spread("documents").select("doc_id", S.wrap(F.col("text"), 72).alias("wrapped"))
 
 
 @query("b73_find_rfind", """

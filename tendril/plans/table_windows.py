@@ -28,9 +28,7 @@ def _events(t):
     FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_quantity)""")
 def rank_methods(t):
     out = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
-    for m in ("average", "min", "max", "dense"):
-        out = ranks.rank(out, ["l_returnflag"], "l_quantity", f"r_{m}", m)
-    return out
+    return ranks.rank_by_methods(out, ["l_returnflag"], "l_quantity", {f"r_{m}": m for m in ("average", "min", "max", "dense")})
 
 
 @query("b42_rank_first_descending_pct", """
