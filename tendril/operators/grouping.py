@@ -83,7 +83,7 @@ def flag_duplicates(df: DataFrame, subset: list[str], order: list[str], keep: st
     place = F.struct(*[col(c) for c in order])
     pick = (F.max if keep == "last" else F.min)(place)
     kept = df.groupBy(*[col(c) for c in subset]).agg(pick.alias("_kept"), F.count(F.lit(1)).alias("_n"))
-    marked = equi_join(df, kept, subset)  # rows with a null in the subset must be filled or filtered by the caller
+    marked = equi_join(df, kept, subset, null_safe=True)
     flag = (col("_n") > 1) if keep is False else (place != col("_kept"))
     return marked.withColumn(name, flag).drop("_kept", "_n")
 

@@ -110,10 +110,11 @@ def has_group(by: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [col(k).isNotNull() for k in by], F.lit(True))
 
 
-def equi_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def equi_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", null_safe: bool = False) -> DataFrame:
     """Join on equally named keys keeping the left copy."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = reduce(lambda a, b: a & b, [col(k) == col(f"_r_{k}") for k in keys])
+    match = lambda k: col(k).eqNullSafe(col(f"_r_{k}")) if null_safe else col(k) == col(f"_r_{k}")
+    cond = reduce(lambda a, b: a & b, [match(k) for k in keys])
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 

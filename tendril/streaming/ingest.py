@@ -16,8 +16,8 @@ from ..session import prepare
 
 def document_stream(spark: SparkSession, root: str, files_per_trigger: int = 1000) -> DataFrame:
     """New XML files below a folder, whole text per row; files already taken are remembered by the checkpoint."""
-    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml")
-    text = reader.option("maxFilesPerTrigger", files_per_trigger).text(root)
+    reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml")
+    text = reader.option("maxFilesPerTrigger", files_per_trigger).text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     return text.select(F.col("_metadata.file_name").alias("file"), F.regexp_extract(path, r"(\d{8})_[^/]*/[^/]*$", 1).alias("date"), "value")
 
