@@ -92,18 +92,28 @@ def chunk_number(x: Column, points: list) -> Column:
     return F.when(x.isNull(), -1).otherwise(number).cast("long")
 
 
-def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None) -> DataFrame:
-    """Add an order-preserving chunk number; a chunk made of one repeated value is cut again by the second column."""
+def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None, levels: int = 4) -> DataFrame:
+    """Add an order-preserving chunk number.
+
+    Where the first column repeats a few values, each of them is a chunk of its own (an odd number); such chunks are cut
+    again along the next column, and so on, so ties are split as far as the order columns can split them.
+    """
     chunks = chunks or chunk_count(df)
-    image = sort_image(df, order[0])
-    points = cut_points(df, order[0], chunks)
-    number = chunk_number(col(order[0]) if image is None else image, points)
-    heavy = len(points) < 0.75 * (chunks - 1)
-    if heavy and len(order) > 1 and sort_image(df, order[1]) is not None:
-        sub = chunk_number(sort_image(df, order[1]), cut_points(df, order[1], chunks)) + 1
-        df = df.withColumn(CHUNK, number)
-        number = col(CHUNK) * F.lit(4 * MAX_CHUNKS) + F.when(F.pmod(col(CHUNK), F.lit(2)) == 1, sub).otherwise(F.lit(0))
-    return df.withColumn(CHUNK, number)
+    columns = df.columns
+    for depth, name in enumerate(order[:levels]):
+        points = cut_points(df, name, chunks)
+        image = sort_image(df, name)
+        number = chunk_number(col(name) if image is None else image, points)
+        if depth == 0:
+            df = df.withColumns({CHUNK: number, "_part": number})
+        else:
+            part = F.when(F.pmod(col("_part"), F.lit(2)) == 1, number + 1).otherwise(F.lit(0))
+            df = df.withColumn("_next", part)
+            # a part cut at this level may be cut again only inside a single value of this column
+            df = df.withColumns({CHUNK: col(CHUNK) * F.lit(4 * MAX_CHUNKS) + col("_next"), "_part": F.when(col("_next") > 0, col("_next") - 1).otherwise(F.lit(0))})
+        if len(points) >= 0.75 * (chunks - 1):
+            break
+    return df.select(*[col(c) for c in columns], CHUNK)
 
 
 def has_group(by: list[str]) -> Column:

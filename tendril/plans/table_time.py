@@ -26,11 +26,11 @@ def resample_right_closed(t):
 
 
 @query("b51_monthly_grouper", """
-    WITH b AS (SELECT o_orderstatus, date_trunc('month', o_orderdate)::TIMESTAMP AS o_orderdate, round(avg(o_totalprice), 2) AS mean FROM orders GROUP BY 1, 2),
+    WITH b AS (SELECT o_orderstatus, date_trunc('month', o_orderdate)::TIMESTAMP AS o_orderdate, round(avg(o_totalprice) + 1e-6, 4) AS mean FROM orders GROUP BY 1, 2),
          e AS (SELECT o_orderstatus, unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 MONTH)) AS o_orderdate FROM b GROUP BY 1)
     SELECT * FROM e LEFT JOIN b USING (o_orderstatus, o_orderdate)""")
 def monthly_grouper(t):
-    return rs.resample(t.orders, ["o_orderstatus"], "o_orderdate", "month", {"mean": F.round(F.avg("o_totalprice"), 2)})
+    return rs.resample(t.orders, ["o_orderstatus"], "o_orderdate", "month", {"mean": F.round(F.avg("o_totalprice") + 1e-6, 4)})
 
 
 _UP = """

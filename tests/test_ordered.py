@@ -84,6 +84,16 @@ def test_no_chunk_holds_the_hot_group(df, pdf):
     assert sizes["count"].max() < 0.25 * (pdf.g == "hot").sum()
 
 
+def test_ties_are_cut_along_later_columns(spark):
+    """One value of the first column, a string second, a number third: still many chunks, in order."""
+    rows = [(1, "same" if k % 3 else f"w{k:04d}", k) for k in range(900)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    chunked = od.with_chunk(df, ["a", "b", "c"])
+    assert chunked.groupBy(od.CHUNK).count().agg(F.max("count")).first()[0] < 300
+    out = od.position(df, [], ["a", "b", "c"]).toPandas().sort_values(["a", "b", "c"])
+    same(out._pos, range(900))
+
+
 @pytest.mark.parametrize("limit", [1, 3, None])
 @pytest.mark.parametrize("direction", ["forward", "backward"])
 def test_fill(df, pdf, limit, direction):
