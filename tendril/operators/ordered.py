@@ -11,6 +11,7 @@ Rows whose group key is null belong to no group and get null results.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,24 +48,29 @@ def sort_image(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def cut_points(df: DataFrame, name: str, chunks: int) -> list:
-    """At most ``chunks - 1`` distinct values splitting the column into even parts.
+def cut_points(df: DataFrame, name: str, chunks: int) -> tuple[list, dict[int, int]]:
+    """Distinct values splitting the column into ``chunks`` even parts, and which chunk numbers are heavy.
 
-    They are only hints: any list of values gives the same result, a good one balances the work. Numbers come from a
-    quantile sketch, strings from a sample of bounded expected size.
+    Heavy is a value standing at several of the even splits, with the number of them; nulls count like a value. Cut points
+    are only hints: any list gives the same result, a good one balances the work. Numbers come from a quantile sketch,
+    strings from a sample of bounded expected size.
     """
     image = sort_image(df, name)
+    sizes = [F.count(F.lit(1)).alias("n"), F.count(col(name)).alias("known")]
     if image is not None:
         shares = [i / chunks for i in range(1, chunks)]
-        points = df.agg(F.percentile_approx(image, shares, max(10 * chunks, 1000)).alias("p")).first()["p"] or []
-        return sorted({p for p in points if p is not None and p == p})
-    keep = 64 * chunks
-    total = df.agg(F.count(col(name)).alias("n")).first()["n"]
-    if not total:
-        return []
-    sample = df.select(col(name).alias("v")).filter("v is not null").sample(min(1.0, keep / total), 7).limit(4 * keep)
-    values = sorted(row["v"] for row in sample.collect())
-    return sorted({values[i * len(values) // chunks] for i in range(1, chunks)}) if values else []
+        row = df.agg(F.percentile_approx(image, shares, max(10 * chunks, 1000)).alias("p"), *sizes).first()
+        splits = [p for p in row["p"] or [] if p is not None and p == p]
+    else:
+        row, keep = df.agg(*sizes).first(), 64 * chunks
+        known = df.select(col(name).alias("v")).filter("v is not null")
+        values = sorted(r["v"] for r in known.sample(min(1.0, keep / max(row["known"], 1)), 7).limit(4 * keep).collect())
+        splits = [values[i * len(values) // chunks] for i in range(1, chunks)] if values else []
+    times = Counter(splits)
+    points = sorted(times)
+    heavy = {2 * i + 1: times[p] for i, p in enumerate(points) if times[p] > 1}
+    nulls = (row["n"] - row["known"]) * chunks // max(row["n"], 1)
+    return points, heavy | ({-1: nulls} if nulls else {})
 
 
 def _at_least(x: Column, points: list, strict: bool) -> Column:
@@ -95,24 +101,23 @@ def chunk_number(x: Column, points: list) -> Column:
 def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None, levels: int = 4) -> DataFrame:
     """Add an order-preserving chunk number.
 
-    Where the first column repeats a few values, each of them is a chunk of its own (an odd number); such chunks are cut
-    again along the next column, and so on, so ties are split as far as the order columns can split them.
+    A heavy value of the first column is a chunk of its own; such chunks are cut again along the next column, and so on,
+    so ties are split as far as the order columns can split them.
     """
     chunks = chunks or chunk_count(df)
     columns = df.columns
     for depth, name in enumerate(order[:levels]):
-        points = cut_points(df, name, chunks)
+        points, heavy = cut_points(df.filter("_heavy") if depth else df, name, chunks)
         image = sort_image(df, name)
         number = chunk_number(col(name) if image is None else image, points)
         if depth == 0:
-            df = df.withColumns({CHUNK: number, "_part": number})
+            df = df.withColumn(CHUNK, number).withColumn("_heavy", col(CHUNK).isin(list(heavy)))
         else:
-            part = F.when(F.pmod(col("_part"), F.lit(2)) == 1, number + 1).otherwise(F.lit(0))
-            df = df.withColumn("_next", part)
-            # a part cut at this level may be cut again only inside a single value of this column
-            df = df.withColumns({CHUNK: col(CHUNK) * F.lit(4 * MAX_CHUNKS) + col("_next"), "_part": F.when(col("_next") > 0, col("_next") - 1).otherwise(F.lit(0))})
-        if len(points) >= 0.75 * (chunks - 1):
+            df = df.withColumn("_part", F.when(col("_heavy"), number + 1).otherwise(F.lit(0)))
+            df = df.withColumns({CHUNK: col(CHUNK) * F.lit(4 * MAX_CHUNKS) + col("_part"), "_heavy": col("_heavy") & (col("_part") - 1).isin(list(heavy))})
+        if not heavy:
             break
+        chunks = max(8, min(chunks, 2 * max(heavy.values())))
     return df.select(*[col(c) for c in columns], CHUNK)
 
 

@@ -43,7 +43,7 @@ def groups(pdf):
     return pdf.sort_values(["t", "i"]).groupby("g")
 
 
-@pytest.mark.parametrize("chunks", [2, 8, 200])
+@pytest.mark.parametrize("chunks", [2, 200])
 def test_running_aggregates(df, pdf, chunks):
     x = F.col("x")
     aggs = {"n": ("count", F.lit(1)), "last": ("last", x), "next": ("next", x), "hi": ("max", x), "p": ("position", None), "at": ("last_at", x)}
