@@ -8,6 +8,7 @@ from ..operators import flatten as fl
 from ..operators import normalize as nz
 from ..operators.ordered import col, settle
 from ..operators.profile import columns_like, drop_empty_columns
+from ..session import scratch_path
 from ..sources import packages as pk
 from .registry import query
 
@@ -70,6 +71,10 @@ def rates(spark) -> DataFrame:
     return spark.createDataFrame(list(RATES.items()), "currency string, rate double")
 
 
+def _table(t):
+    return nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
+
+
 SRC = f"WITH n AS (SELECT {SQL_FIELDS} FROM orders), " + """
     f AS (SELECT *, CASE langs WHEN 'single' THEN 'FR' ELSE 'EN' END AS lg, id || '_' || y || '.xml' AS file FROM n
           WHERE langs <> 'neither' AND kind IN ('Contract award notice', 'Contract notice')) """
@@ -163,13 +168,13 @@ def _extracted_sql() -> str:
 @query("a26_extracted_table", _extracted_sql())
 def extracted_table(t):
     """All fixed columns and the MAIN_ ones (without VALUE_EUR, which a38 checks as a number)."""
-    return nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark)).drop("VALUE_EUR")
+    return _table(t).drop("VALUE_EUR")
 
 
 @query("a38_value_in_euro", SRC + """
     SELECT file, cur AS currency, CASE cur WHEN 'EUR' THEN amount END AS unchanged, round(CASE cur WHEN 'EUR' THEN price WHEN 'SEK' THEN price / 10.5 WHEN 'GBP' THEN price / 0.85 END + 1e-7, 4) AS eur FROM f""")
 def value_in_euro(t):
-    rows = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
+    rows = _table(t)
     eur, cur = F.col("VALUE_EUR"), F.col("VALUES__VALUE__CURRENCY")
     return rows.select(F.col("FILE").alias("file"), cur.alias("currency"), F.when(cur == "EUR", eur).alias("unchanged"), F.round(eur.try_cast("double") + 1e-7, 4).alias("eur"))
 
@@ -229,14 +234,14 @@ def list_rules(t):
 
 @query("a29_drop_empty_columns", SRC + "SELECT file AS FILE, lg AS LG, CASE WHEN k % 5 > 1 THEN 'T' END AS VALUES__VALUE__TYPE FROM f")
 def drop_empty(t):
-    table = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
+    table = _table(t)
     return drop_empty_columns(table.select("FILE", "LG", "VALUES__VALUE__TYPE", "HEADING", "AWARD_CONTRACT__ITEM"))
 
 
 @query("a30_merged_mapping", SRC + """
     SELECT file, cast(d[1:4] AS VARCHAR) AS year, round(amount::FLOAT::DOUBLE, 1) AS values__value, lg_ok AS lg_orig, CASE WHEN k % 5 > 1 THEN 'T' END AS values__value__type FROM (SELECT *, ['EN'] AS lg_ok FROM f)""")
 def merged_mapping(t):
-    table = nz.merged(nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark)))
+    table = nz.merged(_table(t))
     return table.select("file", "year", F.round(F.col("values__value").cast("double"), 1).alias("values__value"), "lg_orig", "values__value__type")
 
 
@@ -271,13 +276,13 @@ def paragraph_join(t):
 
 @query("a34_empty_string_fill", SRC + "SELECT file AS FILE, coalesce(CASE WHEN k % 5 > 1 THEN 'T' END, '') AS VALUES__VALUE__TYPE, '' AS HEADING FROM f")
 def empty_string_fill(t):
-    table = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
+    table = _table(t)
     return table.select("FILE", "VALUES__VALUE__TYPE", "HEADING").na.fill("")
 
 
 @query("a35_columns_by_substring", SRC + "SELECT amount AS VALUES__VALUE, cur AS VALUES__VALUE__CURRENCY, CASE WHEN k % 5 > 1 THEN 'T' END AS VALUES__VALUE__TYPE, file AS FILE FROM f")
 def columns_by_substring(t):
-    table = nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
+    table = _table(t)
     return table.select("FILE", *[col(c) for c in columns_like(table, "VALUES__VALUE") if not c.startswith("AWARD")])
 
 
@@ -373,3 +378,39 @@ def year_month_folders(t):
     folders = pk.year_month_folders(t.spark, lo, hi)
     counts = t.orders.groupBy(F.year("o_orderdate").alias("year"), F.date_format("o_orderdate", "MM").alias("month")).agg(F.count("*").alias("n"))
     return folders.join(counts, ["year", "month"], "left").na.fill(0, ["n"])
+
+
+@query("a03_document_scan", "SELECT n_name AS name, 'R' || n_regionkey AS region FROM nation")
+def document_scan(t):
+    """One text file per nation, read whole and parsed."""
+    path = scratch_path(t.spark, "files")
+    text = F.concat(F.lit("<N><NAME>"), "n_name", F.lit("</NAME><REGION>\n  R"), "n_regionkey", F.lit("\n</REGION></N>"))
+    t.nation.select("n_nationkey", text.alias("value")).write.partitionBy("n_nationkey").text(path)
+    docs = pk.read_documents(t.spark, path, "*.txt")
+    parsed = docs.select(F.from_xml("value", "NAME string, REGION string").alias("d"))
+    return parsed.select(F.col("d.NAME").alias("name"), F.trim(F.translate("d.REGION", "\n", "")).alias("region"))
+
+
+@query("a21_header_fields", SRC + "SELECT d AS DATE, d[1:4] AS YEAR, file AS FILE FROM f")
+def header_fields(t):
+    return _table(t).select("DATE", "YEAR", "FILE")
+
+
+@query("a23_code_and_text_lists", SRC + """
+    SELECT file AS FILE, code, text FROM (SELECT file, unnest(CASE WHEN k % 2 = 1 THEN [cpv1, cpv2] ELSE [cpv1] END) AS code,
+           unnest(CASE WHEN k % 2 = 1 THEN ['Goods ' || prio, 'Works & more'] ELSE ['Goods ' || prio] END) AS text FROM f)""")
+def code_and_text_lists(t):
+    """Parallel code and text lists, paired again by position."""
+    pairs = F.arrays_zip(F.col("ORIGINAL_CPV_CODE").alias("code"), F.col("ORIGINAL_CPV_TEXT").alias("text"))
+    zipped = _table(t).select("FILE", F.explode(pairs).alias("p"))
+    return zipped.select("FILE", F.col("p.code").alias("code"), F.col("p.text").alias("text"))
+
+
+@query("a24_missing_reference", SRC + "SELECT file AS FILE, CASE WHEN k % 4 = 0 THEN '2000/S 001-000001' ELSE '' END AS REF_NO FROM f")
+def missing_reference(t):
+    return _table(t).select("FILE", "REF_NO")
+
+
+@query("a28_first_elements", SRC + "SELECT file AS FILE, cpv1 AS MAIN_CPV_CODE, 'NU' || nat AS place, NULL::VARCHAR AS tenderer FROM f")
+def first_elements(t):
+    return _table(t).select("FILE", "MAIN_CPV_CODE", col("MAIN_n2016:PERFORMANCE_NUTS__CODE").alias("place"), col("MAIN_n2016:TENDERER_NUTS__CODE").alias("tenderer"))

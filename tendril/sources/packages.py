@@ -104,9 +104,9 @@ def read_archives(spark: SparkSession, root: str) -> DataFrame:
     return unpack(files)
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
+def read_documents(spark: SparkSession, root: str, glob: str = "*.xml") -> DataFrame:
     """Documents already unpacked to ``<date>_<issue>/<name>.xml`` folders, one row per file."""
-    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.xml").text(root, wholetext=True)
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     return text.select(F.col("_metadata.file_name").alias("file"), F.regexp_extract(path, r"(\d{8})_[^/]*/[^/]*$", 1).alias("date"), "value")
 
