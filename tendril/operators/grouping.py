@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,15 +34,36 @@ def apply_groups(df: DataFrame, by: list[str], func: Callable, schema, max_rows:
 
 
 def apply_in_parts(
-    df: DataFrame, by: list[str], part: Callable, part_schema, merge: Callable, schema, salt: Column, parts: int = 64,
+    df: DataFrame, by: list[str], part: Callable, part_schema: str, combine: Callable, finish: Callable, schema: str, slices: int = 64, held_rows: int = 50_000
 ) -> DataFrame:
-    """A mergeable pandas function per group: ``part`` on up to ``parts`` slices of a group, ``merge`` on their results.
+    """A mergeable pandas function per group of any size.
 
-    ``part`` must return few rows; its result keeps the group columns. ``salt`` is hashed to slice the group.
+    ``part`` turns the rows of one group in one batch into a few summary rows (group columns included), ``combine`` merges
+    summary rows of a group into fewer ones of the same form, ``finish`` makes the result. A task holds one batch and the
+    summaries of the groups it has met; only summaries are shuffled, first in slices of a group, then per group.
     """
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(salt), F.lit(parts)))
-    partial = sliced.groupBy(*[col(k) for k in by], "_slice").applyInPandas(part, part_schema)
-    return partial.groupBy(*[col(k) for k in by]).applyInPandas(merge, schema)
+
+    def per_group(pdf: pd.DataFrame, func: Callable) -> pd.DataFrame:
+        return pd.concat([func(g) for _, g in pdf.groupby(by, sort=False, dropna=False)], ignore_index=True)
+
+    def summarise(batches):
+        held = []
+        for batch in batches:
+            if len(batch):
+                held.append(per_group(batch, part))
+                if sum(map(len, held)) > held_rows:
+                    whole = per_group(pd.concat(held, ignore_index=True), combine)
+                    # many small groups do not shrink: hand them on instead of holding them
+                    held = [] if len(whole) > held_rows // 2 else [whole]
+                    if not held:
+                        yield whole
+        if held:
+            yield per_group(pd.concat(held, ignore_index=True), combine)
+
+    groups = [col(k) for k in by]
+    summaries = df.mapInPandas(summarise, part_schema).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+    sliced = summaries.groupBy(*groups, "_slice").applyInPandas(lambda pdf: combine(pdf.drop(columns="_slice")), part_schema)
+    return sliced.groupBy(*groups).applyInPandas(lambda pdf: finish(combine(pdf)), schema)
 
 
 def _numbered(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:

@@ -18,7 +18,7 @@ PATTERNS = {
     "full_date": r"(19|20).{8}",
     "phone": r"(\+\d{1,3}\s\d+(\-\d+)*((\s)?/(\s)?(\+\d{1,3}\s)?\d+(\-\d+)*)*)",
     "e_mail": r"[^@]+@[^\.]+\..+",
-    "url": r"(((http|HTTP|https|HTTPS|ftp|FTP|ftps|FTPS|sftp|SFTP)://)|((w|W){3}(\d)?\.))[\w\?!\./:;,\-_=#+*%@&quot;\(\)&amp;]+".replace("&quot;", '"').replace("&amp;", "&"),
+    "url": r"""(((http|HTTP|https|HTTPS|ftp|FTP|ftps|FTPS|sftp|SFTP)://)|((w|W){3}(\d)?\.))[\w\?!\./:;,\-_=#+*%@"\(\)&]+""",
 }
 
 

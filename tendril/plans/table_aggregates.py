@@ -86,20 +86,23 @@ def group_filter(t):
 @query("b32_group_apply", """
     SELECT user_id, round(regr_slope(value, epoch(ts) / 86400), 5) + 0.0 AS slope FROM events GROUP BY 1""")
 def group_apply(t):
-    """Least-squares slope per user, from per-slice sums merged per user."""
-    rows = t.events.select("user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 86400e6 - 19700).alias("x"), F.col("value").alias("y"))
+    """Least-squares slope per user, from per-batch sums merged per user."""
+    rows = t.events.select("user_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 86400e6 - 19700).alias("x"), F.col("value").alias("y"))
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf.x, pdf.y
         return pd.DataFrame({"user_id": [pdf.user_id.iloc[0]], "n": [len(pdf)], "sx": [x.sum()], "sy": [y.sum()], "sxx": [(x * x).sum()], "sxy": [(x * y).sum()]})
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = pdf[["n", "sx", "sy", "sxx", "sxy"]].sum()
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby("user_id", as_index=False).sum()
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        s = pdf.iloc[0]
         slope = (s.n * s.sxy - s.sx * s.sy) / (s.n * s.sxx - s.sx**2) if s.n > 1 else None
-        return pd.DataFrame({"user_id": [pdf.user_id.iloc[0]], "slope": [slope]})
+        return pd.DataFrame({"user_id": [int(s.user_id)], "slope": [slope]})
 
     sums = "user_id long, n long, sx double, sy double, sxx double, sxy double"
-    out = grouping.apply_in_parts(rows, ["user_id"], part, sums, merge, "user_id long, slope double", F.col("event_id"), parts=8)
+    out = grouping.apply_in_parts(rows, ["user_id"], part, sums, combine, finish, "user_id long, slope double")
     return out.select("user_id", F.round("slope", 5).alias("slope"))
 
 
