@@ -26,7 +26,7 @@ def pivot_table(
 ) -> DataFrame:
     """Wide table of aggregates; ``margins`` adds an ``All`` row and column computed from the rows, not from the cells.
 
-    One grouping-sets aggregation gives cells and margins together; the pivot then only moves finished values.
+    Cells and margins come from one aggregation; the pivot then only moves finished values.
     """
     values = labels(df, column) if values is None else values
     names = list(aggs)
@@ -43,8 +43,6 @@ def pivot_table(
         long = long.groupBy(*[col(k) for k in index], "_c").agg(*[a.alias(n) for n, a in aggs.items()])
         values = [*map(str, values), ALL]
     wide = long.groupBy(*[col(k) for k in index]).pivot("_c", values).agg(*[F.first(n, True).alias(n) for n in names])
-    if len(names) == 1:
-        pass
     if fill_value is not None:
         wide = wide.na.fill(fill_value, [c for c in wide.columns if c not in index])
     return wide
@@ -59,7 +57,8 @@ def pivot(df: DataFrame, index: list[str], column: str, value: str) -> DataFrame
 
 def crosstab(df: DataFrame, row: str, column: str, normalize: str | None = None, margins: bool = False) -> DataFrame:
     """Frequency table; ``normalize`` divides by the row (index), column or table (all) total."""
-    wide = pivot_table(df.select(row, column), [row], column, {"n": F.count(F.lit(1))}, fill_value=0, margins=margins)
+    counts = df.groupBy(col(row), col(column)).agg(F.count(F.lit(1)).alias("_n"))  # margins add up cells, not rows
+    wide = pivot_table(counts, [row], column, {"n": F.sum("_n")}, fill_value=0, margins=margins)
     cells = [c for c in wide.columns if c != row]
     inner = [c for c in cells if c != ALL]
     if normalize is None:

@@ -116,21 +116,21 @@ def write_packages(df: DataFrame, path: str, package: Column) -> None:
     keyed = df.withColumn("package", package)
     keyed = keyed.withColumns({"year": F.substring("package", 1, 4), "month": F.substring("package", 5, 2)})
     parts = ["year", "month", "package"]
-    keyed.repartition(*[F.col(p) for p in parts]).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    # rebalancing gathers a package's rows but splits a package that would be one huge task
+    keyed.hint("rebalance", *[F.col(p) for p in parts]).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
 def append_years(df: DataFrame, path: str, year: str = "year", files_per_year: int | None = None, max_records: int = 5_000_000) -> None:
     """Append to a table partitioned by year.
 
-    Rows are first spread by (year, hash slot) so that a large year is written by many tasks; one file per year is the
-    special case of one slot.
+    By default rows are rebalanced by year: small years become one file each, a large year is split over many tasks.
+    ``files_per_year`` fixes the number of files instead; one is the single-file output.
     """
-    slots = files_per_year or 64
-    spread = df if files_per_year is None else df.withColumn("_slot", F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(slots)))
-    if files_per_year is not None:
-        spread = spread.repartition(F.col(year), F.col("_slot")).drop("_slot")
+    if files_per_year is None:
+        spread = df.hint("rebalance", F.col(year))
     else:
-        spread = spread.hint("rebalance", F.col(year))
+        slot = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(files_per_year))
+        spread = df.withColumn("_slot", slot).repartition(F.col(year), F.col("_slot")).drop("_slot")
     spread.write.mode("append").option("maxRecordsPerFile", max_records).partitionBy(year).parquet(path)
 
 

@@ -39,9 +39,11 @@ def run_routed(
 
     def write(batch: DataFrame, number: int) -> None:
         rows = prepare_rows(batch) if prepare_rows else batch
+        rows = rows.persist() if len(routes) > 1 else rows  # several routes read one flattened batch
         for condition, folder in routes.values():
             part = rows.filter(condition).withColumn("batch_no", F.lit(number))
             part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_no", *partition).parquet(folder)
+        rows.unpersist()
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
