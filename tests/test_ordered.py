@@ -217,3 +217,17 @@ def test_weighted_sample_is_reproducible(df):
     a, b = (grouping.hash_sample(df, 60, ["i"], 1, weight).toPandas().i.tolist() for _ in range(2))
     assert a == b and len(set(a)) == 60
     assert grouping.hash_sample(df, 60, ["i"], 1, weight).filter("g = 'hot'").count() > 45
+
+
+def test_apply_in_parts_over_many_batches(spark, df, pdf):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        part = lambda p: pd.DataFrame({"g": [p.g.iloc[0]], "n": [len(p)], "s": [p.i.sum()]})
+        merge = lambda p: p.groupby("g", as_index=False).sum()
+        kinds = "g string, n long, s long"
+        for held in (5, 1000):
+            out = grouping.apply_in_parts(df, ["g"], part, kinds, merge, lambda p: p, kinds, slices=3, held_rows=held).toPandas().sort_values("g")
+            want = pdf.groupby("g").i.agg(["size", "sum"])
+            assert out.n.tolist() == want["size"].tolist() and out.s.tolist() == want["sum"].tolist()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
