@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, by: list[str]) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``by``, in as many buckets as shuffles have partitions, and read it back.
+
+    Rows that come out of a shuffle by the same columns go straight to their bucket, and joins on them don't shuffle the
+    table again.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).saveAsTable(name)
+    return spark.table(name)
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once per row, however often later expressions read it.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, once, stored
+from .common import bucketed, components, once, stored
 
 EDITS = 2
 MIN_CHARS = 16
@@ -117,9 +117,9 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     """(lines, near): each distinct line (h, c, length) with its first place and number of places, and for those with near
     ones the first place of their class as well."""
     lines = _identified(document_lines(docs, key, text)).where(F.col("length") >= min_chars)
-    # one row per different line; the text goes along, as everything after reads it
+    # one row per different line, bucketed by what names it: the text is shuffled here and never again
     different = lines.groupBy("h", "c", "length").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("places"), F.first("line").alias("line"))
-    different = stored(different.withColumn("id", F.monotonically_increasing_id()), "lines")
+    different = bucketed(different.withColumn("id", F.monotonically_increasing_id()), "lines", ["h", "c", "length"])
 
     made = different.select("id", F.explode(entries(F.col("line"), F.col("length"), edits)).alias("e")).select("id", "e.key", "e.index")
     # a line with many equal substrings meets itself only
@@ -127,7 +127,8 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     met = (made.withColumn("n_index", F.sum(F.col("index").cast("long")).over(per_key)).withColumn("n", F.count(F.lit(1)).over(per_key))
            .where("n > 1 AND n_index > 0").distinct())
     met = stored(met.select("key", "id", "index", F.ceil(F.col("n_index") / BLOCK).cast("int").alias("blocks")), "met")
-    texts = once(different.join(met.select("id").distinct(), "id").select("id", "line"), "counts", letter_counts(F.col("line")))
+    named = different.select("id", "h", "c", "length").join(met.select("id").distinct(), "id")
+    texts = once(different.drop("id").join(named, ["h", "c", "length"]).select("id", "line"), "counts", letter_counts(F.col("line")))
     texts = stored(texts, "met_lines")
 
     index = met.where("index").join(texts, "id").select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.struct("id", "line", "counts").alias("entry"))
