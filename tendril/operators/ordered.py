@@ -148,6 +148,7 @@ def running(
     * sum, count, min, max, product;
     * last / next: nearest non-null value at or before / at or after the row, of any type;
     * last_at / next_at: the same as ``struct(v, p)`` with the 0-based group position ``p`` of that value;
+    * before_at: like last_at, but strictly before the row;
     * position: 0-based position of the row in the group (column ignored).
 
     All kinds share one shuffle of the rows.
@@ -167,6 +168,7 @@ def running(
     totals, carries, locals_, outputs = [F.count(F.lit(1)).alias("_rows")], [], {}, {}
     base = F.coalesce(F.sum("_rows").over(earlier(reverse)), F.lit(0)).alias("_base")
     if counted:
+        ahead = Window.partitionBy(*groups, CHUNK).orderBy(*_order(order, reverse))
         work = work.withColumn("_rn", F.row_number().over(local(reverse)).cast("long") - 1)
     place = col("_rn") + F.coalesce(col("_base"), F.lit(0))
     for i, (name, (kind, _)) in enumerate(aggs.items()):
@@ -183,13 +185,13 @@ def running(
         elif kind in ("min", "max"):
             fn, pick = (F.min, F.least) if kind == "min" else (F.max, F.greatest)
             total, scan, roll, both = fn(x), fn(t), fn(x), pick(col(c), col(v))
-        elif kind in ("last", "next", "last_at", "next_at"):
+        elif kind in ("last", "next", "last_at", "next_at", "before_at"):
             at = kind.endswith("_at")
             value = F.when(x.isNotNull(), F.struct(x.alias("v"), col("_rn").alias("p"))) if at else x
             total = (F.min_by if rev else F.max_by)(value, F.when(x.isNotNull(), ties))
             moved = lambda name, by_: F.struct(col(name)["v"].alias("v"), (col(name)["p"] + by_).alias("p"))
             scan = F.last(F.when(col(t).isNotNull(), moved(t, col("_base"))) if at else col(t), True)
-            roll = F.last(value, True)
+            roll = F.last(F.lag(value).over(ahead) if kind == "before_at" else value, True)
             here = F.when(col(v).isNotNull(), moved(v, F.coalesce(col("_base"), F.lit(0)))) if at else col(v)
             both = F.coalesce(here, col(c))
         else:
@@ -228,12 +230,16 @@ def halo_blocks(df: DataFrame, pos: Column, size: int, before: int, after: int)
     """Copy each row into every block of ``size`` positions whose windows can see it; ``_own`` marks its home block.
 
     A window reaching ``before`` positions back and ``after`` ahead is complete within the block. Copies per row are
-    1 + (before + after) / size on average.
+    1 + (before + after) / size on average. Rows without a position are kept, dealt over blocks of their own.
     """
     home = F.floor(pos / size)
     blocks = F.sequence(F.floor((pos - after) / size), F.floor((pos + before) / size))
-    return df.withColumn("_home", home).withColumn(BLOCK, F.explode(blocks)).withColumn("_own", col(BLOCK) == col("_home"))
+    apart = F.lit(-(1 << 62)) + F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(1024))
+    work = df.withColumn("_home", F.coalesce(home, apart)).withColumn(BLOCK, F.explode_outer(blocks))
+    return work.withColumn(BLOCK, F.coalesce(col(BLOCK), col("_home"))).withColumn("_own", col(BLOCK) == col("_home"))
 
 
-def drop_halo(df: DataFrame, keep: list[str]) -> DataFrame:
-    return df.filter("_own").select(*[col(c) for c in keep])
+def drop_halo(df: DataFrame, keep: list[str], made: dict[str, Column]) -> DataFrame:
+    """Columns ``keep`` and ``made`` of the home rows; a row without a position gets null."""
+    placed = {name: F.when(col("_pos").isNotNull(), value) for name, value in made.items()}
+    return df.withColumns(placed).filter("_own").select(*[col(c) for c in dict.fromkeys([*keep, *made])])

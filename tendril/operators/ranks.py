@@ -45,16 +45,7 @@ def rank_by_methods(
         table = table.withColumns(shares).drop("_rows", "_values")
     if nulls == "keep":
         return equi_join(df, table, keys)
-    marked = table.withColumn(column + "_null", col(column).isNull()).withColumn(column, _no_null(table, column))
-    out = df.withColumn("_orig", col(column)).withColumn(column + "_null", col(column).isNull())
-    out = out.withColumn(column, _no_null(df, column))
-    joined = equi_join(out, marked, [*by, column + "_null", column])
-    return joined.withColumn(column, col("_orig")).drop("_orig", column + "_null")
-
-
-def _no_null(df: DataFrame, column: str):
-    kind = df.schema[column].dataType
-    return F.coalesce(col(column), F.lit("" if kind.typeName() == "string" else 0).cast(kind))
+    return equi_join(df, table, keys, null_safe=True)
 
 
 def _null_class(column: str, nulls: str, ascending: bool):
@@ -67,9 +58,9 @@ def _rank_first(df, by, column, name, ascending, pct, nulls, tie):
     if not ascending:
         # the scan runs backwards over values while ties still count from their first row
         counts = rank(df, by, column, "_min", "min", False, nulls=nulls)
-        counts = counts.withColumn("_null", col(column).isNull()).withColumn("_v", _no_null(df, column))
-        inside = position(counts, [*by, "_null", "_v"], list(tie), "_in")
-        out = inside.withColumn(name, col("_min") + col("_in")).drop("_min", "_in", "_null", "_v")
+        # a struct is never null itself, so rows without a value are a group of ties too
+        inside = position(counts.withColumn("_v", F.struct(col(column))), [*by, "_v"], list(tie), "_in")
+        out = inside.withColumn(name, col("_min") + col("_in")).drop("_min", "_in", "_v")
     else:
         out = position(work, by, ["_class", column, *tie], name).withColumn(name, col(name) + 1).drop("_class")
         if nulls == "keep":
@@ -109,7 +100,7 @@ def shift(df: DataFrame, by: list[str], order: list[str], outs: dict[str, tuple[
     work = halo_blocks(position(df, by, order), col("_pos"), max(4096, 4 * (before + after)), before, after)
     w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos")
     shifted = {n: F.lag(col(c), p).over(w) if p >= 0 else F.lead(col(c), -p).over(w) for n, (c, p) in outs.items()}
-    return drop_halo(work.withColumns(shifted), [*df.columns, *outs])
+    return drop_halo(work, df.columns, shifted)
 
 
 def order_statistics(df: DataFrame, by: list[str], column: str, shares: list[float]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Rolling, expanding, weighted and exponentially weighted statistics.
 
 Fixed-length windows work on blocks of positions (or of time) with a halo of neighbouring rows, so a group of any size is
-spread over its blocks.
+spread over its blocks. Rows of null groups are kept with null results.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import BLOCK, col, drop_halo, halo_blocks, position, running, sort_image
+from .ordered import BLOCK, col, drop_halo, equi_join, halo_blocks, has_group, position, running, sort_image
 from .stats import unbiased_kurtosis, unbiased_skewness
 
 
@@ -58,7 +58,7 @@ def rolling_rows(
     work = halo_blocks(position(df, by, order), col("_pos"), max(4096, 4 * window), before, after)
     w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos").rowsBetween(-before, after)
     made = _outputs(outs, w, window if min_periods is None else min_periods)
-    return drop_halo(work.withColumns(made), [*df.columns, *outs])
+    return drop_halo(work, df.columns, made)
 
 
 def rolling_time(
@@ -68,15 +68,15 @@ def rolling_time(
     """Statistics over the rows at most ``window`` before each row's time (microseconds, days or the column's own unit).
 
     ``closed`` says which ends of (t - window, t] belong to it: right, left, both or neither. Rows at the same instant
-    see each other.
+    see each other. Rows without a time or group get null.
     """
     width = window // timedelta(microseconds=1) if isinstance(window, timedelta) else window
     low = -width if closed in ("left", "both") else -(width - 1)
     high = 0 if closed in ("right", "both") else -1
-    work = df.filter(col(on).isNotNull()).withColumn("_pos", sort_image(df, on).cast("long"))
+    work = df.withColumn("_pos", F.when(has_group(by), sort_image(df, on).cast("long")))
     work = halo_blocks(work, col("_pos"), 8 * width, width, 0)
     w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos").rangeBetween(low, high)
-    return drop_halo(work.withColumns(_outputs(outs, w, min_periods)), [*df.columns, *outs])
+    return drop_halo(work, df.columns, _outputs(outs, w, min_periods))
 
 
 def rolling_weighted(
@@ -87,7 +87,7 @@ def rolling_weighted(
     work = halo_blocks(position(df, by, order), col("_pos"), max(4096, 4 * n), n - 1, 0)
     w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos")
     total = sum((F.lag(col(column), n - 1 - i).over(w) * float(wt) for i, wt in enumerate(weights)), F.lit(0.0))
-    return drop_halo(work.withColumn(name, total / (sum(weights) if mean else 1.0)), [*df.columns, name])
+    return drop_halo(work, df.columns, {name: total / (sum(weights) if mean else 1.0)})
 
 
 def triangular_weights(n: int) -> list[float]:
@@ -129,48 +129,91 @@ def decay(com: float | None = None, span: float | None = None, halflife: float |
     return alpha
 
 
+SPAN = 250.0  # weights within a block grow to exp(SPAN); their squares stay finite
+ROWS = 8192
+
+
 def exponential(
     df: DataFrame, by: list[str], order: list[str], outs: dict[str, tuple], adjust: bool = True, min_periods: int = 0,
-    bias: bool = False, **parameter: float,
+    bias: bool = False, ignore_na: bool = False, **parameter: float,
 ) -> DataFrame:
     """Exponentially weighted mean, var, std, cov and corr; ``outs`` maps a name to (statistic, column[, column]).
 
-    Weights fall below 1e-18 of the newest one after a fixed number of rows; rows further back cannot change a double, so
-    a halo of that length gives the full-history result. Within a block weights are scaled by exp(rate * offset), and the
-    block length keeps that factor far from overflow.
+    Nulls carry the last result on. They count as steps of the decay, unless ``ignore_na``. Results are null before the first
+    known value, below ``min_periods`` known ones, and for null groups.
+    """
+    alpha, work = decay(**parameter), df
+    for args in dict.fromkeys(tuple(args) for _, *args in outs.values()):
+        own = {name: fn for name, (fn, *used) in outs.items() if tuple(used) == args}
+        work = _exponential_of(work, by, order, args, own, alpha, adjust, min_periods, bias, ignore_na)
+    return work.select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
+
+
+def _exponential_of(df, by, order, args, outs, alpha, adjust, min_periods, bias, ignore_na):
+    """Statistics of one column or pair of columns.
+
+    The weight of row i at row n is c(i) * exp(D(i) - D(n)), where D grows at known rows only. D is cut into spans, and these
+    into blocks of rows: sums within a block are a window, those of earlier blocks of the span and of the span before are
+    added to them; anything older is below exp(-SPAN) of the newest weight and can't change a double.
     """
-    alpha = decay(**parameter)
-    rate = -math.log1p(-alpha)
-    halo = math.ceil(41.5 / rate)
-    size = max(1, math.floor(560 / rate) - halo)
-    work = halo_blocks(position(df, by, order), col("_pos"), size, halo, 0)
-    offset = col("_pos") - (col(BLOCK) * size - halo)
-    head = F.lit(1.0) if adjust else F.when(col("_pos") == 0, 1.0).otherwise(alpha)
-    work = work.withColumn("_w", head * F.exp(rate * offset))
-    w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-
-    def mean(value: Column, usable: Column) -> Column:
-        return F.sum(F.when(usable, value * col("_w"))).over(w) / F.sum(F.when(usable, col("_w"))).over(w)
+    x, y = col(args[0]), col(args[-1])
+    usable = x.isNotNull() & y.isNotNull()
+    rate = -math.log1p(-alpha) if alpha < 1 else 50.0
+    known = F.when(usable, F.lit(True))
+    gaps = not adjust and not ignore_na
+    aggs = {"_pos": ("position", None), "_at": ("last_at", known), "_seen": ("count", known)} | ({"_past": ("before_at", known)} if gaps else {})
+    work = running(df, by, order, aggs)
+    place = (col("_seen") - 1) if ignore_na else F.col("_at.p")
+    fresh = F.lit(1.0) if adjust else F.when(col("_seen") == 1, 1.0).otherwise(alpha)
+    if gaps:
+        # after a gap the old weight has shrunk and the new one has not: both are scaled to add up to 1 again
+        scale = F.exp(-rate * (col("_pos") - F.col("_past.p"))) + alpha
+        step = F.when(usable & col("_past").isNotNull(), rate * (col("_pos") - F.col("_past.p")) + F.log(scale))
+        work = running(work.withColumn("_step", step), by, order, {"_depth": ("sum", col("_step"))})
+        depth = F.when(col("_seen") > 0, F.coalesce(col("_depth"), F.lit(0.0)))
+        fresh = F.when(col("_seen") == 1, 1.0).otherwise(alpha / scale)
+        leap, span = SPAN, F.floor(depth / SPAN)
+        offset = depth - span * SPAN
+    else:
+        steps = max(1, math.floor(SPAN / rate))
+        leap, span = steps * rate, F.floor(place / steps)
+        offset = (place % steps) * rate
+    rows = F.coalesce(F.floor(col("_pos") / ROWS), F.lit(-1) - F.pmod(F.xxhash64(*[col(c) for c in order]), F.lit(1024)))
+    work = work.withColumns({"_span": F.coalesce(span, F.lit(-1)).cast("long"), "_rows": rows.cast("long"), "_w": F.when(usable, fresh * F.exp(offset))})
+
+    w = col("_w")
+    parts = {"s0": w, "sx": w * x}
+    if set(outs.values()) != {"mean"}:
+        parts |= {"s2": w * w, "sy": w * y, "sxy": w * x * y, "sxx": w * x * x, "syy": w * y * y}
+    groups = [col(k) for k in by]
+    block, spans = [*groups, col("_span"), col("_rows")], [*groups, col("_span")]
+    here = Window.partitionBy(*block).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*spans).orderBy("_rows").rowsBetween(Window.unboundedPreceding, -1)
+    summary = work.groupBy(*block).agg(*[F.sum(v).alias(f"_{n}") for n, v in parts.items()])
+    before = summary.groupBy(*groups, (col("_span") + 1).alias("_span")).agg(*[F.sum(f"_{n}").alias(f"_p_{n}") for n in parts])
+    carried = summary.select(*block, *[F.sum(f"_{n}").over(earlier).alias(f"_c_{n}") for n in parts])
+    carried = equi_join(carried, before, [*by, "_span"])
+    shrink = {n: math.exp(-leap * (2 if n == "s2" else 1)) for n in parts}
+    carried = carried.select(*block, *[(F.coalesce(f"_c_{n}", F.lit(0.0)) + F.coalesce(f"_p_{n}", F.lit(0.0)) * shrink[n]).alias(f"_c_{n}") for n in parts])
+    work = equi_join(work.withColumns({f"_l_{n}": F.sum(v).over(here) for n, v in parts.items()}), carried, [*by, "_span", "_rows"])
+    total = {n: F.coalesce(f"_l_{n}", F.lit(0.0)) + col(f"_c_{n}") for n in parts}
+    mean = lambda n: total[n] / total["s0"]
 
     made = {}
-    for name, (fn, *args) in outs.items():
-        x, y = col(args[0]), col(args[-1])
-        usable = x.isNotNull() & y.isNotNull()
-        seen = F.count(F.when(usable, 1)).over(w)
+    for name, fn in outs.items():
         if fn == "mean":
-            value = mean(x, usable)
+            value = mean("sx")
         else:
-            cov = mean(x * y, usable) - mean(x, usable) * mean(y, usable)
-            total, squares = F.sum(F.when(usable, col("_w"))).over(w), F.sum(F.when(usable, col("_w") * col("_w"))).over(w)
-            scale = F.lit(1.0) if bias else F.when(total * total > squares, total * total / (total * total - squares))
+            cov = mean("sxy") - mean("sx") * mean("sy")
+            weight = total["s0"] * total["s0"]
+            debias = F.lit(1.0) if bias else F.when((col("_seen") > 1) & (weight > total["s2"]), weight / (weight - total["s2"]))
             if fn == "corr":
-                vx = mean(x * x, usable) - mean(x, usable) * mean(x, usable)
-                vy = mean(y * y, usable) - mean(y, usable) * mean(y, usable)
-                value = F.when((vx > 0) & (vy > 0) & (seen > 1), cov / F.sqrt(vx * vy))
+                vx, vy = mean("sxx") - mean("sx") * mean("sx"), mean("syy") - mean("sy") * mean("sy")
+                value = F.when((vx > 0) & (vy > 0) & (col("_seen") > 1), cov / F.sqrt(vx * vy))
             else:
-                value = F.when(seen > 1, F.sqrt(F.greatest(cov, F.lit(0.0)) * scale) if fn == "std" else cov * scale)
-        made[name] = F.when(seen >= max(min_periods, 1), value)
-    return drop_halo(work.withColumns(made), [*df.columns, *outs])
+                value = F.sqrt(F.greatest(cov, F.lit(0.0)) * debias) if fn == "std" else cov * debias
+        made[name] = F.when(col("_seen") >= max(min_periods, 1), value)
+    return work.withColumns(made).select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
 
 
 def autocorrelation(df: DataFrame, by: list[str], order: list[str], column: str, lag: int = 1) -> DataFrame:
@@ -178,4 +221,4 @@ def autocorrelation(df: DataFrame, by: list[str], order: list[str], column: str,
     from .ranks import shift
 
     pairs = shift(df, by, order, {"_lag": (column, lag)})
-    return pairs.groupBy(*[col(k) for k in by]).agg(F.corr(col(column), col("_lag")).alias("autocorr"))
+    return pairs.filter(has_group(by)).groupBy(*[col(k) for k in by]).agg(F.corr(col(column), col("_lag")).alias("autocorr"))

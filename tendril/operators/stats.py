@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import col, equi_join, running, settle
+from .ordered import col, equi_join, has_group, running, settle
 
 
 def unbiased_skewness(g1: Column, n: Column) -> Column:
@@ -33,16 +33,18 @@ def moments(df: DataFrame, by: list[str], column: str) -> DataFrame:
 
 
 def mean_abs_deviation(df: DataFrame, by: list[str], column: str) -> DataFrame:
-    """Mean absolute deviation from the group mean."""
+    """Mean absolute deviation from the group mean; rows of null groups are left out."""
+    df = df.filter(has_group(by))
     means = df.groupBy(*[col(k) for k in by]).agg(F.avg(col(column)).alias("_mean"))
     joined = equi_join(df, means, by) if by else df.join(F.broadcast(means))
     return joined.groupBy(*[col(k) for k in by]).agg(F.avg(F.abs(col(column) - col("_mean"))).alias("mad"))
 
 
 def describe(df: DataFrame, by: list[str], column: str, shares=(0.25, 0.5, 0.75)) -> DataFrame:
-    """count, mean, std, min, exact quantiles and max per group."""
+    """count, mean, std, min, exact quantiles and max per group; rows of null groups are left out."""
     from .ranks import quantiles
 
+    df = df.filter(has_group(by))
     x = col(column)
     basic = df.groupBy(*[col(k) for k in by]).agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")
@@ -61,7 +63,8 @@ def describe_labels(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_counts(df: DataFrame, by: list[str], column: str, dropna: bool = True) -> DataFrame:
-    """Count and share of each value, per group if ``by`` is given."""
+    """Count and share of each value, per group if ``by`` is given; rows of null groups are left out."""
+    df = df.filter(has_group(by))
     base = df.filter(col(column).isNotNull()) if dropna else df
     counts = base.groupBy(*[col(k) for k in by], col(column)).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(*[col(k) for k in by]).agg(F.sum("n").alias("_total"))
@@ -71,7 +74,8 @@ def value_counts(df: DataFrame, by: list[str], column: str, dropna: bool = True)
 
 def modes(df: DataFrame, by: list[str], column: str) -> DataFrame:
     """All most frequent values per group."""
-    counts = df.filter(col(column).isNotNull()).groupBy(*[col(k) for k in by], col(column)).agg(F.count(F.lit(1)).alias("n"))
+    known = df.filter(has_group(by) & col(column).isNotNull())
+    counts = known.groupBy(*[col(k) for k in by], col(column)).agg(F.count(F.lit(1)).alias("n"))
     best = counts.groupBy(*[col(k) for k in by]).agg(F.max("n").alias("_best"))
     out = equi_join(counts, best, by, "inner") if by else counts.join(F.broadcast(best))
     return out.filter("n = _best").drop("_best")

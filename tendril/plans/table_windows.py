@@ -176,6 +176,54 @@ def exponentially_weighted_recursive(t):
     return _rounded(out.select("event_id", "mean"))
 
 
+_SPARSE = "SELECT event_id, user_id, ts, CASE WHEN event_id % 3 <> 0 THEN value END AS x FROM events"
+
+
+def _sparse(t):
+    return t.events.select("event_id", "user_id", "ts", F.expr("if(event_id % 3 <> 0, value, null)").alias("x"))
+
+
+@query("b49_exponentially_weighted_with_nulls", f"""
+    WITH p AS (SELECT event_id, user_id, x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM ({_SPARSE}))
+    SELECT a.event_id, CASE WHEN count(b.x) >= 60 THEN round(sum(pow(1 - 2 / 11.0, a.i - b.i) * b.x) / sum(pow(1 - 2 / 11.0, a.i - b.i)), 6) END AS late,
+           CASE WHEN count(b.x) >= 1 THEN round(sum(pow(1 - 2 / 11.0, a.i - b.i) * b.x) / sum(pow(1 - 2 / 11.0, a.i - b.i)), 6) END AS mean
+    FROM p a LEFT JOIN p b ON a.user_id = b.user_id AND b.i <= a.i AND b.x IS NOT NULL GROUP BY 1""")
+def exponentially_weighted_with_nulls(t):
+    first = rolling.exponential(_sparse(t), BY, ORDER, {"mean": ("mean", "x")}, span=10)
+    out = rolling.exponential(first, BY, ORDER, {"late": ("mean", "x")}, min_periods=60, span=10)
+    return _rounded(out.select("event_id", "mean", "late"))
+
+
+@query("b49_exponentially_weighted_ignoring_nulls", f"""
+    WITH p AS (SELECT event_id, user_id, x, row_number() OVER w AS i, count(x) OVER w AS k FROM ({_SPARSE}) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    SELECT a.event_id, CASE WHEN count(b.x) >= 1 THEN round(sum(pow(1 - 2 / 11.0, a.k - b.k) * CASE WHEN b.k = 1 THEN 1 ELSE 2 / 11.0 END * b.x), 6) END AS mean
+    FROM p a LEFT JOIN p b ON a.user_id = b.user_id AND b.i <= a.i AND b.x IS NOT NULL GROUP BY 1""")
+def exponentially_weighted_ignoring_nulls(t):
+    return _rounded(rolling.exponential(_sparse(t), BY, ORDER, {"mean": ("mean", "x")}, adjust=False, ignore_na=True, span=10).select("event_id", "mean"))
+
+
+_KEYLESS = "SELECT event_id, ts, value, CASE WHEN event_id % 5 <> 0 THEN user_id END AS u FROM events"
+
+
+@query("b44_shift_and_rolling_with_null_keys", f"""
+    SELECT event_id, CASE WHEN u IS NOT NULL THEN lag(value) OVER w END AS before,
+           CASE WHEN u IS NOT NULL THEN round(avg(value) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) END AS mean
+    FROM ({_KEYLESS}) WINDOW w AS (PARTITION BY u ORDER BY ts, event_id)""")
+def shift_and_rolling_with_null_keys(t):
+    keyless = t.events.select("event_id", "ts", "value", F.expr("if(event_id % 5 <> 0, user_id, null)").alias("u"))
+    shifted = ranks.shift(keyless, ["u"], ORDER, {"before": ("value", 1)})
+    out = rolling.rolling_rows(shifted, ["u"], ORDER, 3, {"mean": ("mean", "value")}, min_periods=1)
+    return out.select("event_id", "before", F.round("mean", 6).alias("mean"))
+
+
+@query("b42_rank_of_dates_with_nulls", """
+    SELECT o_orderkey, rank() OVER (ORDER BY d NULLS FIRST) AS top, rank() OVER (ORDER BY d NULLS LAST) AS bottom
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate::DATE END AS d FROM orders)""")
+def rank_of_dates_with_nulls(t):
+    dated = t.orders.select("o_orderkey", F.expr("if(o_orderkey % 4 <> 0, to_date(o_orderdate), null)").alias("d"))
+    return ranks.rank(ranks.rank(dated, [], "d", "top", "min", nulls="top"), [], "d", "bottom", "min", nulls="bottom").select("o_orderkey", "top", "bottom")
+
+
 @query("b50_weighted_rolling", """
     SELECT event_id, round((lag(value, 4) OVER w / 3 + lag(value, 3) OVER w * 2 / 3 + lag(value, 2) OVER w + lag(value) OVER w * 2 / 3 + value / 3) / 3, 6) AS m
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
