@@ -23,16 +23,6 @@ def keep_groups(df: DataFrame, by: list[str], predicate: Column) -> DataFrame:
     return equi_join(df, kept, by, "left_semi")
 
 
-def apply_groups(df: DataFrame, by: list[str], func: Callable, schema, max_rows: int = 1_000_000) -> DataFrame:
-    """Any pandas function per group. The largest group is measured first; one beyond ``max_rows`` is an error, because
-    the function would need it whole in one task. Use ``apply_in_parts`` for functions that can be merged."""
-    counts = df.groupBy(*[col(k) for k in by]).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.agg(F.max("n").alias("n")).first()["n"] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group has {largest} rows, more than {max_rows}; use apply_in_parts")
-    return df.groupBy(*[col(k) for k in by]).applyInPandas(func, schema)
-
-
 def apply_in_parts(
     df: DataFrame, by: list[str], part: Callable, part_schema: str, combine: Callable, finish: Callable, schema: str, slices: int = 64, held_rows: int = 50_000
 ) -> DataFrame:
@@ -66,6 +56,16 @@ def apply_in_parts(
     return sliced.groupBy(*groups).applyInPandas(lambda pdf: finish(combine(pdf)), schema)
 
 
+def apply_with_summary(df: DataFrame, by: list[str], part: Callable, part_schema: str, combine: Callable, func: Callable, schema: str) -> DataFrame:
+    """A pandas function on the rows of groups of any size, each row next to its group's merged summary.
+
+    ``part`` and ``combine`` make the summary as in ``apply_in_parts`` (one row per group); ``func`` turns batches of rows,
+    widened by the summary's columns, into result rows. No task holds a group.
+    """
+    summary = apply_in_parts(df, by, part, part_schema, combine, lambda pdf: pdf, part_schema)
+    return equi_join(df, summary, by, null_safe=True).mapInPandas(lambda batches: (func(b) for b in batches if len(b)), schema)
+
+
 def _numbered(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_row", F.row_number().over(Window.partitionBy(*[col(k) for k in by]).orderBy(*order)))
 

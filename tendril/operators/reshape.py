@@ -12,23 +12,19 @@ from .ranks import quantiles
 ALL = "All"
 
 
-def labels(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Distinct non-null values that are to become columns; more than ``limit`` is an error, as in a pivot."""
-    rows = df.select(col(column).alias("v")).filter("v is not null").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; too many for columns")
-    return sorted(r["v"] for r in rows)
+def cells(df: DataFrame, index: list[str], column: str, aggs: dict[str, Column]) -> DataFrame:
+    """The cells of a pivot in long form, (index, column, aggregates): for values that the caller does not know."""
+    return df.filter(col(column).isNotNull()).groupBy(*[col(k) for k in index], col(column)).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
 def pivot_table(
-    df: DataFrame, index: list[str], column: str, aggs: dict[str, Column], fill_value=None, margins: bool = False,
-    values: list | None = None,
+    df: DataFrame, index: list[str], column: str, aggs: dict[str, Column], values: list, fill_value=None, margins: bool = False,
 ) -> DataFrame:
-    """Wide table of aggregates; ``margins`` adds an ``All`` row and column computed from the rows, not from the cells.
+    """Wide table of aggregates with a column per member of ``values``, the values of ``column`` (part of the output schema, so
+    the caller names them; ``cells`` gives the long form without); ``margins`` adds an ``All`` row and column computed from the rows, not from the cells.
 
     Cells and margins come from one aggregation; the pivot then only moves finished values.
     """
-    values = labels(df, column) if values is None else values
     names = list(aggs)
     known = df.filter(col(column).isNotNull())
     if not margins:
@@ -48,30 +44,30 @@ def pivot_table(
     return wide
 
 
-def pivot(df: DataFrame, index: list[str], column: str, value: str) -> DataFrame:
+def pivot(df: DataFrame, index: list[str], column: str, value: str, values: list) -> DataFrame:
     """Long to wide without aggregation; a repeated (index, column) pair is an error."""
     if not repeated_keys(df, [*index, column]).isEmpty():
         raise ValueError("index contains duplicate entries, cannot reshape")
-    return df.groupBy(*[col(k) for k in index]).pivot(column, labels(df, column)).agg(F.first(col(value)))
+    return df.groupBy(*[col(k) for k in index]).pivot(column, values).agg(F.first(col(value)))
 
 
-def crosstab(df: DataFrame, row: str, column: str, normalize: str | None = None, margins: bool = False) -> DataFrame:
+def crosstab(df: DataFrame, row: str, column: str, values: list, normalize: str | None = None, margins: bool = False) -> DataFrame:
     """Frequency table; ``normalize`` divides by the row (index), column or table (all) total."""
     counts = df.groupBy(col(row), col(column)).agg(F.count(F.lit(1)).alias("_n"))  # margins add up cells, not rows
-    wide = pivot_table(counts, [row], column, {"n": F.sum("_n")}, fill_value=0, margins=margins)
-    cells = [c for c in wide.columns if c != row]
-    inner = [c for c in cells if c != ALL]
+    wide = pivot_table(counts, [row], column, {"n": F.sum("_n")}, values, fill_value=0, margins=margins)
+    counted = [c for c in wide.columns if c != row]
+    inner = [c for c in counted if c != ALL]
     if normalize is None:
         return wide
     if normalize == "index":
         total = sum((col(c) for c in inner), F.lit(0))
-        return wide.select(row, *[(col(c) / total).alias(c) for c in cells])
+        return wide.select(row, *[(col(c) / total).alias(c) for c in counted])
     sums = wide.filter(col(row) != ALL) if margins else wide
     totals = sums.agg(*[F.sum(col(c)).alias(f"_t_{c}") for c in inner])
     both = wide.join(F.broadcast(totals))  # one row
     whole = sum((col(f"_t_{c}") for c in inner), F.lit(0))
     divisor = lambda c: whole if normalize == "all" or c == ALL else col(f"_t_{c}")
-    return both.select(row, *[(col(c) / divisor(c)).alias(c) for c in cells])
+    return both.select(row, *[(col(c) / divisor(c)).alias(c) for c in counted])
 
 
 def wide_to_long(df: DataFrame, stubs: list[str], i: list[str], j: str, sep: str = "_", suffix: list | None = None) -> DataFrame:
@@ -106,8 +102,16 @@ def cut(x: Column, edges: list[float], right: bool = True, include_lowest: bool
 
 
 def equal_width_edges(df: DataFrame, column: str, bins: int) -> list[float]:
-    """bins + 1 edges over the range; the lowest is moved out by 0.1 % so that the minimum is inside (a, b]."""
+    """bins + 1 edges over the range; the lowest is moved out by 0.1 % so that the minimum is inside (a, b].
+
+    A range of one value is widened by 0.1 % of it on both sides (by 0.001 around 0). Without a value it is an error.
+    """
     lo, hi = df.agg(F.min(col(column)), F.max(col(column))).first()
+    if lo is None:
+        raise ValueError(f"{column} has no values to cut")
+    if lo == hi:
+        margin = 0.001 * abs(lo) or 0.001
+        return [lo - margin + 2 * margin * k / bins for k in range(bins + 1)]
     step = (hi - lo) / bins
     edges = [lo + k * step for k in range(bins)] + [hi]
     edges[0] -= 0.001 * (hi - lo)
@@ -120,13 +124,25 @@ def quantile_edges(df: DataFrame, column: str, q: int) -> list[float]:
 
 
 def qcut(df: DataFrame, column: str, q: int, name: str = "bin") -> DataFrame:
-    """Quantile bins: exact linear-interpolated edges, right-closed, minimum included."""
-    return df.withColumn(name, cut(col(column), quantile_edges(df, column, q), include_lowest=True))
+    """Quantile bins: exact linear-interpolated edges, right-closed, minimum included. Equal edges are an error."""
+    edges = quantile_edges(df, column, q)
+    if not edges:
+        raise ValueError(f"{column} has no values to cut")
+    if len(set(edges)) < len(edges):
+        raise ValueError(f"quantiles of {column} coincide: {edges}")
+    return df.withColumn(name, cut(col(column), edges, include_lowest=True))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width counts over [min, max], last bin closed on the right; empty bins are kept."""
+    """Equal-width counts over [min, max], last bin closed on the right; empty bins are kept.
+
+    A range of one value is taken as 0.5 to either side of it, no values as the range from 0 to 1.
+    """
     lo, hi = df.agg(F.min(col(column)), F.max(col(column))).first()
+    if lo is None:
+        lo, hi = 0.0, 1.0
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
     number = F.least(F.width_bucket(col(column), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)) - 1
     counts = df.filter(col(column).isNotNull()).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -135,18 +151,16 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     return out.withColumns({"lo": lo + col("bin") * width, "hi": lo + (col("bin") + 1) * width})
 
 
-def dummies(df: DataFrame, column: str, prefix: str | None = None, drop_first: bool = False) -> DataFrame:
-    """One 0/1 column per value."""
-    found = labels(df, column)[1 if drop_first else 0 :]
-    flags = [F.when(col(column) == F.lit(v), 1).otherwise(0).alias(f"{prefix or column}_{v}") for v in found]
+def dummies(df: DataFrame, column: str, values: list, prefix: str | None = None, drop_first: bool = False) -> DataFrame:
+    """One 0/1 column per member of ``values``."""
+    flags = [F.when(col(column) == F.lit(v), 1).otherwise(0).alias(f"{prefix or column}_{v}") for v in values[1 if drop_first else 0 :]]
     return df.select(*[col(c) for c in df.columns if c != column], *flags)
 
 
-def split_dummies(df: DataFrame, column: str, sep: str = "|") -> DataFrame:
-    """One 0/1 column per item of a separated string."""
+def split_dummies(df: DataFrame, column: str, values: list[str], sep: str = "|") -> DataFrame:
+    """One 0/1 column per member of ``values``, the items of a separated string."""
     items = F.array_distinct(F.split(col(column), "\\Q" + sep + "\\E"))
-    found = labels(df.select(F.explode(items).alias("v")).filter("v <> ''"), "v")
-    return df.select("*", *[F.when(F.array_contains(items, v), 1).otherwise(0).alias(v) for v in found])
+    return df.select("*", *[F.when(F.array_contains(items, v), 1).otherwise(0).alias(v) for v in values])
 
 
 def normalize_json(df: DataFrame, column: str, schema: str, path: str | None = None, meta: list[str] = (), sep: str = "_") -> DataFrame:

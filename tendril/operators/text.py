@@ -43,18 +43,16 @@ def document_frequencies(term_counts: DataFrame, min_df: int) -> DataFrame:
     return term_counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(col("df") >= min_df)
 
 
-def tf_idf(df: DataFrame, key: str, text: str, stop_words: list[str] = (), min_df: int = 20, longest: int = 3, salts: int = 16) -> DataFrame:
+def tf_idf(df: DataFrame, key: str, text: str, stop_words: list[str] = (), min_df: int = 20, longest: int = 3) -> DataFrame:
     """(key, term, weight): (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per text.
 
-    A frequent term occurs in most texts, so its rows are dealt over ``salts`` copies of its one frequency row.
+    A frequent term occurs in most texts; it has one frequency row, so adaptive execution can split its side of the join.
     """
     counts = terms(df, key, text, list(stop_words), longest).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     counts = settle(counts, "terms")  # read for frequencies and for weights; texts are cut into terms once
     n = df.count()
     weights = document_frequencies(counts, min_df).select("term", (F.log((1 + n) / (1 + col("df"))) + 1).alias("idf"))
-    copies = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = counts.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    raw = settle(dealt.join(copies, ["term", "_salt"]).select(key, "term", ((1 + F.log("tf")) * col("idf")).alias("_w")), "weights")
+    raw = settle(counts.join(weights, "term").select(key, "term", ((1 + F.log("tf")) * col("idf")).alias("_w")), "weights")
     norms = raw.groupBy(key).agg(F.sqrt(F.sum(col("_w") * col("_w"))).alias("_norm"))
     return raw.join(norms, key).select(key, "term", (col("_w") / col("_norm")).alias("weight"))
 

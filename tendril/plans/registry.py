@@ -22,13 +22,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A table for work that costs far more than its scan: dealt out again only if it has fewer files than cores.
-
-        A large table has many files and is left as it is; a single small file would otherwise be one task.
-        """
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+        """A table for work that costs far more than its scan and a shuffle of its rows: dealt out evenly before it."""
+        return getattr(self, name).repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def query(name: str, sql: str | None = None):

@@ -109,11 +109,18 @@ def group_apply(t):
 @query("b32_whole_group_apply", """
     SELECT user_id, round(value - avg(value) OVER (PARTITION BY user_id) + 1e-8, 5) + 0.0 AS centred, event_id FROM events""")
 def whole_group_apply(t):
+    """Each row against its whole group: per-batch sums are merged per user, rows are centred next to them."""
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"user_id": [pdf.user_id.iloc[0]], "n": [len(pdf)], "total": [pdf.value.sum()]})
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby("user_id", as_index=False).sum()
+
     def centre(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[["user_id", "event_id"]].assign(centred=(pdf["value"] - pdf["value"].mean() + 1e-8).round(5) + 0.0)
+        return pdf[["user_id", "event_id"]].assign(centred=(pdf["value"] - pdf["total"] / pdf["n"] + 1e-8).round(5) + 0.0)
 
     rows = t.events.select("user_id", "event_id", "value")
-    return grouping.apply_groups(rows, ["user_id"], centre, "user_id long, event_id long, centred double")
+    return grouping.apply_with_summary(rows, ["user_id"], part, "user_id long, n long, total double", combine, centre, "user_id long, event_id long, centred double")
 
 
 @query("b33_head_per_group", """
@@ -155,6 +162,15 @@ def describe_labels(t):
     return stats.describe_labels(t.customer, "c_mktsegment")
 
 
+@query("b35_describe_leaves_out_null_groups", """
+    SELECT o_orderpriority, count(*) AS count, round(avg(o_totalprice), 4) AS mean, min(o_totalprice) AS min, max(o_totalprice) AS max, round(quantile_cont(o_totalprice, 0.5), 4) AS q50
+    FROM (SELECT o_totalprice, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders) WHERE o_orderpriority IS NOT NULL GROUP BY 1""")
+def describe_leaves_out_null_groups(t):
+    rows = t.orders.select("o_totalprice", F.expr("if(o_orderkey % 3 <> 0, o_orderpriority, null)").alias("o_orderpriority"))
+    out = stats.describe(rows, ["o_orderpriority"], "o_totalprice")
+    return out.select("o_orderpriority", "count", F.round("mean", 4).alias("mean"), "min", "max", F.round("q50", 4).alias("q50"))
+
+
 @query("b36_whole_table_reducers", """
     SELECT count(o_totalprice) AS n, round(sum(o_totalprice), 2) AS sum, round(avg(o_totalprice), 4) AS mean, min(o_totalprice) AS min, max(o_totalprice) AS max,
            round(stddev_samp(o_totalprice), 4) AS std, round(stddev_samp(o_totalprice) / sqrt(count(*)), 4) AS sem,

@@ -12,7 +12,7 @@ from .registry import query
            round(avg(l_quantity) FILTER (l_linestatus = 'O'), 6) AS O, round(avg(l_quantity), 6) AS "All" FROM l GROUP BY ROLLUP (l_returnflag)""")
 def pivot_table_margins(t):
     rows = t.lineitem.select("l_returnflag", "l_linestatus", "l_quantity")
-    return reshape.pivot_table(rows, ["l_returnflag"], "l_linestatus", {"mean": F.round(F.avg("l_quantity"), 6)}, margins=True)
+    return reshape.pivot_table(rows, ["l_returnflag"], "l_linestatus", {"mean": F.round(F.avg("l_quantity"), 6)}, ["F", "O"], margins=True)
 
 
 @query("b57_pivot_table_two_aggregates", """
@@ -22,7 +22,7 @@ def pivot_table_margins(t):
 def pivot_table_two(t):
     rows = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
     aggs = {"n": F.count("*"), "total": F.round(F.sum("c_acctbal"), 2)}
-    wide = reshape.pivot_table(rows, ["c_nationkey"], "c_mktsegment", aggs, values=["BUILDING", "MACHINERY"])
+    wide = reshape.pivot_table(rows, ["c_nationkey"], "c_mktsegment", aggs, ["BUILDING", "MACHINERY"])
     return wide.na.fill(0, ["BUILDING_n", "MACHINERY_n"])
 
 
@@ -32,21 +32,21 @@ def pivot_table_two(t):
     FROM (SELECT user_id, event_type, max(value) AS v FROM events GROUP BY 1, 2) GROUP BY 1""")
 def pivot_unique(t):
     long = t.events.groupBy("user_id", "event_type").agg(F.max("value").alias("v"))
-    return reshape.pivot(long, ["user_id"], "event_type", "v")
+    return reshape.pivot(long, ["user_id"], "event_type", "v", ["click", "error", "purchase", "signup", "view"])
 
 
 @query("b59_crosstab_margins", """
     SELECT coalesce(o_orderpriority, 'All') AS o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS F, count(*) FILTER (o_orderstatus = 'O') AS O,
            count(*) FILTER (o_orderstatus = 'P') AS P, count(*) AS "All" FROM orders GROUP BY ROLLUP (o_orderpriority)""")
 def crosstab_margins(t):
-    return reshape.crosstab(t.orders, "o_orderpriority", "o_orderstatus", margins=True)
+    return reshape.crosstab(t.orders, "o_orderpriority", "o_orderstatus", ["F", "O", "P"], margins=True)
 
 
 @query("b59_crosstab_normalised", """
     SELECT o_orderpriority, round(count(*) FILTER (o_orderstatus = 'F') / sum(count(*)) OVER (), 8) AS F, round(count(*) FILTER (o_orderstatus = 'O') / sum(count(*)) OVER (), 8) AS O,
            round(count(*) FILTER (o_orderstatus = 'P') / sum(count(*)) OVER (), 8) AS P FROM orders GROUP BY 1""")
 def crosstab_normalised(t):
-    out = reshape.crosstab(t.orders, "o_orderpriority", "o_orderstatus", normalize="all")
+    out = reshape.crosstab(t.orders, "o_orderpriority", "o_orderstatus", ["F", "O", "P"], normalize="all")
     return out.withColumns({c: F.round(c, 8) for c in ("F", "O", "P")})
 
 
@@ -104,13 +104,13 @@ def quantile_bins(t):
 @query("b64_dummies", """
     SELECT o_orderkey, (o_orderstatus = 'O')::INT AS status_O, (o_orderstatus = 'P')::INT AS status_P FROM orders""")
 def dummies(t):
-    return reshape.dummies(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", "status", drop_first=True)
+    return reshape.dummies(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["F", "O", "P"], "status", drop_first=True)
 
 
 @query("b64_split_dummies", """
     SELECT p_partkey, list_contains(w, 'blue')::INT AS blue, list_contains(w, 'ring')::INT AS ring FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""")
 def split_dummies(t):
-    return reshape.split_dummies(t.part.select("p_partkey", "p_name"), "p_name", " ").select("p_partkey", "blue", "ring")
+    return reshape.split_dummies(t.part.select("p_partkey", "p_name"), "p_name", ["blue", "ring"], " ").select("p_partkey", "blue", "ring")
 
 
 @query("b65_factorize", """

@@ -172,6 +172,71 @@ def test_exponential_across_blocks(df, pdf):
     np.testing.assert_allclose(out.v.astype(float), want, rtol=1e-6, atol=1e-9, equal_nan=True)
 
 
+@pytest.mark.parametrize("adjust", [True, False])
+@pytest.mark.parametrize("ignore_na", [True, False])
+def test_exponential_with_nulls(df, pdf, adjust, ignore_na, monkeypatch):
+    monkeypatch.setattr(rolling, "ROWS", 16)
+    monkeypatch.setattr(rolling, "SPAN", 45.0)
+    g = groups(pdf).x
+    for alpha in (0.05, 0.5, 0.9):
+        outs = {"m": ("mean", "x"), "v": ("var", "x")}
+        out = by_i(rolling.exponential(df, ["g"], ["t", "i"], outs, adjust=adjust, ignore_na=ignore_na, alpha=alpha, min_periods=3))
+        ewm = lambda s: s.ewm(alpha=alpha, adjust=adjust, ignore_na=ignore_na, min_periods=3)
+        same(out.m, g.transform(lambda s: ewm(s).mean()).sort_index())
+        np.testing.assert_allclose(out.v.astype(float), g.transform(lambda s: ewm(s).var()).sort_index(), rtol=1e-6, atol=1e-9, equal_nan=True)
+
+
+def test_exponential_long_gaps_and_many_periods(spark):
+    x = np.random.default_rng(5).random(2000).round(3)
+    x[0] = np.nan
+    x[300:900] = np.nan
+    pdf = pd.DataFrame({"i": np.arange(2000), "x": x})
+    df = to_spark(spark, pdf, "i long, x double")
+    for adjust in (True, False):
+        out = by_i(rolling.exponential(df, [], ["i"], {"m": ("mean", "x")}, adjust=adjust, alpha=0.5, min_periods=100))
+        same(out.m, pdf.x.ewm(alpha=0.5, adjust=adjust, min_periods=100).mean())
+
+
+def test_null_groups_and_times_keep_their_rows(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 2, 2.0), (None, 1, 5.0), ("a", None, 7.0)], "g string, t long, x double")
+    known = df.filter("t is not null")
+    for out in (ranks.shift(known, ["g"], ["t"], {"r": ("x", 1)}), rolling.rolling_rows(known, ["g"], ["t"], 2, {"r": ("sum", "x")}, 1),
+                rolling.rolling_weighted(known, ["g"], ["t"], "x", [1.0], "r"), rolling.exponential(known, ["g"], ["t"], {"r": ("mean", "x")}, alpha=0.5),
+                rolling.rolling_time(known, ["g"], "t", 5, {"r": ("sum", "x")})):
+        rows = out.collect()
+        assert len(rows) == 3 and [r.r for r in rows if r.g is None] == [None]
+    timed = rolling.rolling_time(df, ["g"], "t", 5, {"r": ("sum", "x")}).collect()
+    assert sorted((r.x, r.r) for r in timed if r.r is not None) == [(1.0, 1.0), (2.0, 3.0)] and len(timed) == 4
+    assert [r.g for r in rolling.autocorrelation(known, ["g"], ["t"], "x").collect()] == ["a"]
+
+
+def test_rank_of_dates_with_nulls(spark):
+    df = spark.createDataFrame([(0, "2024-02-01"), (1, None), (2, "2024-01-01"), (3, None), (4, "2024-01-01")], "i long, d string").withColumn("d", F.col("d").cast("date"))
+    values = pd.Series([2.0, np.nan, 1.0, np.nan, 1.0])
+    for method in ("average", "first"):
+        for ascending in (True, False):
+            for nulls in ("keep", "top", "bottom"):
+                same(by_i(ranks.rank(df, [], "d", "r", method, ascending, False, nulls, ["i"])).r, values.rank(method=method, ascending=ascending, na_option=nulls))
+
+
+def test_null_groups_in_statistics(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0)], "g string, x double")
+    for out in (stats.describe(df, ["g"], "x"), stats.value_counts(df, ["g"], "x"), stats.mean_abs_deviation(df, ["g"], "x"), stats.modes(df, ["g"], "x")):
+        assert {r.g for r in out.collect()} == {"a"}
+
+
+def test_bins_of_empty_and_constant_columns(spark):
+    empty, constant = (spark.createDataFrame(rows, "x double") for rows in ([(None,)], [(4.0,), (4.0,)]))
+    assert [r.n for r in reshape.histogram(empty, "x", 3).orderBy("bin").collect()] == [0, 0, 0]
+    assert sum(r.n for r in reshape.histogram(constant, "x", 3).collect()) == 2
+    assert constant.select(reshape.cut(F.col("x"), reshape.equal_width_edges(constant, "x", 3)).alias("b")).distinct().collect()[0].b == 1
+    for frame, reason in ((empty, "no values"), (constant, "coincide")):
+        with pytest.raises(ValueError, match=reason):
+            reshape.qcut(frame, "x", 2)
+    with pytest.raises(ValueError, match="no values"):
+        reshape.equal_width_edges(empty, "x", 3)
+
+
 def test_rolling_time_ends(spark):
     pdf = pd.DataFrame({"ts": pd.to_datetime("2024-01-01") + pd.to_timedelta(np.sort(np.random.default_rng(1).choice(5000, 400, replace=False)), "min")})
     pdf["x"], pdf["i"] = np.arange(400.0), np.arange(400)
@@ -200,16 +265,18 @@ def test_duplicates(df, pdf):
         assert by_i(grouping.flag_duplicates(df, ["g", "t"], ["i"], keep))["duplicated"].tolist() == pdf.duplicated(["g", "t"], keep=keep).tolist()
 
 
-def test_apply_groups_refuses_a_huge_group(df):
-    with pytest.raises(ValueError, match="apply_in_parts"):
-        grouping.apply_groups(df, ["g"], lambda p: p, KINDS, max_rows=100)
+def test_apply_with_summary(df, pdf):
+    part = lambda p: pd.DataFrame({"g": [p.g.iloc[0]], "n": [len(p)], "s": [p.i.sum()]})
+    merge = lambda p: p.groupby("g", as_index=False, dropna=False).sum()
+    out = grouping.apply_with_summary(df, ["g"], part, "g string, n long, s long", merge, lambda p: pd.DataFrame({"i": p.i, "c": p.i - p.s / p.n}), "i long, c double")
+    same(by_i(out).c, pdf.i - pdf.groupby("g").i.transform("mean"))
 
 
 def test_checks_that_raise(df):
     with pytest.raises(ValueError, match="not unique"):
         joins.checked_merge(df, df.select("g"), ["g"], "m:1")
     with pytest.raises(ValueError, match="duplicate"):
-        reshape.pivot(df, ["g"], "t", "x")
+        reshape.pivot(df, ["g"], "t", "x", [500])
 
 
 def test_weighted_sample_is_reproducible(df):
