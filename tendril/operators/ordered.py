@@ -22,7 +22,8 @@ from ..session import scratch_path
 
 CHUNK = "_chunk"
 BLOCK = "_block"
-MAX_CHUNKS = 4096
+CHUNK_ROWS = 16_000_000
+SAMPLED = 32
 
 
 def col(name: str) -> Column:
@@ -30,8 +31,9 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def chunk_count(df: DataFrame) -> int:
-    return max(8, min(MAX_CHUNKS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def chunk_count(df: DataFrame, rows: int) -> int:
+    """Enough chunks for every task of a shuffle, and so many that none is much over ``CHUNK_ROWS``."""
+    return max(8, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // CHUNK_ROWS)
 
 
 def sort_image(df: DataFrame, name: str) -> Column | None:
@@ -48,29 +50,25 @@ def sort_image(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def cut_points(df: DataFrame, name: str, chunks: int) -> tuple[list, dict[int, int]]:
-    """Distinct values splitting the column into ``chunks`` even parts, and which chunk numbers are heavy.
+def cut_points(df: DataFrame, name: str, chunks: int | None = None) -> tuple[list, dict[int, int], int]:
+    """Distinct values splitting the column into even parts, which chunk numbers are heavy, and the number of parts.
 
     Heavy is a value standing at several of the even splits, with the number of them; nulls count like a value. Cut points
-    are only hints: any list gives the same result, a good one balances the work. Numbers come from a quantile sketch,
-    strings from a sample of bounded expected size.
+    are only hints: any list gives the same result, a good one balances the work. They come from a sample over the whole
+    column, of ``SAMPLED`` values a chunk on average.
     """
     image = sort_image(df, name)
-    sizes = [F.count(F.lit(1)).alias("n"), F.count(col(name)).alias("known")]
-    if image is not None:
-        shares = [i / chunks for i in range(1, chunks)]
-        row = df.agg(F.percentile_approx(image, shares, max(10 * chunks, 1000)).alias("p"), *sizes).first()
-        splits = [p for p in row["p"] or [] if p is not None and p == p]
-    else:
-        row, keep = df.agg(*sizes).first(), 64 * chunks
-        known = df.select(col(name).alias("v")).filter("v is not null")
-        values = sorted(r["v"] for r in known.sample(min(1.0, keep / max(row["known"], 1)), 7).limit(4 * keep).collect())
-        splits = [values[i * len(values) // chunks] for i in range(1, chunks)] if values else []
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count(col(name)).alias("known")).first()
+    chunks = chunks or chunk_count(df, row["n"])
+    known = df.select((col(name) if image is None else image).alias("v")).filter("v is not null")
+    sample = known.sample(min(1.0, SAMPLED * chunks / max(row["known"], 1)), 7).collect()
+    values = sorted(r["v"] for r in sample if r["v"] == r["v"])
+    splits = [values[i * len(values) // chunks] for i in range(1, chunks)] if values else []
     times = Counter(splits)
     points = sorted(times)
     heavy = {2 * i + 1: times[p] for i, p in enumerate(points) if times[p] > 1}
     nulls = (row["n"] - row["known"]) * chunks // max(row["n"], 1)
-    return points, heavy | ({-1: nulls} if nulls else {})
+    return points, heavy | ({-1: nulls} if nulls else {}), chunks
 
 
 def _at_least(x: Column, points: list, strict: bool) -> Column:
@@ -98,23 +96,26 @@ def chunk_number(x: Column, points: list) -> Column:
     return F.when(x.isNull(), -1).otherwise(number).cast("long")
 
 
-def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None, levels: int = 4) -> DataFrame:
+def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None) -> DataFrame:
     """Add an order-preserving chunk number.
 
     A heavy value of the first column is a chunk of its own; such chunks are cut again along the next column, and so on,
     so ties are split as far as the order columns can split them.
     """
-    chunks = chunks or chunk_count(df)
     columns = df.columns
-    for depth, name in enumerate(order[:levels]):
-        points, heavy = cut_points(df.filter("_heavy") if depth else df, name, chunks)
+    numbers = 1
+    for depth, name in enumerate(order):
+        points, heavy, chunks = cut_points(df.filter("_heavy") if depth else df, name, chunks)
+        numbers *= 2 * len(points) + 3
+        if numbers >= 1 << 62:  # a chunk number is a long
+            break
         image = sort_image(df, name)
         number = chunk_number(col(name) if image is None else image, points)
         if depth == 0:
             df = df.withColumn(CHUNK, number).withColumn("_heavy", col(CHUNK).isin(list(heavy)))
         else:
             df = df.withColumn("_part", F.when(col("_heavy"), number + 1).otherwise(F.lit(0)))
-            df = df.withColumns({CHUNK: col(CHUNK) * F.lit(4 * MAX_CHUNKS) + col("_part"), "_heavy": col("_heavy") & (col("_part") - 1).isin(list(heavy))})
+            df = df.withColumns({CHUNK: col(CHUNK) * F.lit(2 * len(points) + 3) + col("_part"), "_heavy": col("_heavy") & (col("_part") - 1).isin(list(heavy))})
         if not heavy:
             break
         chunks = max(8, min(chunks, 2 * max(heavy.values())))
