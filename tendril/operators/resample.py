@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -21,27 +23,88 @@ def from_micros(value: Column) -> Column:
     return F.timestamp_micros(value).cast(NTZ)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A calendar unit: the label of the bin that holds a time, the start of the unit, and the months or days to the next one."""
+
+    start: Callable[[Column], Column]
+    label: Callable[[Column], Column]  # of a start
+    months: int = 0
+    days: int = 0
+
+
+def _trunc(unit: str) -> Callable[[Column], Column]:
+    return lambda ts: F.date_trunc(unit, ts).cast("date")
+
+
+def _unit_end(months: int) -> Callable[[Column], Column]:
+    return lambda start: F.last_day(F.add_months(start, months - 1))
+
+
+def _work_day_before(day: Column) -> Column:
+    """The day itself, or the Friday before a weekend."""
+    return F.date_sub(day, F.greatest(F.weekday(day) - 4, F.lit(0)))
+
+
+def _work_month(ts: Column) -> Column:
+    """The first day of the month whose last working day is the next at or after ``ts``."""
+    month = F.date_trunc("month", ts).cast("date")
+    return F.when(ts.cast("date") > _work_day_before(F.last_day(month)), F.add_months(month, 1)).otherwise(month)
+
+
+_SAME = lambda start: start
+
+# Units labelled by their first day, and those closed and labelled on the right, by their last.
+RULES = {
+    "week": Rule(_trunc("week"), _SAME, days=7),
+    "month": Rule(_trunc("month"), _SAME, months=1),
+    "quarter": Rule(_trunc("quarter"), _SAME, months=3),
+    "year": Rule(_trunc("year"), _SAME, months=12),
+    "week_end": Rule(_trunc("week"), lambda start: F.date_add(start, 6), days=7),
+    "month_end": Rule(_trunc("month"), _unit_end(1), months=1),
+    "quarter_end": Rule(_trunc("quarter"), _unit_end(3), months=3),
+    "year_end": Rule(_trunc("year"), _unit_end(12), months=12),
+    "work_month_end": Rule(_work_month, lambda start: _work_day_before(F.last_day(start)), months=1),
+    "work_day": Rule(lambda ts: _work_day_before(ts.cast("date")), _SAME, days=1),  # a weekend belongs to its Friday
+}
+BLOCK = 4096
+
+
 def time_bin(ts: Column, rule: timedelta | str, closed: str = "left", label: str = "left", base: timedelta = timedelta(0)) -> Column:
-    """Label of the bin holding ``ts``: a fixed width, or 'month', 'quarter', 'year' (labelled by their first day)."""
+    """Label of the bin holding ``ts``: a fixed width, or the name of one of ``RULES``."""
     if isinstance(rule, str):
-        return F.date_trunc(rule, ts).cast(NTZ)
+        return RULES[rule].label(RULES[rule].start(ts)).cast(NTZ)
     width, shift = rule // timedelta(microseconds=1), base // timedelta(microseconds=1)
     t = micros(ts) - shift
     start = F.floor(t / width) if closed == "left" else F.ceil(t / width) - 1
     return from_micros(((start + (1 if label == "right" else 0)) * width + shift).cast("long"))
 
 
-def step(rule: timedelta | str) -> Column:
-    if isinstance(rule, str):
-        months = {"month": 1, "quarter": 3, "year": 12}[rule]
-        return F.make_ym_interval(F.lit(0), F.lit(months))
-    return F.make_dt_interval(secs=F.lit(rule.total_seconds()).cast("decimal(18,6)"))
+def _numbers(df: DataFrame, n: Column) -> DataFrame:
+    """Each row once per number ``_i`` from 0 to n, dealt out in blocks: one row's numbers may be many."""
+    blocks = df.withColumn("_n", n.cast("long")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(col("_n") / BLOCK))).alias("_block"))
+    first = col("_block") * BLOCK
+    dealt = blocks.repartition(*[col(c) for c in df.columns], col("_block"))
+    return dealt.select(*[col(c) for c in df.columns], F.explode(F.sequence(first, F.least(first + BLOCK - 1, col("_n")))).alias("_i"))
 
 
 def calendar(df: DataFrame, by: list[str], on: str, rule: timedelta | str) -> DataFrame:
     """Every bin label between the first and last label of each group."""
-    ends = df.groupBy(*[col(k) for k in by]).agg(F.min(col(on)).alias("_lo"), F.max(col(on)).alias("_hi"))
-    return ends.select(*[col(k) for k in by], F.explode(F.sequence(col("_lo"), col("_hi"), step(rule))).alias(on))
+    ends = df.groupBy(*[col(k) for k in by]).agg(F.min(col(on)).alias("_lo"), F.max(col(on)).alias("_hi")).filter(col("_lo").isNotNull())
+    i = col("_i").cast("int")
+    if not isinstance(rule, str):
+        width = rule // timedelta(microseconds=1)
+        made = _numbers(ends, F.floor((micros(col("_hi")) - micros(col("_lo"))) / width))
+        return made.select(*[col(k) for k in by], from_micros(micros(col("_lo")) + col("_i") * width).alias(on))
+    unit = RULES[rule]
+    lo, hi = unit.start(col("_lo")), unit.start(col("_hi"))
+    steps = (F.months_between(hi, lo) / unit.months) if unit.months else F.datediff(hi, lo) / unit.days
+    # months are counted from the start of a unit, so no day is out of range
+    at = F.add_months(lo, i * unit.months) if unit.months else F.date_add(lo, i * unit.days)
+    made = _numbers(ends, F.round(steps)).withColumn("_at", at)
+    if rule == "work_day":
+        made = made.filter(F.weekday(col("_at")) < 5)
+    return made.select(*[col(k) for k in by], unit.label(col("_at")).cast(NTZ).alias(on))
 
 
 def resample(
@@ -82,11 +145,14 @@ def equi_join_outer(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 def date_range(spark, start: str, end: str | None = None, periods: int | None = None, freq: str = "1 day", name: str = "date",
                business: bool = False) -> DataFrame:
     """Evenly spaced timestamps from start to end, or ``periods`` of them; ``business`` keeps Monday to Friday."""
+    first, step = f"timestamp_ntz'{start}'", f"interval {freq}"
+    if end is not None:
+        one, all_ = spark.range(1).selectExpr(*[f"unix_micros(cast({x} as timestamp)) - unix_micros(cast({first} as timestamp))" for x in (f"{first} + {step}", f"timestamp_ntz'{end}'")]).first()
+        # no month is shorter than the first by more than a tenth, no year by more than a day
+        periods = max(0, int(1.15 * all_ / one) + 2)
+    out = spark.range(periods).selectExpr(f"{first} + id * {step} AS {name}")
     if end is not None:
-        series = f"sequence(timestamp_ntz'{start}', timestamp_ntz'{end}', interval {freq})"
-    else:
-        series = f"transform(sequence(0, {periods - 1}), i -> timestamp_ntz'{start}' + i * interval {freq})"
-    out = spark.range(1).selectExpr(f"explode({series}) AS {name}")
+        out = out.filter(col(name) <= F.expr(f"timestamp_ntz'{end}'"))
     return out.filter(F.weekday(col(name)) < 5) if business else out
 
 

@@ -122,11 +122,13 @@ def cartesian_product(t):
 
 @query("b08_concat_keyed", """
     SELECT 'open' AS source, o_orderkey, o_totalprice, NULL AS o_orderdate FROM orders WHERE o_orderstatus = 'O'
-    UNION ALL BY NAME SELECT 'final' AS source, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'""")
+    UNION ALL BY NAME SELECT 'final' AS source, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL BY NAME SELECT 'partial' AS source, o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'P'""")
 def concat_keyed(t):
     return joins.concat_keyed({
         "open": t.orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice"),
         "final": t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderdate"),
+        "partial": t.orders.filter("o_orderstatus = 'P'").select("o_orderkey", "o_totalprice", "o_orderdate"),
     })
 
 

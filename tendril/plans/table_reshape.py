@@ -15,15 +15,15 @@ def pivot_table_margins(t):
     return reshape.pivot_table(rows, ["l_returnflag"], "l_linestatus", {"mean": F.round(F.avg("l_quantity"), 6)}, ["F", "O"], margins=True)
 
 
-@query("b57_pivot_table_two_aggregates", """
-    SELECT c_nationkey, count(*) FILTER (c_mktsegment = 'BUILDING') AS BUILDING_n, round(sum(c_acctbal) FILTER (c_mktsegment = 'BUILDING'), 2) AS BUILDING_total,
-           count(*) FILTER (c_mktsegment = 'MACHINERY') AS MACHINERY_n, round(sum(c_acctbal) FILTER (c_mktsegment = 'MACHINERY'), 2) AS MACHINERY_total
-    FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1""")
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_SEGMENT_COLUMNS = ", ".join(f"count(*) FILTER (c_mktsegment = '{s}') AS {s}_n, round(sum(c_acctbal) FILTER (c_mktsegment = '{s}'), 2) AS {s}_total" for s in SEGMENTS)
+
+
+@query("b57_pivot_table_two_aggregates", f"SELECT c_nationkey, {_SEGMENT_COLUMNS} FROM customer GROUP BY 1")
 def pivot_table_two(t):
-    rows = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
     aggs = {"n": F.count("*"), "total": F.round(F.sum("c_acctbal"), 2)}
-    wide = reshape.pivot_table(rows, ["c_nationkey"], "c_mktsegment", aggs, ["BUILDING", "MACHINERY"])
-    return wide.na.fill(0, ["BUILDING_n", "MACHINERY_n"])
+    wide = reshape.pivot_table(t.customer, ["c_nationkey"], "c_mktsegment", aggs, SEGMENTS)
+    return wide.na.fill(0, [f"{s}_n" for s in SEGMENTS])
 
 
 @query("b58_pivot_unique", """

@@ -1,6 +1,7 @@
 """Time bins, calendars, date parts and time filters on the benchmark tables."""
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -33,6 +34,36 @@ def monthly_grouper(t):
     return rs.resample(t.orders, ["o_orderstatus"], "o_orderdate", "month", {"mean": F.round(F.avg("o_totalprice") + 1e-6, 4)})
 
 
+_ENDS = {  # rule, its label in SQL
+    "week_end": "date_trunc('week', d) + INTERVAL 6 DAY",
+    "month_end": "last_day(d)",
+    "quarter_end": "date_trunc('quarter', d) + INTERVAL 3 MONTH - INTERVAL 1 DAY",
+    "work_day": "d - greatest(isodow(d) - 5, 0)::INT",
+    "work_month_end": """CASE WHEN d > last_day(d) - greatest(isodow(last_day(d)) - 5, 0)::INT THEN last_day(d + 7) - greatest(isodow(last_day(d + 7)) - 5, 0)::INT
+        ELSE last_day(d) - greatest(isodow(last_day(d)) - 5, 0)::INT END""",
+}
+
+
+_UNIT_ENDS = " UNION ALL ".join(f"""
+    SELECT o_orderstatus, '{rule}' AS rule, g.bin, coalesce(n, 0) AS n, top
+    FROM (SELECT DISTINCT ({label})::TIMESTAMP AS bin FROM days) g
+    JOIN (SELECT o_orderstatus, min(({label})::TIMESTAMP) AS lo, max(({label})::TIMESTAMP) AS hi FROM o GROUP BY 1) e ON g.bin BETWEEN lo AND hi
+    LEFT JOIN (SELECT o_orderstatus, ({label})::TIMESTAMP AS bin, count(*) AS n, max(o_totalprice) AS top FROM o GROUP BY 1, 2) b USING (o_orderstatus, bin)""" for rule, label in _ENDS.items())
+
+
+@query("b51_unit_ends", f"""
+    WITH o AS (SELECT o_orderstatus, o_orderdate::DATE AS d, o_totalprice FROM orders),
+         days AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS d FROM o)
+    {_UNIT_ENDS}""")
+def unit_ends(t):
+    """Bins of weeks, months, quarters, working days and months of working days, labelled as their rule says."""
+    parts = []
+    for rule in _ENDS:
+        out = rs.resample(t.orders, ["o_orderstatus"], "o_orderdate", rule, {"n": F.count("*"), "top": F.max("o_totalprice")}).na.fill(0, ["n"])
+        parts.append(out.select("o_orderstatus", F.lit(rule).alias("rule"), F.col("o_orderdate").alias("bin"), "n", "top"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 _UP = """
     WITH h AS (SELECT user_id, date_trunc('day', ts) AS ts, max(value) AS v FROM events WHERE event_type = 'signup' GROUP BY 1, 2),
          g AS (SELECT user_id, unnest(generate_series(min(ts), max(ts), INTERVAL 12 HOUR)) AS ts FROM h GROUP BY 1),
@@ -104,10 +135,9 @@ def between_time(t):
 
 
 @query("b55_at_time_and_truncate", """
-    SELECT o_orderkey FROM orders WHERE o_orderdate::TIME = TIME '00:00:00' AND o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31'""")
+    SELECT o_orderkey, date_trunc('month', o_orderdate)::TIMESTAMP AS month FROM orders WHERE o_orderdate::TIME = TIME '00:00:00'""")
 def at_time(t):
-    year = t.orders.filter("o_orderdate between timestamp_ntz'1996-01-01' and timestamp_ntz'1996-12-31'")
-    return rs.at_time(year, "o_orderdate", "00:00:00").select("o_orderkey")
+    return rs.at_time(t.orders, "o_orderdate", "00:00:00").select("o_orderkey", F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"))
 
 
 @query("b55_first_and_last_span", """

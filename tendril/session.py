@@ -15,7 +15,6 @@ SETTINGS = {
     # a skewed join side is split even when that costs one more exchange above the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

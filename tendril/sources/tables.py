@@ -13,7 +13,6 @@ from ..operators.grouping import drop_duplicates
 from ..operators.normalize import map_columns, stack
 from ..operators.ordered import col, settle
 from ..operators.profile import drop_empty_columns
-from ..session import prepare
 
 
 def read_prefix(spark: SparkSession, path: str, year: int | str | None = None) -> DataFrame:
@@ -112,12 +111,11 @@ def write_database(df: DataFrame, url: str, table: str, mode: str = "append", pa
 
 def write_packages(df: DataFrame, path: str, package: Column) -> None:
     """Extracted rows under package=<id> within year and month; a rerun of a package replaces only its own files."""
-    prepare(df.sparkSession)
     keyed = df.withColumn("package", package)
     keyed = keyed.withColumns({"year": F.substring("package", 1, 4), "month": F.substring("package", 5, 2)})
     parts = ["year", "month", "package"]
     # rebalancing gathers a package's rows but splits a package that would be one huge task
-    keyed.hint("rebalance", *[F.col(p) for p in parts]).write.mode("overwrite").partitionBy(*parts).parquet(path)
+    keyed.hint("rebalance", *[F.col(p) for p in parts]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
 def append_years(df: DataFrame, path: str, year: str = "year", files_per_year: int | None = None, max_records: int = 5_000_000) -> None:
@@ -153,7 +151,6 @@ def compact_month(spark: SparkSession, path: str, new: DataFrame, month: str, ke
 
     The combined month is settled in scratch before the partition is replaced, so a lost job leaves one full copy.
     """
-    prepare(spark)
     new = new.withColumn("month", F.lit(month))
     try:
         old = spark.read.parquet(path).withColumn("month", F.col("month").cast("string")).filter(F.col("month") == month)
@@ -163,7 +160,7 @@ def compact_month(spark: SparkSession, path: str, new: DataFrame, month: str, ke
             raise
         both = new
     full = settle(drop_duplicates(both, keys, order, keep="last"), "month")
-    full.write.mode("overwrite").partitionBy("month").parquet(path)
+    full.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
     return full
 
 

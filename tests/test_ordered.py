@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tendril.operators import fills, grouping, joins, ranks, reshape, rolling, stats
+from tendril.operators import fills, grouping, joins, ranks, resample, reshape, rolling, stats
 from tendril.operators import ordered as od
 
 N = 1500
@@ -298,3 +298,11 @@ def test_apply_in_parts_over_many_batches(spark, df, pdf):
             assert out.n.tolist() == want["size"].tolist() and out.s.tolist() == want["sum"].tolist()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("rule,alias", [("week_end", "W"), ("month_end", "ME"), ("quarter_end", "QE"), ("year_end", "YE"), ("work_day", "B"), ("work_month_end", "BME"), ("month", "MS"), (timedelta(hours=1), "h")])
+def test_resample_bins_are_those_of_pandas(spark, rule, alias):
+    times = pd.to_datetime(["2023-12-29 05:00", "2023-12-31 23:30", "2024-01-06 12:00", "2024-02-29 00:00", "2024-03-31 08:00", "2024-06-30 17:00"])
+    want = pd.Series(1, index=times).resample(alias).sum()
+    got = resample.resample(spark.createDataFrame([(x.to_pydatetime(),) for x in times], "ts timestamp_ntz"), [], "ts", rule, {"n": F.count("*")}).na.fill(0, ["n"]).toPandas().sort_values("ts")
+    assert list(got["ts"]) == list(want.index) and list(got["n"]) == list(want)

@@ -140,6 +140,12 @@ def test_listed_pairs(spark):
     assert sorted(map(tuple, rec.listed_pairs(df).collect())) == [("a", "x"), ("a", "x"), ("a", "y"), ("b", "y")]
 
 
+def test_stop_words_are_those_of_spark(spark):
+    from tendril.plans.text_features import STOP
+
+    assert STOP == tx.default_stop_words("en")
+
+
 def test_tf_idf_unit_length_and_accents(spark):
     df = spark.createDataFrame([(k, f"Été the rain {'sun' if k % 2 else 'sea'}") for k in range(10)], "k int, text string")
     out = tx.tf_idf(df, "k", "text", ["the"], min_df=5, longest=2).toPandas()
