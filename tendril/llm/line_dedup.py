@@ -17,7 +17,7 @@ give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bucketed, components, once, stored
@@ -121,12 +121,12 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     different = lines.groupBy("h", "c", "length").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("places"), F.first("line").alias("line"))
     different = bucketed(different.withColumn("id", F.monotonically_increasing_id()), "lines", ["h", "c", "length"])
 
-    made = different.select("id", F.explode(entries(F.col("line"), F.col("length"), edits)).alias("e")).select("id", "e.key", "e.index")
-    # a line with many equal substrings meets itself only
-    per_key = Window.partitionBy("key")
-    met = (made.withColumn("n_index", F.sum(F.col("index").cast("long")).over(per_key)).withColumn("n", F.count(F.lit(1)).over(per_key))
-           .where("n > 1 AND n_index > 0").distinct())
-    met = stored(met.select("key", "id", "index", F.ceil(F.col("n_index") / BLOCK).cast("int").alias("blocks")), "met")
+    # a line's equal entries count once; a line with many equal substrings would else meet itself only
+    made = different.select("id", F.explode(F.array_distinct(entries(F.col("line"), F.col("length"), edits))).alias("e")).select("id", "e.key", "e.index")
+    # counts merge before they are shuffled, and the join on them can split a key that very many lines share
+    shared = made.groupBy("key").agg(F.count_if("index").alias("n_index"), F.count(F.lit(1)).alias("n")).where("n > 1 AND n_index > 0")
+    shared = stored(shared.select("key", F.ceil(F.col("n_index") / BLOCK).cast("int").alias("blocks")), "shared")
+    met = stored(made.join(shared, "key").select("key", "id", "index", "blocks"), "met")
     named = different.select("id", "h", "c", "length").join(met.select("id").distinct(), "id")
     texts = once(different.drop("id").join(named, ["h", "c", "length"]).select("id", "line"), "counts", letter_counts(F.col("line")))
     texts = stored(texts, "met_lines")
