@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import sys
 import textwrap
 import unicodedata
 
@@ -36,14 +38,46 @@ def extract_all(df: DataFrame, column: str, pattern: str, names: list[str], matc
     return whole.select(*df.columns, match, *groups)
 
 
+@functools.cache
+def _foldings() -> tuple[str, str, str]:
+    """(from, to, rest): letters that fold to one character, with marks that fold to none last, and a pattern of what folds to several."""
+    one, none, rest = [], [], []
+    for n in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= n <= 0xDFFF:
+            continue
+        folded = _fold(chr(n))
+        if folded == chr(n):
+            continue
+        if len(folded) > 1 or n > 0x2FFF:
+            if rest and rest[-1][1] == n - 1:
+                rest[-1][1] = n
+            else:
+                rest.append([n, n])
+        elif folded:
+            one.append((chr(n), folded))
+        else:
+            none.append(chr(n))
+    return "".join(a for a, _ in one) + "".join(none), "".join(b for _, b in one), "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in rest) + "]"
+
+
+def _fold(text: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", text) if not unicodedata.combining(x))
+
+
 def strip_accents(c: Column) -> Column:
-    """Drop combining marks after canonical decomposition."""
+    """Drop combining marks after canonical decomposition.
+
+    Characters with a single counterpart are translated; only texts with others go to Python, the rest are sent as null.
+    """
 
     @F.pandas_udf("string")
     def folded(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else "".join(x for x in unicodedata.normalize("NFKD", v) if not unicodedata.combining(x)))
+        return s.map(lambda v: None if v is None else _fold(v))
 
-    return F.when(c.rlike("[^\\x00-\\x7F]"), folded(c)).otherwise(c)
+    letters, bases, several = _foldings()
+    plain = F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(c, letters, bases)).otherwise(c)
+    more = plain.rlike(several)
+    return F.when(more, folded(F.when(more, plain))).otherwise(plain)
 
 
 def normalize(c: Column, form: str = "NFC") -> Column:

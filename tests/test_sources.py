@@ -2,12 +2,14 @@
 
 import io
 import tarfile
+import unicodedata
 from datetime import datetime
 
 import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from tendril.functions import strings as st
 from tendril.operators import recommend as rec
 from tendril.operators import text as tx
 from tendril.sources import packages as pk
@@ -140,6 +142,13 @@ def test_listed_pairs(spark):
     assert sorted(map(tuple, rec.listed_pairs(df).collect())) == [("a", "x"), ("a", "x"), ("a", "y"), ("b", "y")]
 
 
+def test_accents_fold_as_in_unicode(spark):
+    texts = ["Crème brûlée", "plain", "", None, "ﬁn … ½ ™ Å ș Ω", "한국 ﾊﾝｶｸ", "e\u0301\u0327x \u00a0y", "𝒳 日本"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", st.strip_accents(F.col("x")).alias("y")).collect()
+    want = [None if x is None else "".join(y for y in unicodedata.normalize("NFKD", x) if not unicodedata.combining(y)) for x in texts]
+    assert [r.y for r in sorted(rows)] == want
+
+
 def test_stop_words_are_those_of_spark(spark):
     from tendril.plans.text_features import STOP
 
