@@ -100,20 +100,28 @@ def gaussian_weights(n: int, std: float) -> list[float]:
 
 
 def expanding(df: DataFrame, by: list[str], order: list[str], column: str, outs: dict[str, str], min_periods: int = 1) -> DataFrame:
-    """Statistics over all rows up to the current one: count, sum, mean, min, max, var or std.
+    """Statistics over all rows up to the current one: count, sum, mean, min, max, var, std, skew or kurt (bias-corrected).
 
-    Variances are merged from sums of deviations from the column's overall mean, which keeps them well conditioned.
+    Moments are merged from powers of deviations from the column's overall mean, which keeps them well conditioned.
+    Skew and kurt of values without variance are null.
     """
     x = col(column)
     aggs = {"_n": ("count", x), "_s": ("sum", x), "_lo": ("min", x), "_hi": ("max", x)}
-    if {"var", "std"} & set(outs.values()):
+    if {"var", "std", "skew", "kurt"} & set(outs.values()):
         centre = df.agg(F.avg(x)).first()[0] or 0.0
         aggs |= {"_d": ("sum", x - centre), "_q": ("sum", (x - centre) * (x - centre))}
+    if {"skew", "kurt"} & set(outs.values()):
+        aggs |= {"_p3": ("sum", F.pow(x - centre, F.lit(3))), "_p4": ("sum", F.pow(x - centre, F.lit(4)))}
     work = running(df, by, order, aggs)
     var = F.when(col("_n") > 1, F.greatest(F.lit(0.0), (col("_q") - col("_d") * col("_d") / col("_n"))) / (col("_n") - 1)) \
         if "_q" in aggs else None
     values = {"count": col("_n"), "sum": col("_s"), "mean": col("_s") / col("_n"), "min": col("_lo"), "max": col("_hi"),
               "var": var, "std": None if var is None else F.sqrt(var)}
+    if "_p3" in aggs:
+        n, m, s2, s3, s4 = col("_n"), col("_d") / col("_n"), col("_q") / col("_n"), col("_p3") / col("_n"), col("_p4") / col("_n")
+        m2 = s2 - m * m
+        m3, m4 = s3 - 3 * m * s2 + 2 * F.pow(m, F.lit(3)), s4 - 4 * m * s3 + 6 * m * m * s2 - 3 * F.pow(m, F.lit(4))
+        values |= {"skew": F.when(m2 > 0, unbiased_skewness(m3 / F.pow(m2, F.lit(1.5)), n)), "kurt": F.when(m2 > 0, unbiased_kurtosis(m4 / (m2 * m2) - 3, n))}
     made = {name: F.when(col("_n") >= min_periods, values[fn]) for name, fn in outs.items()}
     return work.withColumns(made).select(*[col(c) for c in [*df.columns, *outs]])
 

@@ -96,6 +96,14 @@ def correlation_pairs(df: DataFrame, columns: list[str], by: list[str] = (), min
     return wide.select(*[col(k) for k in by], F.inline("_cells"))
 
 
+def correlate_with(left: DataFrame, right: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """Correlation of each column with the column of the same name in another frame, over rows of equal keys: (column, corr)."""
+    other = right.select(*[col(k) for k in on], *[col(c).alias(f"_r{i}") for i, c in enumerate(columns)])
+    joined = left.join(other, on)
+    cells = [F.struct(F.lit(c).alias("column"), F.corr(F.when(col(f"_r{i}").isNotNull(), col(c)), F.when(col(c).isNotNull(), col(f"_r{i}"))).alias("corr")) for i, c in enumerate(columns)]
+    return joined.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
+
+
 def _spearman(df: DataFrame, columns: list[str], by: list[str], min_periods: int) -> DataFrame:
     from .ranks import rank
 

@@ -316,3 +316,12 @@ def vectorised_user_function(t):
 
     return t.lineitem.transform(lambda df: df.select(
         "l_orderkey", "l_linenumber", "l_partkey", unit("l_extendedprice", "l_quantity").alias("unit")))
+
+
+@query("b41_correlate_with", """
+    WITH j AS (SELECT c_acctbal, s_acctbal, c_nationkey, s_nationkey FROM customer JOIN supplier ON c_custkey = s_suppkey)
+    SELECT 'acctbal' AS "column", round(corr(c_acctbal, s_acctbal), 8) AS corr FROM j UNION ALL SELECT 'nationkey', round(corr(c_nationkey, s_nationkey), 8) FROM j""")
+def correlate_with(t):
+    left = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("acctbal"), F.col("c_nationkey").alias("nationkey"))
+    right = t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nationkey"))
+    return stats.correlate_with(left, right, ["k"], ["acctbal", "nationkey"]).withColumn("corr", F.round("corr", 8))

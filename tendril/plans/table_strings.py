@@ -67,10 +67,9 @@ def strip_pad(t):
                          F.rpad("p_type", 12, ".").alias("padded"), F.repeat(F.substring("p_type", 1, 1), 3).alias("rep"))
 
 
-@query("b72_unicode_normalise_and_fold", "SELECT doc_id, nfc_normalize(text) AS nfc, strip_accents(text) AS folded FROM documents WHERE lang = 'fr'")
+@query("b72_unicode_normalise_and_fold", "SELECT doc_id, nfc_normalize(text) AS nfc, strip_accents(text) AS folded FROM documents")
 def unicode_normalise(t):
-    french = t.spread("documents").filter("lang = 'fr'")
-    return french.select("doc_id", S.normalize(F.col("text")).alias("nfc"), S.strip_accents(F.col("text")).alias("folded"))
+    return t.spread("documents").select("doc_id", S.normalize(F.col("text")).alias("nfc"), S.strip_accents(F.col("text")).alias("folded"))
 
 
 @query("b72_wrap")

@@ -306,3 +306,11 @@ def test_resample_bins_are_those_of_pandas(spark, rule, alias):
     want = pd.Series(1, index=times).resample(alias).sum()
     got = resample.resample(spark.createDataFrame([(x.to_pydatetime(),) for x in times], "ts timestamp_ntz"), [], "ts", rule, {"n": F.count("*")}).na.fill(0, ["n"]).toPandas().sort_values("ts")
     assert list(got["ts"]) == list(want.index) and list(got["n"]) == list(want)
+
+
+def test_expanding_shapes(df, pdf):
+    got = by_i(rolling.expanding(df, ["g"], ["t", "i"], "x", {"s": "skew", "k": "kurt"}))
+    for name, fn in (("s", "skew"), ("k", "kurt")):
+        want = getattr(groups(pdf)["x"].expanding(), fn)().reset_index(level=0, drop=True).sort_index()
+        known = want.notna().to_numpy()
+        np.testing.assert_allclose(got[name].to_numpy(float)[known], want.to_numpy()[known], rtol=1e-6, atol=1e-6)
