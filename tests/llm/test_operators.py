@@ -275,3 +275,15 @@ def test_pipeline_keeps_columns_and_rows_shrink(spark):
         before = df.count()
     out = corpus_pipeline.STAGES[-1][1](spark, df, ROOT)
     assert out.count() == before and out.groupBy("shard").agg((F.max("slot") + 1 - F.count("*")).alias("gap")).where("gap <> 0").count() == 0
+
+
+def test_stages_take_empty_tables(spark, odd):
+    bench = spark.createDataFrame([(4, BASE)], "item_id long, text string")
+    labels = spark.createDataFrame([(4, 0, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
+    stages = [quality.keep_good, ngram_join.keep_one, lambda d: decontamination.drop_contaminated(d, bench), lambda d: mixing.draw(d, labels), sharding.shard_report]
+    for stage in stages:
+        assert stage(odd.limit(0)).count() == 0
+    kept = [r.doc_id for r in decontamination.drop_contaminated(odd, bench).collect()]
+    assert {1, 2, 3, 13} <= set(kept) and not {5, 6} & set(kept)
+    one = Counter(r.doc_id for r in ngram_join.keep_one(odd).collect())
+    assert one[5] == 1 and not one[6] and not one[7]
