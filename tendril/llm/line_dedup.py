@@ -10,8 +10,8 @@ Exact copies are grouped before, so the join sees different lines only. A key th
 index lines and each probe is held against a block as one row: there is no row per pair, only per verified link. Links
 give classes by connected components; the first line (by document, then place) of a class stays, the others go.
 
-Only lines of at least ``min_chars`` characters take part; shorter ones stay (k edits turn them into anything). Null and empty
-texts have no lines. Rows with equal keys (null included) count as one document: a repeated row adds nothing. Empty tables
+Exact copies are grouped over all lines with a visible character; blank lines stay. Only lines of at least ``min_chars``
+characters take part in the edit join (k edits turn shorter ones into anything). Null and empty texts have no lines. Rows with equal keys (null included) count as one document: a repeated row adds nothing. Empty tables
 give no rows.
 """
 
@@ -25,6 +25,7 @@ from .common import bucketed, components, once, stored
 EDITS = 2
 MIN_CHARS = 16
 BLOCK = 32
+VISIBLE = r"[^\x20\x09-\x0D]"
 
 LETTER_GROUPS = ["ea", "tn", "ri", "os", "hl", "dcu", "mfp", "gwyb", "vkxjqz", "EATNRIOSHLDCUMFPGWYBVKXJQZ", "0123456789", " .", ",;:!?'\"-()", "éèêàçùôî", "äöüß", "ñóíá"]
 
@@ -110,18 +111,18 @@ def document_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _identified(lines: DataFrame) -> DataFrame:
-    return lines.select("doc", "place", "line", F.length("line").alias("length"), F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("c"))
+    return lines.where(F.col("line").rlike(VISIBLE)).select("doc", "place", "line", F.length("line").alias("length"), F.xxhash64("line").alias("h"), F.crc32(F.col("line").cast("binary")).alias("c"))
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
     """(lines, near): each distinct line (h, c, length) with its first place and number of places, and for those with near
     ones the first place of their class as well."""
-    lines = _identified(document_lines(docs, key, text)).where(F.col("length") >= min_chars)
+    lines = _identified(document_lines(docs, key, text))
     # one row per different line, bucketed by what names it: the text is shuffled here and never again
     different = lines.groupBy("h", "c", "length").agg(F.min(F.struct("doc", "place")).alias("first"), F.count(F.lit(1)).alias("places"), F.first("line").alias("line"))
     different = bucketed(different.withColumn("id", F.monotonically_increasing_id()), "lines", ["h", "c", "length"])
 
-    made = different.select("id", F.explode(entries(F.col("line"), F.col("length"), edits)).alias("e")).select("id", "e.key", "e.index")
+    made = different.where(F.col("length") >= min_chars).select("id", F.explode(entries(F.col("line"), F.col("length"), edits)).alias("e")).select("id", "e.key", "e.index")
     # a line with many equal substrings meets itself only
     per_key = Window.partitionBy("key")
     met = (made.withColumn("n_index", F.sum(F.col("index").cast("long")).over(per_key)).withColumn("n", F.count(F.lit(1)).over(per_key))
@@ -152,7 +153,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edit
     different, near = line_classes(docs, key, text, edits, min_chars)
     found = different.join(near, ["h", "c", "length"], "left").withColumn("stays", F.coalesce("class_first", "first"))
     found = found.where((F.col("places") > 1) | (F.col("stays") != F.col("first")))
-    places = _identified(document_lines(docs, key, text)).where(F.col("length") >= min_chars).select("doc", "place", "h", "c", "length")
+    places = _identified(document_lines(docs, key, text)).select("doc", "place", "h", "c", "length")
     gone = places.join(found, ["h", "c", "length"]).where(~(F.struct("doc", "place").eqNullSafe(F.col("stays"))))
     return gone.select("doc", "place", (F.col("stays") != F.col("first")).alias("near"), F.col("stays.doc").alias("kept_doc"), F.col("stays.place").alias("kept_place"))
 

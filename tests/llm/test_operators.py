@@ -111,6 +111,13 @@ def test_line_dedup(spark):
     assert all(r.w == (edits(r.a, r.b) <= 2) for r in found)
 
 
+def test_short_exact_copies_go(spark):
+    df = spark.createDataFrame([(1, "Read more\n-\n \t\n\nRead more"), (2, "Read mora\n-\n\n \t"), (3, "Read more")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_exact, r.n_near, [(x.line, x.kept_doc, x.kept_line) for x in r.removed]) for r in line_dedup.line_report(df).collect()}
+    assert got == {1: (1, 0, [(4, 1, 0)]), 2: (1, 0, [(1, 1, 1)]), 3: (1, 0, [(0, 1, 0)])}
+    assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()} == {1: "Read more\n-\n \t\n", 2: "Read mora\n\n \t", 3: ""}
+
+
 def test_license_base(docs, odd):
     phrases = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
     for df in (docs, odd.where("doc_id in (2, 10, 14)")):
