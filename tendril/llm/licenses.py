@@ -82,13 +82,13 @@ NAMES = {
     "boost-1": ["boost software license version? 1? 0?", "bsl 1 0"],
     "unlicense": ["unlicense"],
     "wtfpl": ["wtfpl", "do what the fuck you want to public license"],
-    "cc0": ["cc0", "creative commons zero", "cc zero"],
-    "cc-by": ["cc by N 0?", "creative commons attribution N 0?"],
-    "cc-by-sa": ["cc by sa", "creative commons attribution share alike", "creative commons attribution sharealike"],
-    "cc-by-nd": ["cc by nd", "creative commons attribution no derivatives|derivs", "creative commons attribution noderivatives|noderivs"],
-    "cc-by-nc": ["cc by nc", "creative commons attribution non commercial", "creative commons attribution noncommercial"],
-    "cc-by-nc-sa": ["cc by nc sa", "creative commons attribution non? commercial|noncommercial share|sharealike alike?"],
-    "cc-by-nc-nd": ["cc by nc nd", "creative commons attribution non? commercial|noncommercial no|noderivatives|noderivs derivatives|derivs?"],
+    "cc0": ["cc0 1? 0? universal?", "creative commons zero v1|1? 0? universal?", "cc zero"],
+    "cc-by": ["cc by N N?", "creative commons attribution N N? international|unported|generic?"],
+    "cc-by-sa": ["cc by sa N? N? international|unported|generic?", "creative commons attribution share alike N? N? international|unported|generic?", "creative commons attribution sharealike N? N? international|unported|generic?"],
+    "cc-by-nd": ["cc by nd N? N? international|unported|generic?", "creative commons attribution no derivatives|derivs N? N? international|unported|generic?", "creative commons attribution noderivatives|noderivs N? N? international|unported|generic?"],
+    "cc-by-nc": ["cc by nc", "creative commons attribution non commercial N? N? international|unported|generic?", "creative commons attribution noncommercial N? N? international|unported|generic?"],
+    "cc-by-nc-sa": ["cc by nc sa N? N? international|unported|generic?", "creative commons attribution non? commercial|noncommercial share|sharealike alike? N? N? international|unported|generic?"],
+    "cc-by-nc-nd": ["cc by nc nd N? N? international|unported|generic?", "creative commons attribution non? commercial|noncommercial no|noderivatives|noderivs derivatives|derivs? N? N? international|unported|generic?"],
     "odbl": ["open database license", "odbl"],
     "odc-by": ["open data commons attribution", "odc by"],
     "pddl": ["public domain dedication and license", "pddl"],
@@ -162,11 +162,55 @@ SIGNATURES = [
     ("no part of this publication may be reproduced", "proprietary"),
 ]
 
+# Notices in the words that each license is usually announced with.
+NOTICES = [
+    ("released|licensed|distributed|available under mit", "mit"), ("mit licensed", "mit"), ("licensed under mit or|and apache 2 0", "apache-2"),
+    ("licensed to the apache software foundation asf? under one or more contributor license agreements", "apache-2"), ("licensed under the apache license version 2 0 the license", "apache-2"),
+    ("this product includes software developed by the apache software foundation", "apache-1.1"),
+    ("gnu general public license version 3 as published by the free software foundation", "gpl-3"), ("gnu general public license version 2 as published by the free software foundation", "gpl-2"),
+    ("gnu general public license version 3 or later", "gpl-3"), ("gnu general public license version 2 or later", "gpl-2"), ("gpl version 3 or later", "gpl-3"), ("gpl version 2 or later", "gpl-2"),
+    ("under the terms of the gnu lesser general public license as published", "lgpl"), ("under the terms of the gnu library general public license as published", "lgpl"),
+    ("either version 2 1 of the license or at your option any later version", "lgpl-2.1"), ("gnu lesser general public license version 2 1 or later", "lgpl-2.1"),
+    ("under the terms of the gnu affero general public license as published", "agpl-3"), ("gnu affero general public license version 3 or later", "agpl-3"),
+    ("under the terms of the gnu free documentation license version 1 N", "gfdl"), ("with no invariant sections no front cover texts and no back cover texts", "gfdl"),
+    ("use of this source code is governed by a bsd style license", "bsd"), ("licensed under the|a bsd license", "bsd"), ("under the|a bsd N clause license", "bsd"),
+    ("the name of the author may not be used to endorse or promote products derived from this software", "bsd-3-clause"), ("this product includes software developed by the university of california", "bsd-4-clause"),
+    ("if a copy of the mpl was not distributed with this file you can obtain one at", "mpl-2"), ("the contents of this file are subject to the mozilla public license version 1 1", "mpl-1.1"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license v2|2 0", "epl-2"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license v1|1 0", "epl-1"),
+    ("the contents of this file are subject to the terms of the common development and distribution license", "cddl"), ("licensed under the eupl version? N N?", "eupl"),
+    ("subject to the boost software license", "boost-1"), ("this font software is licensed under the sil open font license version 1 1", "ofl"),
+    ("this work may be distributed and or modified under the conditions of the latex project public license", "lppl"), ("under the same terms as perl itself", "artistic-1"),
+    ("permission to use copy modify and distribute this software and its documentation for any purpose", "hpnd"), ("this source file is subject to version 3 N? of the php license", "php-3"),
+    ("subject to the terms of the zope public license", "zpl"), ("the software shall be used for good not evil", "json"), ("this software is governed by the cecill", "cecill"),
+    ("under the terms of the server side public license", "sspl"), ("licensed under the elastic license", "elastic-2"), ("as long as you retain this notice you can do whatever you want with this stuff", "beerware"),
+    ("you just do what the fuck you want to", "wtfpl"), ("to the extent possible under law", "cc0"), ("has waived all copyright and related or neighboring rights to", "cc0"),
+    ("this database|data is made available under the open database license", "odbl"), ("openstreetmap contributors odbl", "odbl"), ("this database|data is made available under the open data commons attribution license", "odc-by"),
+    ("lizenziert unter der mit lizenz", "mit"), ("creative commons namensnennung N N? international|unported?", "cc-by"), ("creative commons reconocimiento|atribución N N? internacional?", "cc-by"),
+    ("creative commons namensnennung weitergabe unter gleichen bedingungen", "cc-by-sa"), ("creative commons reconocimiento|atribución compartirigual", "cc-by-sa"),
+    ("creative commons attribution partage dans les mêmes conditions", "cc-by-sa"), ("creative commons attribution pas d utilisation commerciale", "cc-by-nc"),
+    ("creative commons namensnennung nicht kommerziell", "cc-by-nc"), ("licence publique générale gnu", "gpl"), ("licencia pública general de gnu", "gpl"), ("tous droits réservés", "proprietary"),
+    ("alle rechte vorbehalten", "proprietary"), ("todos los derechos reservados", "proprietary"),
+]
+
+# Names and identifiers that mean a license wherever they stand.
+BARE = [
+    ("gplv3", "gpl-3"), ("gplv2", "gpl-2"), ("gpl v3", "gpl-3"), ("gpl v2", "gpl-2"), ("gpl 3 0", "gpl-3"), ("gpl 2 0", "gpl-2"), ("lgplv3", "lgpl-3"), ("lgplv2", "lgpl-2.1"), ("lgpl v3", "lgpl-3"), ("lgpl v2", "lgpl-2.1"),
+    ("lgpl 3 0", "lgpl-3"), ("lgpl 2 1", "lgpl-2.1"), ("agplv3", "agpl-3"), ("agpl v3", "agpl-3"), ("agpl 3 0", "agpl-3"), ("gnu general public license v3", "gpl-3"), ("gnu general public license v2", "gpl-2"),
+    ("gnu general public license version 3", "gpl-3"), ("gnu general public license version 2", "gpl-2"), ("gnu affero general public license", "agpl-3"), ("gfdl 1 N", "gfdl"),
+    ("apache 2 0", "apache-2"), ("apachev2", "apache-2"), ("bsd 2 clause", "bsd-2-clause"), ("bsd 3 clause", "bsd-3-clause"), ("bsd 4 clause", "bsd-4-clause"), ("0bsd", "0bsd"), ("mpl 2 0", "mpl-2"), ("mpl 1 1", "mpl-1.1"),
+    ("mozilla public license", "mpl"), ("epl 2 0", "epl-2"), ("epl 1 0", "epl-1"), ("eclipse public license", "epl"), ("cddl 1 N", "cddl"), ("eupl 1 N", "eupl"), ("artistic 2 0", "artistic-2"), ("bsl 1 0", "boost-1"),
+    ("boost software license", "boost-1"), ("cc by N N international|unported|generic?", "cc-by"), ("cc by sa N? N?", "cc-by-sa"), ("cc by nd N? N?", "cc-by-nd"), ("cc by nc sa N? N?", "cc-by-nc-sa"), ("cc by nc nd N? N?", "cc-by-nc-nd"),
+    ("cc0", "cc0"), ("creative commons attribution N N international|unported|generic?", "cc-by"), ("creative commons attribution share|sharealike alike? N? N?", "cc-by-sa"), ("odbl 1 0", "odbl"), ("odc by 1 0", "odc-by"), ("pddl 1 0", "pddl"),
+    ("ofl 1 1", "ofl"), ("sil open font license", "ofl"), ("lppl 1 N", "lppl"), ("psf 2 0", "python-2"), ("php 3 01", "php-3"), ("upl 1 0", "upl"), ("ecl 2 0", "ecl-2"), ("afl 3 0", "afl-3"), ("osl 3 0", "osl-3"),
+    ("cecill 2 1", "cecill"), ("zpl 2 N", "zpl"), ("sspl 1 0", "sspl"), ("busl 1 1", "busl"), ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("openrail", "rail"),
+]
+
 # Words that stand around a license's name; {} is the name.
 FRAMES = [
     ("spdx license identifier {}", 90, 0.99),
-    ("licensed|released|distributed|available|published under the? terms? of? the? {}", 80, 0.95),
-    ("under the {} licen[cs]e", 80, 0.95),
+    ("licensed|released|distributed|available|published|provided|shared|covered|governed under|by the|a|an|this? terms? and? conditions? of? the|a|an|this? {}", 80, 0.95),
+    ("under the|a|an|this {} licen[cs]e", 80, 0.95),
     ("{} licen[cs]e", 70, 0.85),
     ("licen[cs]e {}", 60, 0.7),
 ]
@@ -199,15 +243,16 @@ def gate_word(phrase: str) -> str:
 
 
 def rules() -> list[Rule]:
-    """All rules in order: base phrases, notices in frames by license, sentences of license texts, links."""
+    """All rules in order: base phrases, names in frames by license, sentences of license texts, notices, links, bare names."""
     out = [Rule(words_pattern(p), label, gate_word(p), keywords(p), 100, 1.0) for p, label in BASE]
     for label, names in NAMES.items():
         for name in names:
             for frame, priority, confidence in FRAMES:
                 phrase = frame.format(name)
                 out.append(Rule(words_pattern(phrase), label, gate_word(name), keywords(phrase), priority, confidence))
-    out += [Rule(words_pattern(p), label, gate_word(p), keywords(p), 75, 0.9) for p, label in SIGNATURES]
+    out += [Rule(words_pattern(p), label, gate_word(p), keywords(p), 75, 0.9) for p, label in SIGNATURES + NOTICES]
     out += [Rule(words_pattern(p), label, gate_word(p), keywords(p), 65, 0.8) for p, label in LINKS]
+    out += [Rule(words_pattern(p), label, gate_word(p), keywords(p), 50, 0.6) for p, label in BARE]
     return out
 
 

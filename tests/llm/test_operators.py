@@ -131,6 +131,17 @@ def test_license_base(docs, odd):
     assert len(licenses.rules()) > 300
 
 
+def test_license_notices(spark):
+    notices = [
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("Text: CC-BY-4.0", "cc-by"), ("Photo: Jane Roe, CC BY-SA 4.0, cropped", "cc-by-sa"), ("GPLv3", "gpl-3"), ("Creative Commons Attribution-NoDerivs 3.0 Unported License", "cc-by-nd"),
+        ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "bsd"), ("SPDX-License-Identifier: MPL-2.0", "mpl-2"),
+        ("(c) Autor, Creative Commons Namensnennung 4.0 International", "cc-by"), ("It follows the gpl of the house, cc by mail, 4 0 in the match", ""),
+    ]
+    got = {r.doc_id: r.labels for r in licenses.license_report(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(notices)], "doc_id long, text string")).collect()}
+    assert got == {i: label for i, (_, label) in enumerate(notices)}
+
+
 def luhn(x):
     return sum(v - 9 if v > 9 else v for v in (int(c) * (2 if i % 2 else 1) for i, c in enumerate(reversed(x)))) % 10 == 0
 
