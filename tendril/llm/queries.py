@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_dedup, mixing, ngram_join, personal_data, quality, sharding, suffix_tree, token_counts
+from . import conversations, decontamination, licenses, line_dedup, mixing, ngram_join, personal_data, quality, sharding, suffix_tree, token_counts
 from .common import table
 
 
@@ -50,8 +50,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_line_dedup, op2_license_scan, op3_decontamination, op4_personal_data, op5_quality_rules, op6_token_counts, op7_sharding, op8_lm_scoring, op9_ngram_join, op10_mixing)}
+    op1_line_dedup, op2_license_scan, op3_decontamination, op4_personal_data, op5_quality_rules, op6_token_counts, op7_sharding, op8_lm_scoring, op9_ngram_join, op10_mixing,
+    op11_conversation_repair)}
 
 _FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -69,4 +74,5 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op7_sharding": sharding.report_sql(),
+    "op11_conversation_repair": conversations.report_sql(),
 }
