@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,21 @@ def bucketed(df: DataFrame, label: str, by: list[str]) -> DataFrame:
     return spark.table(name)
 
 
+def record_batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = 512) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of at most ``size`` rows."""
+    held: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), types, strict=True)], names)
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once per row, however often later expressions read it.
 

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import record_batches
+
 BLOCK = 32
 DELETE, INSERT, KEEP, REROLE, UNFINISHED = 2, 5, 0, 1, 5
 # Places in the pattern: 0 before anything, 1 after a system turn, 2 after a user turn, 3 after an assistant turn.
@@ -149,20 +151,6 @@ STEPS = pa.list_(pa.struct([("block", pa.int64()), ("part", pa.int64()), ("entry
 REPORT_TYPES = [pa.int64()] * 6 + [pa.string(), pa.string(), STEPS]
 
 
-def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = 512) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-
-    def batch():
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), types, strict=True)], names)
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield batch()
-            held = []
-    if held:
-        yield batch()
-
-
 def _whole(id_type: pa.DataType):
     """Rows (conv_id, turn, role, text) of whole, short conversations to their reports."""
     def report(rows):
@@ -178,7 +166,7 @@ def _whole(id_type: pa.DataType):
         return gaps, *[faults.count(f) for f in "bdt"], _illegal(roles), cost, edits, digest, [{"block": 0, "part": 0, "entry": 0, "edits": edits}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(((key[0], *report(rows)) for key, _, rows in _groups(batches, 1)), ["conv_id", *[f.split()[0] for f in REPORT.split(", ")[:8]], "steps"], [id_type, *REPORT_TYPES])
+        yield from record_batches(((key[0], *report(rows)) for key, _, rows in _groups(batches, 1)), ["conv_id", *[f.split()[0] for f in REPORT.split(", ")[:8]], "steps"], [id_type, *REPORT_TYPES])
     return run
 
 
@@ -206,7 +194,7 @@ def _blocks(id_type: pa.DataType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = pa.list_(pa.string())
-        yield from _batches(made(batches), ["conv_id", "block", "part", "turns", "roles", "texts", "faults", "paths"],
+        yield from record_batches(made(batches), ["conv_id", "block", "part", "turns", "roles", "texts", "faults", "paths"],
                             [id_type, pa.int64(), pa.int64(), pa.list_(pa.int64()), texts, texts, pa.string(), PATHS], 64)
     return run
 
@@ -259,7 +247,7 @@ def _chain(id_type: pa.DataType):
         return last - first + 1 - n if n else 0, *state["count"], cost, edits, digest.state.hexdigest(), steps[::-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches(conversations(batches), ["conv_id", *[f.split()[0] for f in REPORT.split(", ")[:8]], "steps"], [id_type, *REPORT_TYPES], 16)
+        yield from record_batches(conversations(batches), ["conv_id", *[f.split()[0] for f in REPORT.split(", ")[:8]], "steps"], [id_type, *REPORT_TYPES], 16)
     return run
 
 
@@ -319,7 +307,7 @@ def repaired_turns(rows: DataFrame) -> DataFrame:
                     letters = [e for e in edits if e != "D"]
                     for at, ((i, role, text), e) in enumerate(zip(edited(edits, entry, roles, texts), letters, strict=True)):
                         yield conv, block, part, at, None if i is None else numbers[i], e, role, text
-        yield from _batches(turns(), ["conv_id", "block", "part", "at", "turn", "edit", "role", "text"], [kind, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()])
+        yield from record_batches(turns(), ["conv_id", "block", "part", "at", "turn", "edit", "role", "text"], [kind, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()])
     made = joined.mapInArrow(run, f"{name}, block long, part long, at long, turn long, edit string, role string, text string")
     before = made.groupBy("conv_id", "block", "part").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("conv_id").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, decontamination, licenses, line_dedup, mixing, ngram_join, personal_data, quality, sharding, suffix_tree, token_counts
+from . import conversations, decontamination, licenses, line_dedup, mixing, ngram_join, packing, personal_data, quality, sharding, spelling, suffix_tree, token_counts
 from .common import table
 
 
@@ -54,9 +54,17 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(table(spark, sf_dir, "conversations"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_report(table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_license_scan, op3_decontamination, op4_personal_data, op5_quality_rules, op6_token_counts, op7_sharding, op8_lm_scoring, op9_ngram_join, op10_mixing,
-    op11_conversation_repair)}
+    op11_conversation_repair, op12_spelling_variants, op13_packing)}
 
 _FOLDED = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -75,4 +83,5 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op7_sharding": sharding.report_sql(),
     "op11_conversation_repair": conversations.report_sql(),
+    "op12_spelling_variants": spelling.report_sql(),
 }
