@@ -12,10 +12,15 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import BLOCK, col, drop_halo, equi_join, halo_blocks, has_group, position, running, sort_image
+from . import scans
+from .ordered import BLOCK, col, drop_halo, equi_join, halo_blocks, has_group, position, running, settle, sort_image
+from .order_statistics import running_quantiles
 from .stats import unbiased_kurtosis, unbiased_skewness
 
 
+LONG = 512  # rows from which quantiles of a window no longer look at all of its rows
+
+
 def _reducer(fn: str, args: list, w) -> tuple[Column, Column]:
     """(value, number of usable rows) of one statistic over a window."""
     x = col(args[0])
@@ -53,6 +58,15 @@ def rolling_rows(
     ``outs`` maps a name to (statistic, column[, second column or share]). The result is null until ``min_periods``
     non-null values (default: the window length) are in sight.
     """
+    ranked = {name: args for name, (fn, *args) in outs.items() if fn in ("median", "quantile")}
+    if ranked and window > LONG and not center:
+        least = window if min_periods is None else min_periods
+        rest = {name: how for name, how in outs.items() if name not in ranked}
+        made = rolling_rows(df, by, order, window, rest, min_periods) if rest else df
+        for column in dict.fromkeys(args[0] for args in ranked.values()):
+            own = {name: args[1] if len(args) > 1 else 0.5 for name, args in ranked.items() if args[0] == column}
+            made = running_quantiles(made, by, order, column, own, window, least)
+        return made.select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
     after = (window - 1) // 2 if center else 0
     before = window - 1 - after
     work = halo_blocks(position(df, by, order), col("_pos"), max(4096, 4 * window), before, after)
@@ -69,16 +83,47 @@ def rolling_time(
 
     ``closed`` says which ends of (t - window, t] belong to it: right, left, both or neither. Rows at the same instant
     see each other. Rows without a time or group get null.
+
+    Where a stretch of 8 windows' length holds more than ``DENSE`` rows of a group, that group's counts, sums, means, extremes and
+    variances come from merged summaries of its distinct times, so no task holds such a stretch.
     """
     width = window // timedelta(microseconds=1) if isinstance(window, timedelta) else window
     low = -width if closed in ("left", "both") else -(width - 1)
     high = 0 if closed in ("right", "both") else -1
     work = df.withColumn("_pos", F.when(has_group(by), sort_image(df, on).cast("long")))
+    if all(fn in scans.MOMENTS for fn, *_ in outs.values()) and high >= low:
+        counts = work.filter("_pos IS NOT NULL").groupBy(*[col(k) for k in by], F.floor(col("_pos") / (8 * width)).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        dense = settle(counts.filter(col("_n") > DENSE).select(*[col(k) for k in by], F.lit(True).alias("_dense")).distinct(), "dense")
+        if not dense.isEmpty():
+            marked = equi_join(work, dense, by) if by else work.withColumn("_dense", F.lit(True))
+            rest = rolling_time(marked.filter("_dense IS NULL").select(*[col(c) for c in df.columns]), by, on, window, outs, min_periods, closed) if by else None
+            made = _dense_time(marked.filter("_dense").drop("_dense"), by, width + (closed == "both") - (closed == "neither"), high, outs, min_periods)
+            made = made.select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
+            return made if rest is None else made.unionByName(rest)
     work = halo_blocks(work, col("_pos"), 8 * width, width, 0)
     w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos").rangeBetween(low, high)
     return drop_halo(work, df.columns, _outputs(outs, w, min_periods))
 
 
+DENSE = 4_000_000
+
+
+def _dense_time(work: DataFrame, by: list[str], length: int, end: int, outs: dict[str, tuple], min_periods: int) -> DataFrame:
+    """``outs`` of rows with a time ``_pos``: summaries per distinct time, merged over the windows, joined back."""
+    groups = [col(k) for k in by]
+    for column in dict.fromkeys(column for _, column in outs.values()):
+        x = col(column).cast("double")
+        n = F.count(x).cast("double")
+        points = work.filter("_pos IS NOT NULL").groupBy(*groups, "_pos").agg(
+            n.alias("_n"), F.coalesce(F.sum(x), F.lit(0.0)).alias("_sum"), F.coalesce(F.avg(x), F.lit(0.0)).alias("_mean"), F.coalesce(F.var_pop(x) * n, F.lit(0.0)).alias("_dev"),
+            F.coalesce(F.min(x), F.lit(scans.EMPTY["_least"])).alias("_least"), F.coalesce(F.max(x), F.lit(scans.EMPTY["_most"])).alias("_most"))
+        merged = scans.slide_time(points, by, "_pos", length, end, list(scans.EMPTY), scans.EMPTY, scans.moments)
+        own = {name: F.when(col("_n") >= min_periods, F.when((col("_n") > 0) | F.lit(fn == "count"), scans.MOMENTS[fn]())) for name, (fn, c) in outs.items() if c == column}
+        merged = merged.select(*groups, "_pos", *[value.alias(name) for name, value in own.items()])
+        work = equi_join(work.drop(*own), merged, [*by, "_pos"])
+    return work
+
+
 def rolling_weighted(
     df: DataFrame, by: list[str], order: list[str], column: str, weights: list[float], name: str, mean: bool = True,
 ) -> DataFrame:
@@ -99,12 +144,18 @@ def gaussian_weights(n: int, std: float) -> list[float]:
     return [math.exp(-0.5 * ((i - (n - 1) / 2) / std) ** 2) for i in range(n)]
 
 
-def expanding(df: DataFrame, by: list[str], order: list[str], column: str, outs: dict[str, str], min_periods: int = 1) -> DataFrame:
-    """Statistics over all rows up to the current one: count, sum, mean, min, max, var, std, skew or kurt (bias-corrected).
+def expanding(df: DataFrame, by: list[str], order: list[str], column: str, outs: dict[str, str | tuple], min_periods: int = 1) -> DataFrame:
+    """Statistics over all rows up to the current one: count, sum, mean, min, max, var, std, skew or kurt (bias-corrected),
+    median, or ("quantile", share). Pairs of columns: ``scans.running_pairs``; functions of the caller's own: ``scans.scan``.
 
     Moments are merged from powers of deviations from the column's overall mean, which keeps them well conditioned.
     Skew and kurt of values without variance are null.
     """
+    ranked = {name: 0.5 if how == "median" else how[1] for name, how in outs.items() if how == "median" or isinstance(how, tuple)}
+    if ranked:
+        rest = {name: how for name, how in outs.items() if name not in ranked}
+        made = expanding(df, by, order, column, rest, min_periods) if rest else df
+        return running_quantiles(made, by, order, column, ranked, None, min_periods).select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
     x = col(column)
     aggs = {"_n": ("count", x), "_s": ("sum", x), "_lo": ("min", x), "_hi": ("max", x)}
     if {"var", "std", "skew", "kurt"} & set(outs.values()):

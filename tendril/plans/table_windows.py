@@ -5,9 +5,10 @@ Where a result can end in an exact half, a tiny constant is added on both sides
 
 from datetime import timedelta
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import ranks, rolling
+from ..operators import ranks, rolling, scans
 from .registry import query
 
 BY, ORDER = ["user_id"], ["ts", "event_id"]
@@ -156,6 +157,65 @@ def expanding(t):
     return _rounded(out.select("event_id", (F.col("mean") + 1e-8).alias("mean"), "std", "hi"), 6, std=5)
 
 
+_LINES = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+
+
+@query("b48_expanding_quantiles", f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, round(quantile_cont(l_extendedprice, 0.5) OVER w + 1e-7, 4) AS median, round(quantile_cont(l_extendedprice, 0.9) OVER w + 1e-7, 4) AS q90
+    FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY {', '.join(_LINES)} ROWS UNBOUNDED PRECEDING)""")
+def expanding_quantiles(t):
+    """Three groups only, each of them over many tasks."""
+    rows = t.lineitem.select("l_returnflag", *_LINES)
+    out = rolling.expanding(rows, ["l_returnflag"], _LINES, "l_extendedprice", {"median": "median", "q90": ("quantile", 0.9)})
+    return out.select(*_LINES[1:6], F.round(F.col("median") + 1e-7, 4).alias("median"), F.round(F.col("q90") + 1e-7, 4).alias("q90"))
+
+
+@query("b46_rolling_long_median", f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, round(quantile_cont(l_extendedprice, 0.5) OVER w + 1e-7, 4) AS median
+    FROM lineitem WINDOW w AS (ORDER BY {', '.join(_LINES)} ROWS 99999 PRECEDING)""")
+def rolling_long_median(t):
+    """The whole table as one group, 100,000 rows in each window."""
+    out = rolling.rolling_rows(t.lineitem.select(*_LINES), [], _LINES, 100_000, {"median": ("median", "l_extendedprice")}, min_periods=1)
+    return out.select(*_LINES[1:6], F.round(F.col("median") + 1e-7, 4).alias("median"))
+
+
+def _largest_fall(a, b):
+    """Highest and lowest value, and the largest fall from a value to a later one."""
+    return {"high": np.maximum(a["high"], b["high"]), "low": np.minimum(a["low"], b["low"]), "fall": np.maximum(np.maximum(a["fall"], b["fall"]), a["high"] - b["low"])}
+
+
+def _single_value():
+    return {"high": F.col("value"), "low": F.col("value"), "fall": F.lit(0.0)}
+
+
+@query("b48_expanding_apply", """
+    SELECT event_id, round(max(peak - value) OVER (ORDER BY ts, event_id), 6) AS fall, round(max(own_peak - value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 6) AS own_fall
+    FROM (SELECT *, max(value) OVER (ORDER BY ts, event_id) AS peak, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS own_peak FROM events)""")
+def expanding_apply(t):
+    """A function of the caller's own, over the whole table as one group and over each user."""
+    own = scans.scan(_events(t), BY, ORDER, _single_value(), _largest_fall).select("event_id", "ts", "value", F.col("fall").alias("own_fall"))
+    return _rounded(scans.scan(own, [], ORDER, _single_value(), _largest_fall).select("event_id", "fall", "own_fall"))
+
+
+@query("b46_rolling_apply", """
+    WITH p AS (SELECT event_id, value, row_number() OVER (ORDER BY ts, event_id) AS i FROM events),
+         a AS (SELECT p.event_id, p.i, q.i AS j, q.value FROM p JOIN p AS q ON q.i BETWEEN p.i - 19 AND p.i)
+    SELECT event_id, round(max(peak - value), 6) AS fall FROM (SELECT *, max(value) OVER (PARTITION BY event_id ORDER BY j) AS peak FROM a) GROUP BY event_id""")
+def rolling_apply(t):
+    """The same function over the last 20 rows of the whole table."""
+    return _rounded(scans.slide(_events(t), [], ORDER, 20, _single_value(), _largest_fall).select("event_id", "fall"))
+
+
+@query("b48_expanding_pairs", """
+    SELECT event_id, round(CASE WHEN count(*) OVER w >= 3 THEN covar_samp(value, far) OVER w END + 1e-7, 3) + 0.0 AS cov, round(CASE WHEN count(*) OVER w >= 3 THEN corr(value, far) OVER w END + 1e-9, 5) + 0.0 AS corr
+    FROM (SELECT *, event_id % 1000 + 1e6 AS far FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def expanding_pairs(t):
+    """Covariance and correlation with a column whose offset is a thousand times its spread."""
+    rows = _events(t).withColumn("far", F.col("event_id") % 1000 + F.lit(1e6))
+    out = scans.running_pairs(rows, BY, ORDER, "value", "far", {"cov": "cov", "corr": "corr"}, min_periods=3)
+    return out.select("event_id", (F.round(F.col("cov") + 1e-7, 3) + 0.0).alias("cov"), (F.round(F.col("corr") + 1e-9, 5) + 0.0).alias("corr"))
+
+
 _EWM = """
     WITH p AS (SELECT event_id, user_id, value AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
          w AS (SELECT a.event_id, b.x, pow(1 - 2 / 11.0, a.i - b.i) AS w, CASE WHEN b.i = 1 THEN 1 ELSE 2 / 11.0 END AS h
