@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import col, equi_join
+from .ordered import col, equi_join, position, running, settle
 
 
 def transform(df: DataFrame, by: list[str], **outs: Column) -> DataFrame:
@@ -131,3 +131,44 @@ def hash_sample(df: DataFrame, n: int, keys: list[str], seed: int = 0, weight: C
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 0, replace: bool = False) -> DataFrame:
     return df.sample(withReplacement=replace, fraction=fraction, seed=seed)
+
+
+def drawn(seed: int, *parts: Column | str) -> Column:
+    """A number between 0 and 1 from the digest of seed and parts: the same on every engine and for every partitioning."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(1 << 52)
+
+
+def draw_fraction(df: DataFrame, fraction: float, keys: list[str], seed: int = 0) -> DataFrame:
+    """Each row with probability ``fraction``, decided by its keys alone."""
+    return df.filter(drawn(seed, *[col(k) for k in keys]) < fraction)
+
+
+def draw_weighted_fraction(df: DataFrame, fraction: float, keys: list[str], weight: Column, seed: int = 0) -> DataFrame:
+    """Exactly round(fraction * rows) rows without replacement, by weight; rows of no weight are never drawn.
+
+    Rows are numbered along -log(u) / weight by the chunked scan, so no task sorts all of them and nothing is gathered.
+    """
+    marked = df.withColumn("_draw", F.when(weight > 0, -F.log(drawn(seed, *[col(k) for k in keys])) / weight)).filter("_draw IS NOT NULL")
+    n = df.count()
+    return position(settle(marked, "draws"), [], ["_draw", *keys], "_place").filter(col("_place") < F.round(F.lit(n) * fraction)).drop("_draw", "_place")
+
+
+def draw_with_replacement(df: DataFrame, n: int, keys: list[str], seed: int = 0, weight: str | None = None) -> DataFrame:
+    """Exactly ``n`` draws (column ``draw`` from 0) with replacement; with ``weight``, a column of whole numbers, in proportion to it.
+
+    Draw number i falls on a point of the rows laid end to end along ``keys``, settled by the digest of seed and i. The points and
+    the rows' ends meet in one chunked scan (the next row's end after a point), so a draw of any size is spread over all tasks.
+    """
+    size = F.lit(1).cast("long") if weight is None else F.coalesce(F.greatest(col(weight).cast("long"), F.lit(0)), F.lit(0).cast("long"))
+    ends = settle(running(df.withColumn("_size", size), [], keys, {"_end": ("sum", col("_size"))}).filter("_size > 0"), "ends")
+    whole = ends.agg(F.max("_end")).first()[0]
+    if not whole:
+        return ends.drop("_size", "_end").limit(0).withColumn("draw", F.lit(0).cast("long"))
+    points = df.sparkSession.range(n).select(F.col("id").alias("draw"), F.floor(drawn(seed, F.col("id")) * whole).cast("long").alias("_at"))
+    row = F.struct(*[col(c) for c in df.columns])
+    # a row covers the points from its start up to the one before its end
+    both = points.select("draw", "_at").unionByName(ends.select((col("_end") - 1).alias("_at"), row.alias("_row")), allowMissingColumns=True)
+    both = both.withColumn("_kind", F.when(col("_row").isNull(), 0).otherwise(1))
+    found = running(settle(both, "points"), [], ["_at", "_kind", "draw"], {"_hit": ("next", col("_row"))}).filter("_kind = 0")
+    return found.select("draw", "_hit.*")

@@ -137,14 +137,25 @@ def _image(df: DataFrame, name: str, value: Column) -> Column:
     return F.unix_date(value) if kind == "date" else value
 
 
-def ordered_merge(left: DataFrame, right: DataFrame, on: str, fill: bool = True, suffixes=("_x", "_y")) -> DataFrame:
-    """Full outer merge on an ordered key with value columns filled forward along it."""
-    out = merge(left, right, [on], "outer", suffixes=suffixes)
+def ordered_merge(left: DataFrame, right: DataFrame, on: str, fill: bool = True, suffixes=("_x", "_y"), left_by: list[str] = ()) -> DataFrame:
+    """Full outer merge on an ordered key with value columns filled forward along it.
+
+    With ``left_by`` each of the left table's groups is merged with the whole right table: the right keys are completed with the
+    groups present (the result holds each of these pairs), and fills stay within a group. Null groups count as one.
+    """
+    by = list(left_by)
+    if by:
+        groups = left.select(*[col(k) for k in by]).distinct()
+        # every row made here is a row of the result
+        right = groups.join(right.withColumnsRenamed({k: f"{k}{suffixes[1]}" for k in by if k in right.columns}), F.lit(True))
+    out = merge(left, right, [*by, on], "outer", suffixes=suffixes)
     if not fill:
         return out
-    values = [c for c in out.columns if c != on]
-    filled = running(out, [], [on], {f"_f_{c}": ("last", col(c)) for c in values})
-    return filled.select(on, *[col(f"_f_{c}").alias(c) for c in values])
+    values = [c for c in out.columns if c != on and c not in by]
+    # null groups are filled like any other: the ordered scan sees the group as never null
+    marks = [F.struct(col(k)).alias(f"_g_{k}") for k in by]
+    filled = running(out.select("*", *marks), [f"_g_{k}" for k in by], [on], {f"_f_{c}": ("last", col(c)) for c in values})
+    return filled.select(*[col(k) for k in by], on, *[col(f"_f_{c}").alias(c) for c in values])
 
 
 def concat_keyed(parts: dict[str, DataFrame], key: str = "source", inner: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .ordered import col, equi_join, settle
 
@@ -74,22 +75,40 @@ def list_columns(df: DataFrame, paths: str = "paths") -> DataFrame:
     return entries.groupBy("path").agg(F.max(F.size("items")).alias("longest")).filter("longest > 1").select("path")
 
 
+def _as_text(df: DataFrame, name: str):
+    """Text that is equal for equal values only; null has one of its own."""
+    plain = not isinstance(df.schema[name].dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType))
+    text = col(name).cast("string") if plain else F.to_json(F.struct(col(name).alias("v")))
+    return F.when(col(name).isNotNull(), F.concat(F.lit("v"), text)).otherwise(F.lit("n"))
+
+
 def redundant_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Ordered pairs of columns whose values map one to one (null counts as a value).
 
-    Column a determines b when b has one value per value of a. One grouped min/max pass per column answers that for all
-    partners at once, over the distinct combinations of values; factor codes of such a pair agree row by row, so their correlation is 1.
+    Such columns split the rows into the same classes. A class gets a fingerprint from the hashes of its rows, a column from those
+    of its classes: one long aggregation over all columns, then one over classes. Only columns with equal fingerprints are compared
+    value by value, all of a set with its first; as they have equally many classes, one way determines the other.
     """
-    df = settle(df.select(*[col(c) for c in columns]).distinct(), "combinations")
-    marked = {c: F.struct(col(c).isNull(), col(c)) for c in columns}
+    low, high = (lambda h: h.bitwiseAND(F.lit(0x7FFFFFFF))), (lambda h: F.shiftrightunsigned(h, 33))
+    row = F.xxhash64(*[col(c) for c in columns])
+    cells = df.select(row.alias("_h"), F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), _as_text(df, c).alias("_v")) for i, c in enumerate(columns)])).alias("_x")).select("_h", "_x.*")
+    classes = cells.groupBy("_c", "_v").agg(F.sum(low(col("_h"))).alias("_a"), F.sum(high(col("_h"))).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    mark = F.xxhash64("_a", "_b", "_n")
+    prints = classes.groupBy("_c").agg(F.sum(low(mark)).alias("_a"), F.sum(high(mark)).alias("_b"), F.count(F.lit(1)).alias("_n")).collect()  # a row per column
+    alike: dict[tuple, list[str]] = {}
+    for r in sorted(prints):
+        alike.setdefault(tuple(r)[1:], []).append(columns[r["_c"]])
     passes = []
-    for a in columns:
-        others = [b for b in columns if b != a]
-        spread = df.groupBy(col(a)).agg(*[(F.min(marked[b]) == F.max(marked[b])).alias(b) for b in others])
-        wide = spread.agg(*[F.min(col(b)).alias(b) for b in others])
-        passes.append(wide.unpivot([], [col(b) for b in others], "b", "determined").withColumn("a", F.lit(a)))
-    found = reduce(DataFrame.unionByName, passes).filter("determined").select("a", "b")
-    return found.intersect(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    for first, *others in alike.values():
+        if others:
+            texts = {c: _as_text(df, c) for c in (first, *others)}
+            spread = df.groupBy(texts[first].alias("_first")).agg(*[(F.min(texts[c]) == F.max(texts[c])).alias(f"_{i}") for i, c in enumerate(others)])
+            wide = spread.agg(*[F.min(f"_{i}").alias(f"_{i}") for i in range(len(others))])
+            passes.append(wide.select(F.array_compact(F.array(F.lit(first), *[F.when(F.col(f"_{i}"), c) for i, c in enumerate(others)])).alias("_set")))
+    if not passes:
+        return df.sparkSession.createDataFrame([], "a string, b string")
+    sets = reduce(DataFrame.unionByName, passes)
+    return sets.select(F.explode("_set").alias("a"), "_set").select("a", F.explode("_set").alias("b")).filter("a <> b")
 
 
 def distinct_items(df: DataFrame, column: str) -> DataFrame:

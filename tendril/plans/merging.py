@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import normalize as nz
 from ..operators import quality as ql
 from ..operators import recommend as rec
+from ..operators.ordered import settle
 from ..session import scratch_path
 from ..sources import tables as tb
 from ..sources.html import html_tables
@@ -42,15 +43,19 @@ def file_list_scan(t):
     return tb.read_files(t.spark, path)
 
 
-@query("a06_fault_tolerant_scan", "SELECT o_orderkey::VARCHAR AS id, o_totalprice::VARCHAR AS price, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS cust FROM orders")
+@query("a06_fault_tolerant_scan", """
+    SELECT o_orderkey::VARCHAR AS id, o_totalprice::VARCHAR AS price, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS cust, NULL AS broken FROM orders
+    UNION ALL SELECT NULL, NULL, NULL, f FROM (SELECT unnest(['a/cut.parquet', 'd/text.parquet']) AS f)""")
 def fault_tolerant_scan(t):
-    """Files with different columns under one mapping."""
+    """Files with different columns under one mapping, beside one cut short and one that never was a table; both are reported."""
     path = scratch_path(t.spark, "mixed")
     t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice", "o_custkey").write.parquet(f"{path}/a")
     t.orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice").write.parquet(f"{path}/b")
     t.orders.filter("o_orderstatus = 'P'").select("o_totalprice", "o_orderpriority", "o_orderkey").write.parquet(f"{path}/c")
-    good, _ = tb.read_tolerant(t.spark, path, [("o_orderkey", "id", "string"), ("o_totalprice", "price", "string"), ("o_custkey", "cust", "bigint")])
-    return good
+    tb.put_file(t.spark, f"{path}/a/cut.parquet", b"PAR1" + bytes(64))
+    tb.put_file(t.spark, f"{path}/d/text.parquet", b"not a table at all, but long enough to be one")
+    good, bad = tb.read_tolerant(t.spark, path, [("o_orderkey", "id", "string"), ("o_totalprice", "price", "string"), ("o_custkey", "cust", "bigint")])
+    return good.unionByName(bad.select(F.regexp_extract("path", "[^/]+/[^/]+$", 0).alias("broken")), allowMissingColumns=True)
 
 
 @query("a07_catalog_scan", _BY_YEAR)
@@ -331,10 +336,20 @@ def pattern_checks(t):
 
 
 @query("a89_code_list_check", """
-    SELECT c_mktsegment, count(*) AS n_rows FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY 1""")
+    SELECT 'segment' AS list, c_mktsegment AS code, count(*) AS n_rows FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY 2
+    UNION ALL SELECT 'nation', n_name, count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey > 2 GROUP BY 2""")
 def code_list_check(t):
-    codes = t.spark.createDataFrame([("BUILDING",), ("MACHINERY",)], "code string")
-    return ql.unknown_codes(t.customer, "c_mktsegment", codes)
+    """Codes held against the enumerations of two schema files, which the XML reader turns into one table of codes."""
+    path = scratch_path(t.spark, "schemas")
+    nations = t.nation.filter("n_regionkey <= 2").select("n_name").orderBy("n_name")
+    lists = {"segment": t.spark.createDataFrame([("BUILDING",), ("MACHINERY",)], "code string"), "nation": nations}
+    for name, codes in lists.items():
+        values = "".join(f'<xs:enumeration value="{r[0]}"/>' for r in codes.collect())  # a schema file of a few lines
+        body = f'<xs:simpleType name="{name}"><xs:annotation/><xs:restriction base="xs:string">{values}</xs:restriction></xs:simpleType><xs:simpleType name="other"><xs:restriction base="xs:int"/></xs:simpleType>'
+        tb.put_file(t.spark, f"{path}/{name}.xsd", f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">{body}</xs:schema>'.encode())
+    known = settle(tb.read_named_code_lists(t.spark, path), "codes")
+    held = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation"))
+    return nz.stack([ql.unknown_codes(held, name, known.filter(F.col("list") == name)).select(F.lit(name).alias("list"), F.col(name).alias("code"), "n_rows") for name in lists])
 
 
 @query("a90_range_and_presence", """

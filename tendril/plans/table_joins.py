@@ -108,6 +108,19 @@ def ordered_merge(t):
     return joins.ordered_merge(_hourly(t, "click"), _hourly(t, "purchase"), "h")
 
 
+@query("b05_ordered_merge_by_group", """
+    WITH c AS (SELECT event_type AS g, date_trunc('hour', ts) AS h, sum(value) AS v FROM events WHERE event_type <> 'click' GROUP BY 1, 2),
+         p AS (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1),
+         r AS (SELECT * FROM p, (SELECT DISTINCT g FROM c))
+    SELECT g, h, round(last_value(c.v IGNORE NULLS) OVER w, 6) AS v, last_value(r.n IGNORE NULLS) OVER w AS n FROM c FULL JOIN r USING (g, h) WINDOW w AS (PARTITION BY g ORDER BY h)""")
+def ordered_merge_by_group(t):
+    """Every other type's hours merged with the hours of all clicks."""
+    hours = t.events.withColumn("h", F.date_trunc("hour", "ts"))
+    left = hours.filter("event_type <> 'click'").groupBy(F.col("event_type").alias("g"), "h").agg(F.sum("value").alias("v"))
+    right = hours.filter("event_type = 'click'").groupBy("h").agg(F.count("*").alias("n"))
+    return joins.ordered_merge(left, right, "h", left_by=["g"]).withColumn("v", F.round("v", 6))
+
+
 @query("b06_index_join", "SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
 def index_join(t):
     return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", "r_name")
@@ -341,9 +354,40 @@ def weighted_sample(t):
     return grouping.hash_sample(t.orders, 100, ["o_orderkey"], seed=3, weight=F.col("o_totalprice"))
 
 
-@query("b23_sample_fraction")
+_DRAWN = "(('0x' || substr(md5('7:' || {0}), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0"
+
+
+@query("b23_sample_fraction", f"""
+    SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE {_DRAWN.format("l_orderkey || ':' || l_linenumber || ':' || l_partkey")} < 0.1""")
 def sample_fraction(t):
-    return grouping.sample_fraction(t.lineitem, 0.1, seed=5)
+    """About a tenth of the rows, the same ones however they are partitioned."""
+    return grouping.draw_fraction(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), 0.1, ["l_orderkey", "l_linenumber", "l_partkey"], 7)
+
+
+@query("b23_sample_with_replacement", f"""
+    WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS n FROM orders),
+         d AS (SELECT draw, floor({_DRAWN.format("draw")} * (SELECT count(*) FROM orders))::BIGINT AS i FROM (SELECT unnest(range(20000)) AS draw))
+    SELECT draw, o_orderkey FROM d JOIN n USING (i)""")
+def sample_with_replacement(t):
+    return grouping.draw_with_replacement(t.orders.select("o_orderkey"), 20000, ["o_orderkey"], 7)
+
+
+@query("b23_weighted_with_replacement", f"""
+    WITH n AS (SELECT o_orderkey, sum(w) OVER (ORDER BY o_orderkey) AS hi, w FROM (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT AS w FROM orders)),
+         d AS (SELECT draw, floor({_DRAWN.format("draw")} * (SELECT max(hi) FROM n))::BIGINT AS at FROM (SELECT unnest(range(5000)) AS draw))
+    SELECT draw, o_orderkey FROM d ASOF JOIN n ON d.at < n.hi""")
+def weighted_with_replacement(t):
+    """Orders drawn in proportion to their price in cents."""
+    orders = t.orders.select("o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("w"))
+    return grouping.draw_with_replacement(orders, 5000, ["o_orderkey"], 7, weight="w").select("draw", "o_orderkey")
+
+
+@query("b23_weighted_fraction", f"""
+    WITH k AS (SELECT o_orderkey, -ln({_DRAWN.format("o_orderkey")}) / o_totalprice AS d FROM orders)
+    SELECT o_orderkey FROM (SELECT *, row_number() OVER (ORDER BY d, o_orderkey) AS r, count(*) OVER () AS n FROM k) WHERE r <= round(n * 0.25)""")
+def weighted_fraction(t):
+    """A quarter of the orders without replacement, dearer ones more likely."""
+    return grouping.draw_weighted_fraction(t.orders.select("o_orderkey", "o_totalprice"), 0.25, ["o_orderkey"], F.col("o_totalprice"), 7).select("o_orderkey")
 
 
 @query("b24_parse_numbers_and_dates", """

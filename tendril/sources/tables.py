@@ -27,34 +27,39 @@ def read_files(spark: SparkSession, root: str, exclude: str = "merged") -> DataF
     return df.filter(~F.col("_metadata.file_path").contains(exclude))
 
 
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file of given bytes, on whatever file system the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(content))
+    out.close()
+
+
 def list_files(spark: SparkSession, root: str, exclude: str = "merged") -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
     return files.filter(~col("path").contains(exclude)).select("path", "length")
 
 
-def unreadable(files: DataFrame) -> DataFrame:
-    """Parquet files whose footer cannot be read, with the reason; the check runs in parallel and reads footers only."""
-
-    def probe(batches):
-        import pyarrow.fs as fs
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            bad = []
-            for path in batch["path"]:
-                try:
-                    system, inner = fs.FileSystem.from_uri(path)
-                    pq.read_metadata(system.open_input_file(inner))
-                except Exception as problem:  # any reader failure is the finding here
-                    bad.append((path, str(problem)))
-            yield pd.DataFrame(bad, columns=["path", "error"])
+def unreadable(spark: SparkSession, root: str, exclude: str = "merged") -> DataFrame:
+    """(path, error) of the Parquet files below a root that give no rows although they should.
 
-    return files.select("path").mapInPandas(probe, "path string, error string")
+    Spark's reader is the judge: it passes over what it can't open, so files that are listed but gave no row are suspects. Of these
+    only the first and last bytes are looked at, to tell files without rows from broken ones.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    gave = reader.schema("_no_such_column string").parquet(root).select(F.col("_metadata.file_path").alias("given")).distinct()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    suspects = list_files(spark, root, exclude).join(gave, plain(F.col("path")) == plain(F.col("given")), "left_anti").select("path")
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root).select(F.col("path").alias("at"), "length", F.substring("content", 1, 4).alias("head"), F.expr("right(content, 4)").alias("tail"))
+    known = suspects.join(content, F.col("path") == F.col("at"))
+    magic = F.lit(b"PAR1")
+    error = F.when(F.col("length") < 12, "shorter than an empty file").when((F.col("head") != magic) | (F.col("tail") != magic), "no marks at its ends")
+    return known.select("path", error.alias("error")).filter("error IS NOT NULL")
 
 
 def read_tolerant(spark: SparkSession, root: str, mapping: list[tuple[str, str, str]], exclude: str = "merged") -> tuple[DataFrame, DataFrame]:
     """(rows of all readable files under one mapping, quarantined files)."""
-    bad = settle(unreadable(list_files(spark, root, exclude)), "quarantine")
+    bad = settle(unreadable(spark, root, exclude), "quarantine")
     df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True)
     df = df.option("pathGlobFilter", "*.parquet").parquet(root).filter(~F.col("_metadata.file_path").contains(exclude))
     return map_columns(df, mapping), bad
@@ -80,6 +85,13 @@ def read_code_list(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_value").alias("code")).distinct()
 
 
+def read_named_code_lists(spark: SparkSession, path: str) -> DataFrame:
+    """(list, code) of the simple types with enumerations in schema files, one row per value."""
+    declared = "_name string, `xs:restriction` struct<_base: string, `xs:enumeration`: array<struct<_value: string>>>"
+    df = spark.read.format("xml").option("rowTag", "xs:simpleType").schema(declared).load(path)
+    return df.select(F.col("_name").alias("list"), F.explode("`xs:restriction`.`xs:enumeration`._value").alias("code")).distinct()
+
+
 def read_fixed_width(spark: SparkSession, path: str, fields: dict[str, tuple[int, int]]) -> DataFrame:
     """Lines cut at 1-based (start, length) positions, trimmed."""
     lines = spark.read.text(path)
