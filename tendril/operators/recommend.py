@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,12 +65,71 @@ def fit(indexed: DataFrame, rank: int = 10, max_iter: int = 5, reg: float = 0.01
 
 def top_services(model: ALSModel, services: DataFrame, contractors: DataFrame, n: int = 10, only: DataFrame | None = None) -> DataFrame:
     """(rating, contractor, service): the n best services of every contractor, or of those in ``only`` (contractor_id)."""
-    found = model.recommendForAllItems(n) if only is None else model.recommendForItemSubset(only, n)
-    rows = found.select("contractor_id", F.inline("recommendations"))
-    named = rows.join(contractors, "contractor_id").join(services, "service_id")
+    factors = model.itemFactors.select(F.col("id").alias("contractor_id"), "features")
+    if only is not None:
+        factors = factors.join(only, "contractor_id", "left_semi")
+    found = best_products(factors, "contractor_id", model.userFactors.select(F.col("id").alias("service_id"), "features"), "service_id", n)
+    named = found.join(contractors, "contractor_id").join(services, "service_id")
     return named.select("rating", "contractor", "service")
 
 
+BLOCK = 4096
+
+
+def best_products(rows: DataFrame, row_id: str, candidates: DataFrame, candidate_id: str, n: int, block: int = BLOCK) -> DataFrame:
+    """(row_id, candidate_id, rating): for each row the n candidates with the largest inner product of ``features``.
+
+    Candidates go by falling norm, in blocks of ``block``; one block at a time meets the rows that are still open. A row is closed
+    once its n-th best product is above its norm times the next block's largest norm: no later candidate can reach it. So long
+    tails of small candidates are scored for few rows only. Ties go to the smaller id.
+    """
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    placed = position(settle(candidates.select(col(candidate_id).cast("long").alias("_id"), "features", (-norm).alias("_less")), "candidates"), [], ["_less", "_id"], "_place")
+    placed = settle(placed.withColumn("_block", F.floor(col("_place") / block)), "candidates")
+    largest = [-r["_less"] for r in placed.groupBy("_block").agg(F.min("_less").alias("_less")).orderBy("_block").collect()]  # a number a block
+    kind = rows.schema[row_id].dataType.simpleString()
+    schema = f"id {kind}, features array<float>, best_ids array<bigint>, best array<float>, closed boolean"
+    found = rows.select(col(row_id).alias("id"), F.col("features").cast("array<float>"), F.array().cast("array<bigint>").alias("best_ids"), F.array().cast("array<float>").alias("best"), F.lit(False).alias("closed"))
+    done = found.limit(0)
+    for number in range(len(largest)):
+        held = placed.filter(col("_block") == number).select("_id", "features").collect()  # at most ``block`` rows of a model's rank
+        shared = rows.sparkSession.sparkContext.broadcast((np.array([r["_id"] for r in held]), np.array([r["features"] for r in held], np.float32)))
+        after = largest[number + 1] if number + 1 < len(largest) else None
+        found = settle(found.mapInArrow(_best(shared, n, after), schema), "scored")
+        done = done.unionByName(found.filter("closed"))
+        if after is None:
+            break
+        found = found.filter("NOT closed")
+        if found.isEmpty():
+            break
+    return done.select(F.col("id").alias(row_id), F.explode(F.arrays_zip("best_ids", "best")).alias("_x")).select(row_id, F.col("_x.best_ids").cast(candidates.schema[candidate_id].dataType).alias(candidate_id), F.col("_x.best").alias("rating"))
+
+
+def _best(shared, n: int, after: float | None):
+    def run(batches):
+        ids, matrix = shared.value
+        for batch in batches:
+            features, old_ids, old = (batch.column(c).to_pylist() for c in (1, 2, 3))
+            new_ids, new, closed = [], [], []
+            for at in range(0, len(batch), 256):
+                own = np.array(features[at:at + 256], np.float32)
+                norms = np.sqrt((own.astype(float) ** 2).sum(axis=1))
+                for i, scores in enumerate(own @ matrix.T):
+                    some = np.concatenate([old[at + i], scores]).astype(np.float32)
+                    named = np.concatenate([np.array(old_ids[at + i], np.int64), ids])
+                    # all that could be among the n best, ties included
+                    if len(some) > n:
+                        likely = np.flatnonzero(some >= np.partition(some, len(some) - n)[len(some) - n])
+                        some, named = some[likely], named[likely]
+                    order = np.lexsort((named, -some))[:n]
+                    new_ids.append(named[order])
+                    new.append(some[order])
+                    # a little room for the rounding of products
+                    closed.append(after is None or (len(order) == n and some[order[-1]] > norms[i] * after * (1 + 1e-5)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new_ids, pa.list_(pa.int64())), pa.array(new, pa.list_(pa.float32())), pa.array(closed, pa.bool_())], ["id", "features", "best_ids", "best", "closed"])
+    return run
+
+
 def recommendations(pairs: DataFrame, n: int = 10, **settings) -> DataFrame:
     """The whole job: index labels, fit, score, and give names back."""
     pairs = settle(pairs, "pairs")

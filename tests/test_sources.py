@@ -180,3 +180,27 @@ def test_redelivery_within_a_watermark(spark, tmp_path):
     stream = spark.readStream.schema("k int, at timestamp").parquet(source)
     ig.run_routed(ig.without_redelivery(stream, ["k"], "at"), {"all": (F.lit(True), str(tmp_path / "out"))}, str(tmp_path / "cp"))
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_best_products_equal_all_pairs(spark):
+    import numpy as np
+
+    from tendril.operators.recommend import best_products
+
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(300, 6)).astype(np.float32)
+    others = (draw.normal(size=(700, 6)) * draw.pareto(2, size=(700, 1))).astype(np.float32)
+    others[:40] = others[40:80]  # ties
+    a = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "a int, features array<float>").repartition(4)
+    b = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(others)], "b int, features array<float>").repartition(3)
+    scores = rows @ others.T
+    for block in (50, 10_000):
+        got = {}
+        for r in best_products(a, "a", b, "b", 7, block).collect():
+            got.setdefault(r.a, []).append((-r.rating, r.b))
+        for i in range(300):
+            want = np.sort(-scores[i])[:7]
+            have = sorted(got[i])
+            assert len(have) == 7 == len({x for _, x in have})
+            np.testing.assert_allclose([x for x, _ in have], want, rtol=1e-4, atol=1e-5)
+    assert best_products(a.limit(0), "a", b, "b", 7).count() == 0 and best_products(a, "a", b.limit(0), "b", 7).count() == 0
