@@ -75,9 +75,10 @@ def strip_accents(c: Column) -> Column:
         return s.map(lambda v: None if v is None else _fold(v))
 
     letters, bases, several = _foldings()
+    # each test reads the text as it came, so a text is translated at most once, and one of ASCII never
+    more = c.rlike(several)
     plain = F.when(c.rlike("[^\\x00-\\x7F]"), F.translate(c, letters, bases)).otherwise(c)
-    more = plain.rlike(several)
-    return F.when(more, folded(F.when(more, plain))).otherwise(plain)
+    return F.when(more, folded(F.when(more, c))).otherwise(plain)
 
 
 def normalize(c: Column, form: str = "NFC") -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from datetime import timedelta
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,10 +189,6 @@ def decay(com: float | None = None, span: float | None = None, halflife: float |
     return alpha
 
 
-SPAN = 250.0  # weights within a block grow to exp(SPAN); their squares stay finite
-ROWS = 8192
-
-
 def exponential(
     df: DataFrame, by: list[str], order: list[str], outs: dict[str, tuple], adjust: bool = True, min_periods: int = 0,
     bias: bool = False, ignore_na: bool = False, **parameter: float,
@@ -200,81 +197,83 @@ def exponential(
 
     Nulls carry the last result on. They count as steps of the decay, unless ``ignore_na``. Results are null before the first
     known value, below ``min_periods`` known ones, and for null groups.
-    """
-    alpha, work = decay(**parameter), df
-    for args in dict.fromkeys(tuple(args) for _, *args in outs.values()):
-        own = {name: fn for name, (fn, *used) in outs.items() if tuple(used) == args}
-        work = _exponential_of(work, by, order, args, own, alpha, adjust, min_periods, bias, ignore_na)
-    return work.select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
-
 
-def _exponential_of(df, by, order, args, outs, alpha, adjust, min_periods, bias, ignore_na):
-    """Statistics of one column or pair of columns.
-
-    The weight of row i at row n is c(i) * exp(D(i) - D(n)), where D grows at known rows only. D is cut into spans, and these
-    into blocks of rows: sums within a block are a window, those of earlier blocks of the span and of the span before are
-    added to them; anything older is below exp(-SPAN) of the newest weight and can't change a double.
+    Weighted sums of a stretch of rows are a summary that can be merged: what stands before is shrunk by the steps of the stretch.
+    All columns go through one scan.
     """
-    x, y = col(args[0]), col(args[-1])
-    usable = x.isNotNull() & y.isNotNull()
-    rate = -math.log1p(-alpha) if alpha < 1 else 50.0
-    known = F.when(usable, F.lit(True))
-    gaps = not adjust and not ignore_na
-    aggs = {"_pos": ("position", None), "_at": ("last_at", known), "_seen": ("count", known)} | ({"_past": ("before_at", known)} if gaps else {})
-    work = running(df, by, order, aggs)
-    place = (col("_seen") - 1) if ignore_na else F.col("_at.p")
-    fresh = F.lit(1.0) if adjust else F.when(col("_seen") == 1, 1.0).otherwise(alpha)
-    if gaps:
-        # after a gap the old weight has shrunk and the new one has not: both are scaled to add up to 1 again
-        scale = F.exp(-rate * (col("_pos") - F.col("_past.p"))) + alpha
-        step = F.when(usable & col("_past").isNotNull(), rate * (col("_pos") - F.col("_past.p")) + F.log(scale))
-        work = running(work.withColumn("_step", step), by, order, {"_depth": ("sum", col("_step"))})
-        depth = F.when(col("_seen") > 0, F.coalesce(col("_depth"), F.lit(0.0)))
-        fresh = F.when(col("_seen") == 1, 1.0).otherwise(alpha / scale)
-        leap, span = SPAN, F.floor(depth / SPAN)
-        offset = depth - span * SPAN
-    else:
-        steps = max(1, math.floor(SPAN / rate))
-        leap, span = steps * rate, F.floor(place / steps)
-        offset = (place % steps) * rate
-    rows = F.coalesce(F.floor(col("_pos") / ROWS), F.lit(-1) - F.pmod(F.xxhash64(*[col(c) for c in order]), F.lit(1024)))
-    work = work.withColumns({"_span": F.coalesce(span, F.lit(-1)).cast("long"), "_rows": rows.cast("long"), "_w": F.when(usable, fresh * F.exp(offset))})
-
-    w = col("_w")
-    parts = {"s0": w, "sx": w * x}
-    if set(outs.values()) != {"mean"}:
-        parts |= {"s2": w * w, "sy": w * y, "sxy": w * x * y, "sxx": w * x * x, "syy": w * y * y}
-    groups = [col(k) for k in by]
-    block, spans = [*groups, col("_span"), col("_rows")], [*groups, col("_span")]
-    here = Window.partitionBy(*block).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*spans).orderBy("_rows").rowsBetween(Window.unboundedPreceding, -1)
-    summary = work.groupBy(*block).agg(*[F.sum(v).alias(f"_{n}") for n, v in parts.items()])
-    before = summary.groupBy(*groups, (col("_span") + 1).alias("_span")).agg(*[F.sum(f"_{n}").alias(f"_p_{n}") for n in parts])
-    carried = summary.select(*block, *[F.sum(f"_{n}").over(earlier).alias(f"_c_{n}") for n in parts])
-    carried = equi_join(carried, before, [*by, "_span"])
-    shrink = {n: math.exp(-leap * (2 if n == "s2" else 1)) for n in parts}
-    carried = carried.select(*block, *[(F.coalesce(f"_c_{n}", F.lit(0.0)) + F.coalesce(f"_p_{n}", F.lit(0.0)) * shrink[n]).alias(f"_c_{n}") for n in parts])
-    work = equi_join(work.withColumns({f"_l_{n}": F.sum(v).over(here) for n, v in parts.items()}), carried, [*by, "_span", "_rows"])
-    total = {n: F.coalesce(f"_l_{n}", F.lit(0.0)) + col(f"_c_{n}") for n in parts}
-    mean = lambda n: total[n] / total["s0"]
+    alpha = decay(**parameter)
+    sets = list(dict.fromkeys(tuple(args) for _, *args in outs.values()))
+    state, zero = {}, F.lit(0.0)
+    for i, args in enumerate(sets):
+        x, y = col(args[0]).cast("double"), col(args[-1]).cast("double")
+        usable = x.isNotNull() & y.isNotNull()
+        known = lambda v, ok=usable: F.when(ok, v).otherwise(zero)
+        one = known(F.lit(1.0))
+        # n: known rows; lead and tail: steps before the first and after the last of them; first: share that the first one still has
+        state |= {f"_n{i}": one, f"_lead{i}": zero if ignore_na else 1.0 - one, f"_tail{i}": zero if ignore_na else 1.0 - one, f"_share{i}": one, f"_fx{i}": known(x), f"_fy{i}": known(y)}
+        state |= {f"_{k}{i}": known(v) for k, v in {"s0": F.lit(1.0), "s2": F.lit(1.0), "sx": x, "sy": y, "sxy": x * y, "sxx": x * x, "syy": y * y}.items()}
+
+    def merge(a: dict, b: dict) -> dict:
+        out = {}
+        for i in range(len(sets)):
+            out |= {f"{k}{i}": v for k, v in _decayed({k: a[f"{k}{i}"] for k in _EWM}, {k: b[f"{k}{i}"] for k in _EWM}, alpha, adjust).items()}
+        return out
+    work = scans.scan(df, by, order, state, merge)
 
     made = {}
-    for name, fn in outs.items():
+    for name, (fn, *args) in outs.items():
+        i = sets.index(tuple(args))
+        seen, weight = col(f"_n{i}"), col(f"_s0{i}")
+        mean = lambda k, i=i, weight=weight: col(f"_{k}{i}") / weight
         if fn == "mean":
             value = mean("sx")
         else:
             cov = mean("sxy") - mean("sx") * mean("sy")
-            weight = total["s0"] * total["s0"]
-            debias = F.lit(1.0) if bias else F.when((col("_seen") > 1) & (weight > total["s2"]), weight / (weight - total["s2"]))
+            square = weight * weight
+            debias = F.lit(1.0) if bias else F.when((seen > 1) & (square > col(f"_s2{i}")), square / (square - col(f"_s2{i}")))
             if fn == "corr":
                 vx, vy = mean("sxx") - mean("sx") * mean("sx"), mean("syy") - mean("sy") * mean("sy")
-                value = F.when((vx > 0) & (vy > 0) & (col("_seen") > 1), cov / F.sqrt(vx * vy))
+                value = F.when((vx > 0) & (vy > 0) & (seen > 1), cov / F.sqrt(vx * vy))
             else:
-                value = F.sqrt(F.greatest(cov, F.lit(0.0)) * debias) if fn == "std" else cov * debias
-        made[name] = F.when(col("_seen") >= max(min_periods, 1), value)
+                value = F.sqrt(F.greatest(cov, zero) * debias) if fn == "std" else cov * debias
+        made[name] = F.when(seen >= max(min_periods, 1), value)
     return work.withColumns(made).select(*[col(c) for c in dict.fromkeys([*df.columns, *outs])])
 
 
+_SUMS = {"_s0": None, "_sx": "x", "_sy": "y", "_sxy": "xy", "_sxx": "xx", "_syy": "yy"}
+_EWM = ["_n", "_lead", "_tail", "_share", "_fx", "_fy", "_s2", *_SUMS]
+
+
+def _decayed(a: dict, b: dict, alpha: float, adjust: bool) -> dict:
+    """Weighted sums of rows a followed by rows b.
+
+    With ``adjust`` a's weights shrink by 1 - alpha for each step from its last known row to b's last one. Without, weights add up
+    to 1 after each known row: where a known row follows, old and new share that mass, so what b's first known row still holds of
+    it (``share``) is dealt out anew between a and that row.
+    """
+    has_a, has_b = a["_n"] > 0, b["_n"] > 0
+    steps = a["_tail"] + b["_lead"] + 1
+    old = (1 - alpha) ** steps
+    if adjust:
+        # share: (1 - alpha) to the steps from b's first known row to its last
+        from_a = old * b["_share"]
+        sums = {k: a[k] * from_a + b[k] for k in _SUMS}
+        square = a["_s2"] * from_a * from_a + b["_s2"]
+    else:
+        keep, new = old / (old + alpha), alpha / (old + alpha)
+        fx, fy = b["_fx"], b["_fy"]
+        first = {None: 1.0, "x": fx, "y": fy, "xy": fx * fy, "xx": fx * fx, "yy": fy * fy}
+        sums = {k: b[k] + b["_share"] * (keep * a[k] + (new - 1) * first[v]) for k, v in _SUMS.items()}
+        square = b["_s2"] + b["_share"] ** 2 * (keep * keep * a["_s2"] + new * new - 1)
+    both = {"_n": a["_n"] + b["_n"], "_lead": a["_lead"], "_tail": b["_tail"], "_fx": a["_fx"], "_fy": a["_fy"], "_s2": square, **sums}
+    both["_share"] = a["_share"] * (old * b["_share"] if adjust else b["_share"] * keep)
+    only_a = {**a, "_tail": a["_tail"] + b["_lead"]}
+    only_b = {**b, "_lead": a["_lead"] + b["_lead"]}
+    # where neither has a known row, lead and tail both count all steps
+    none = {**a, "_lead": a["_lead"] + b["_lead"], "_tail": a["_tail"] + b["_tail"]}
+    return {k: np.where(has_a & has_b, both[k], np.where(has_a, only_a[k], np.where(has_b, only_b[k], none[k]))) for k in _EWM}
+
+
 def autocorrelation(df: DataFrame, by: list[str], order: list[str], column: str, lag: int = 1) -> DataFrame:
     """Correlation of the column with itself ``lag`` rows earlier, one row per group."""
     from .ranks import shift

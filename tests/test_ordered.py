@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tendril.operators import fills, grouping, joins, ranks, resample, reshape, rolling, stats
+from tendril.operators import fills, grouping, joins, ranks, resample, reshape, rolling, scans, stats
 from tendril.operators import ordered as od
 
 N = 1500
@@ -175,8 +175,7 @@ def test_exponential_across_blocks(df, pdf):
 @pytest.mark.parametrize("adjust", [True, False])
 @pytest.mark.parametrize("ignore_na", [True, False])
 def test_exponential_with_nulls(df, pdf, adjust, ignore_na, monkeypatch):
-    monkeypatch.setattr(rolling, "ROWS", 16)
-    monkeypatch.setattr(rolling, "SPAN", 45.0)
+    monkeypatch.setattr(scans, "BATCH", 16)
     g = groups(pdf).x
     for alpha in (0.05, 0.5, 0.9):
         outs = {"m": ("mean", "x"), "v": ("var", "x")}
