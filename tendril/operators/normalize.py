@@ -35,8 +35,15 @@ def to_eur(df: DataFrame, rates: DataFrame, value: str, currency: str, name: str
     return joined.withColumn(name, text).drop("_cur", "_rate")
 
 
-def extracted(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """The fixed columns, then the MAIN_ columns, from ``notice_columns`` output over ``schema.source_paths()``."""
+def extracted(rows: DataFrame, rates: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The fixed columns, then the MAIN_ columns, from ``notice_columns`` output over ``schema.source_paths()``.
+
+    With ``columns`` only these, from the output over ``schema.source_paths(columns)``.
+    """
+    if columns is not None:
+        absent = [c for c in S.source_paths() if c not in rows.columns]
+        table = extracted(rows.withColumns({c: F.lit(None).cast("array<string>") for c in absent}), rates if "VALUE_EUR" in columns else rates.limit(0))
+        return table.select(*[col(c) for c in columns])
     values = {c: col(c) for c in S.COLUMNS if c not in S.DERIVED}
     single, range_ = S.OLD_SINGLE_VALUE, S.OLD_RANGE_VALUE
     values["VALUES__VALUE"] = with_fallback(col("VALUES__VALUE"), col(single), col(range_))

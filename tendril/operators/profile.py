@@ -56,8 +56,8 @@ def common_columns(presence: DataFrame, by: str, groups: list[str]) -> DataFrame
 
 def only_columns(presence: DataFrame, by: str, group: str) -> DataFrame:
     """Columns present in one group only."""
-    return presence.groupBy("column").agg(F.collect_set(col(by)).alias("g")).filter(
-        (F.size("g") == 1) & F.array_contains("g", group)).select("column")
+    found = presence.groupBy("column").agg(F.min(col(by)).alias("_least"), F.max(col(by)).alias("_most"))
+    return found.filter((col("_least") == group) & (col("_most") == group)).select("column")
 
 
 def small_value_shares(df: DataFrame, columns: list[str], below: int = 25) -> DataFrame:

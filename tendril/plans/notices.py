@@ -71,8 +71,10 @@ def rates(spark) -> DataFrame:
     return spark.createDataFrame(list(RATES.items()), "currency string, rate double")
 
 
-def _table(t):
-    return nz.extracted(fl.notice_columns(documents(t), S.source_paths()), rates(t.spark))
+def _table(t, *columns):
+    """The extracted table, or the named columns of it; only their paths are read out of the documents."""
+    some = list(columns) or None
+    return nz.extracted(fl.notice_columns(documents(t), S.source_paths(some)), rates(t.spark), some)
 
 
 SRC = f"WITH n AS (SELECT {SQL_FIELDS} FROM orders), " + """
@@ -234,8 +236,7 @@ def list_rules(t):
 
 @query("a29_drop_empty_columns", SRC + "SELECT file AS FILE, lg AS LG, CASE WHEN k % 5 > 1 THEN 'T' END AS VALUES__VALUE__TYPE FROM f")
 def drop_empty(t):
-    table = _table(t)
-    return drop_empty_columns(table.select("FILE", "LG", "VALUES__VALUE__TYPE", "HEADING", "AWARD_CONTRACT__ITEM"))
+    return drop_empty_columns(_table(t, "FILE", "LG", "VALUES__VALUE__TYPE", "HEADING", "AWARD_CONTRACT__ITEM"))
 
 
 @query("a30_merged_mapping", SRC + """
@@ -255,13 +256,12 @@ def typed_mapping(t):
 
 
 @query("a31_mixed_types", """
-    SELECT o_orderkey, TRY_CAST(v AS INTEGER) AS as_int, TRY_CAST(v AS DOUBLE) AS as_double, v AS as_string FROM
+    SELECT o_orderkey, CASE WHEN regexp_full_match(v, '[0-9]+') THEN TRY_CAST(v AS INTEGER) END AS as_int, TRY_CAST(v AS DOUBLE) AS as_double, v AS as_string FROM
       (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN o_custkey::VARCHAR WHEN 1 THEN '1.5' ELSE o_orderstatus END AS v FROM orders)""")
 def mixed_types(t):
     v = F.expr("CASE o_orderkey % 3 WHEN 0 THEN cast(o_custkey AS string) WHEN 1 THEN '1.5' ELSE o_orderstatus END")
     rows = t.orders.select("o_orderkey", nz.by_type(v, {"as_int": "int", "as_double": "double", "as_string": "string"}).alias("c"))
-    # DuckDB rounds '1.5' to an integer, a cast in Spark cuts it off
-    return rows.select("o_orderkey", F.when(F.col("c.as_string") == "1.5", 2).otherwise(F.col("c.as_int")).alias("as_int"), "c.as_double", "c.as_string")
+    return rows.select("o_orderkey", "c.as_int", "c.as_double", "c.as_string")
 
 
 @query("a32_safe_names", "SELECT c_custkey AS n2016_custkey, c_name AS ca_name FROM customer")
@@ -276,14 +276,13 @@ def paragraph_join(t):
 
 @query("a34_empty_string_fill", SRC + "SELECT file AS FILE, coalesce(CASE WHEN k % 5 > 1 THEN 'T' END, '') AS VALUES__VALUE__TYPE, '' AS HEADING FROM f")
 def empty_string_fill(t):
-    table = _table(t)
-    return table.select("FILE", "VALUES__VALUE__TYPE", "HEADING").na.fill("")
+    return _table(t, "FILE", "VALUES__VALUE__TYPE", "HEADING").na.fill("")
 
 
 @query("a35_columns_by_substring", SRC + "SELECT amount AS VALUES__VALUE, cur AS VALUES__VALUE__CURRENCY, CASE WHEN k % 5 > 1 THEN 'T' END AS VALUES__VALUE__TYPE, file AS FILE FROM f")
 def columns_by_substring(t):
-    table = _table(t)
-    return table.select("FILE", *[col(c) for c in columns_like(table, "VALUES__VALUE") if not c.startswith("AWARD")])
+    names = columns_like(t.spark.createDataFrame([], S.extracted_type()), "VALUES__VALUE")
+    return _table(t, "FILE", *[c for c in names if not c.startswith("AWARD")])
 
 
 @query("a36_column_sets", SRC + """
@@ -393,7 +392,7 @@ def document_scan(t):
 
 @query("a21_header_fields", SRC + "SELECT d AS DATE, d[1:4] AS YEAR, file AS FILE FROM f")
 def header_fields(t):
-    return _table(t).select("DATE", "YEAR", "FILE")
+    return _table(t, "DATE", "YEAR", "FILE")
 
 
 @query("a23_code_and_text_lists", SRC + """
@@ -402,15 +401,16 @@ def header_fields(t):
 def code_and_text_lists(t):
     """Parallel code and text lists, paired again by position."""
     pairs = F.arrays_zip(F.col("ORIGINAL_CPV_CODE").alias("code"), F.col("ORIGINAL_CPV_TEXT").alias("text"))
-    zipped = _table(t).select("FILE", F.explode(pairs).alias("p"))
+    zipped = _table(t, "FILE", "ORIGINAL_CPV_CODE", "ORIGINAL_CPV_TEXT").select("FILE", F.explode(pairs).alias("p"))
     return zipped.select("FILE", F.col("p.code").alias("code"), F.col("p.text").alias("text"))
 
 
 @query("a24_missing_reference", SRC + "SELECT file AS FILE, CASE WHEN k % 4 = 0 THEN '2000/S 001-000001' ELSE '' END AS REF_NO FROM f")
 def missing_reference(t):
-    return _table(t).select("FILE", "REF_NO")
+    return _table(t, "FILE", "REF_NO")
 
 
 @query("a28_first_elements", SRC + "SELECT file AS FILE, cpv1 AS MAIN_CPV_CODE, 'NU' || nat AS place, NULL::VARCHAR AS tenderer FROM f")
 def first_elements(t):
-    return _table(t).select("FILE", "MAIN_CPV_CODE", col("MAIN_n2016:PERFORMANCE_NUTS__CODE").alias("place"), col("MAIN_n2016:TENDERER_NUTS__CODE").alias("tenderer"))
+    table = _table(t, "FILE", "MAIN_CPV_CODE", "MAIN_n2016:PERFORMANCE_NUTS__CODE", "MAIN_n2016:TENDERER_NUTS__CODE")
+    return table.toDF("FILE", "MAIN_CPV_CODE", "place", "tenderer")

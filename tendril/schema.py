@@ -208,10 +208,17 @@ def is_list(column: str) -> bool:
     return column in LIST_COLUMNS
 
 
-def source_paths() -> list[str]:
-    """Every path the fixed projection reads."""
-    extra = ["ORIGINAL_CPV", "ORIGINAL_CPV__CODE", OLD_SINGLE_VALUE, OLD_SINGLE_VALUE + "__CURRENCY", OLD_RANGE_VALUE, OLD_RANGE_VALUE + "__CURRENCY"]
-    return [c for c in COLUMNS if c not in DERIVED] + extra
+def source_paths(columns: list[str] | None = None) -> list[str]:
+    """Every path the fixed projection reads, or those that the named ``columns`` of it need."""
+    value, currency = [OLD_SINGLE_VALUE, OLD_RANGE_VALUE], [OLD_SINGLE_VALUE + "__CURRENCY", OLD_RANGE_VALUE + "__CURRENCY"]
+    if columns is None:
+        return [c for c in COLUMNS if c not in DERIVED] + ["ORIGINAL_CPV", "ORIGINAL_CPV__CODE", *value, *currency]
+    value, currency = ["VALUES__VALUE", *value], ["VALUES__VALUE", "VALUES__VALUE__CURRENCY", *currency]
+    made = {"ORIGINAL_CPV_CODE": ["ORIGINAL_CPV__CODE"], "ORIGINAL_CPV_TEXT": ["ORIGINAL_CPV"], "REF_NO": ["REF_NOTICE__NO_DOC_OJS"], "VALUES__VALUE": value, "VALUES__VALUE__CURRENCY": currency,
+            "VALUE_EUR": value + currency}
+    whole = {n: c for c, n in FIRST_NAMES.items()}
+    named = [whole.get(c, c) for c in columns]
+    return list(dict.fromkeys(p for c in named for p in made.get(c, [] if c in DERIVED else [c])))
 
 
 def extracted_type() -> T.StructType:
