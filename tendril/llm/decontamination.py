@@ -97,7 +97,7 @@ def _scan(block, n_columns: int):
             merged = [[{"start": s, "end": e} for s, e in _union([(y["start"], y["end"]) for y in a or []] + b)] for a, b in zip(old_spans, spans, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(n_words), pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array([sorted(b.union(a or [])) for a, b in zip(old_items, items, strict=True)], pa.list_(pa.string()))],
+                 pa.array([sorted(b.union(a or []), key=lambda k: (k is None, k or "")) for a, b in zip(old_items, items, strict=True)], pa.list_(pa.string()))],
                 names=[*batch.schema.names[: n_columns + 1], "_words", "_spans", "_items"])
     return run
 
@@ -145,18 +145,28 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"), (F.size("_spans") > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.0, **options) -> DataFrame:
-    """Documents of which at most ``most_share`` of the words stand in a benchmark window, with their own columns only."""
+def _find_numbered(docs: DataFrame, benchmark: DataFrame, text: str, **options) -> tuple[DataFrame, str, list]:
+    """Hits in ``docs`` with its columns renamed c0, c1, ..., so that none of them clashes; the text's new name; the way back."""
     names = docs.columns
+    at = [i for i, c in enumerate(names) if c.lower() == text.lower()][0]
+    found = find_contamination(docs.toDF(*[f"c{i}" for i in range(len(names))]), benchmark, text=f"c{at}", **options)
+    return found, f"c{at}", [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_share: float = 0.0, text: str = "text", **options) -> DataFrame:
+    """Documents of which at most ``most_share`` of the words stand in a benchmark window, with their own columns only."""
+    found, _, own = _find_numbered(docs, benchmark, text, **options)
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return find_contamination(docs, benchmark, **options).where(hit <= F.col("_words") * most_share).select(*names)
+    return found.where(hit <= F.col("_words") * most_share).select(*own)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents without the words that stand in a benchmark window; text between kept words stays as it was."""
+    found, body, own = _find_numbered(docs, benchmark, text, **options)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, spans = batch.schema.get_field_index("_text"), batch.column(batch.schema.get_field_index("_spans")).to_pylist()
+            at, spans = batch.schema.get_field_index(body), batch.column(batch.schema.get_field_index("_spans")).to_pylist()
             texts = batch.column(at).to_pylist()
             for w in words(batch.column(at), LETTERS, FOLD):
                 for t in range(len(w)):
@@ -169,10 +179,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
                         out.append(raw[done : w.start[off + c["start"]] - low])
                         done = w.end[off + c["end"] - 1] - low
                     texts[w.first + t] = b"".join([*out, raw[done:]]).decode()
-            yield batch.set_column(at, "_text", pa.array(texts, pa.string()))
+            yield batch.set_column(at, body, pa.array(texts, pa.string()))
 
-    names = docs.columns
-    found = find_contamination(docs, benchmark, **options).withColumn("_text", F.col("text"))
-    numbered = found.toDF(*[f"c{i}" for i in range(len(names))], "_words", "_spans", "_items", "_text")
-    cut = numbered.mapInArrow(run, numbered.schema)
-    return cut.select(*[(F.col("_text") if c == "text" else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])
+    return found.mapInArrow(run, found.schema).select(*own)

@@ -11,8 +11,8 @@ index lines and each probe is held against a block as one row: there is no row p
 give classes by connected components; the first line (by document, then place) of a class stays, the others go.
 
 Exact copies are grouped over all lines with a visible character; blank lines stay. Only lines of at least ``min_chars``
-characters take part in the edit join (k edits turn shorter ones into anything). Null and empty texts have no lines. Rows with equal keys (null included) count as one document: a repeated row adds nothing. Empty tables
-give no rows.
+characters take part in the edit join (k edits turn shorter ones into anything). Null and empty texts have no lines. A document is a row's key and text:
+rows of one key (null included) with different texts are different documents, and a repeated row adds nothing. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -105,9 +105,14 @@ def letter_counts(text: Column) -> Column:
     return F.array(*[F.length(text) - F.length(F.regexp_replace(text, "[" + g.replace("-", r"\-") + "]", "")) for g in LETTER_GROUPS])
 
 
+def document(key: str, text: str) -> Column:
+    """What names a document: its key and a hash of its text."""
+    return F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text"))
+
+
 def document_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc, place, line) of all lines; repeated rows once."""
-    return docs.select(F.col(key).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("place", "line"))
+    """(doc, place, line) of all lines."""
+    return docs.select(document(key, text).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("place", "line"))
 
 
 def _identified(lines: DataFrame) -> DataFrame:
@@ -155,7 +160,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edit
     found = found.where((F.col("places") > 1) | (F.col("stays") != F.col("first")))
     places = _identified(document_lines(docs, key, text)).select("doc", "place", "h", "c", "length")
     gone = places.join(found, ["h", "c", "length"]).where(~(F.struct("doc", "place").eqNullSafe(F.col("stays"))))
-    return gone.select("doc", "place", (F.col("stays") != F.col("first")).alias("near"), F.col("stays.doc").alias("kept_doc"), F.col("stays.place").alias("kept_place"))
+    return gone.select("doc", "place", (F.col("stays") != F.col("first")).alias("near"), F.col("stays.doc.key").alias("kept_doc"), F.col("stays.place").alias("kept_place"))
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -164,20 +169,20 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", edits:
     per = gone.groupBy("doc").agg(
         F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"),
         F.array_sort(F.collect_list(F.struct(F.col("place").alias("line"), "near", "kept_doc", F.col("kept_place").alias("kept_line")))).alias("removed"))
-    all_docs = docs.select(F.col(key).alias("doc"), F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long").alias("n_lines"))
+    all_docs = docs.select(document(key, text).alias("doc"), F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).cast("long").alias("n_lines"))
     all_docs = all_docs.groupBy("doc").agg(F.max("n_lines").alias("n_lines"))
     joined = all_docs.join(per.withColumnRenamed("doc", "d"), F.col("doc").eqNullSafe(F.col("d")), "left")
     none = F.array().cast(joined.schema["removed"].dataType)
     return joined.select(
-        F.col("doc").alias(key), "n_lines", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"), F.coalesce("removed", none).alias("removed"))
+        F.col("doc.key").alias(key), "n_lines", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"), F.coalesce("removed", none).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` without the lines that go; documents with equal keys lose the same places."""
+    """``docs`` without the lines that go; a repeated row loses the same places."""
     names = docs.columns
     gone = removed_lines(docs, key, text, edits, min_chars).groupBy("doc").agg(F.collect_set("place").alias("gone"))
     safe = docs.toDF(*[f"d{i}" for i in range(len(names))])
     at, k = f"d{names.index(text)}", f"d{names.index(key)}"
     kept = F.filter(F.split(F.col(at), "\n"), lambda x, i: ~F.array_contains("gone", i))
-    joined = safe.join(gone, F.col(k).eqNullSafe(F.col("doc")), "left").withColumn(at, F.when(F.col("gone").isNull(), F.col(at)).otherwise(F.array_join(kept, "\n")))
+    joined = safe.join(gone, document(k, at).eqNullSafe(F.col("doc")), "left").withColumn(at, F.when(F.col("gone").isNull(), F.col(at)).otherwise(F.array_join(kept, "\n")))
     return joined.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(names)])
