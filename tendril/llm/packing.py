@@ -10,18 +10,18 @@ than ``FAN * OPEN`` bins' items, and all but the last ``OPEN`` sequences close o
 The rounds number log of the tasks to base ``FAN``; the first round runs where the items are made, without a shuffle.
 
 Null text is empty: a document of its end id alone. Equal keys are different documents, and repeated rows are packed as often as
-they stand there. An empty table gives no rows; further columns of documents are not touched. Texts are encoded whole, the very
-long ones in stretches cut where no token can span them.
+they stand there. An empty table gives no rows; further columns of documents are not touched. Texts are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,14 +29,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import record_batches, stored
-from .token_counts import chunks
 
 VOCABULARY = "word_bpe_49k.json"
 SIZE = 2048
 END = 0
 OPEN = 512
 FAN = 8
-STRETCH = 1 << 16
+KEPT, KEPT_PIECES, LONGEST_KEPT = 1 << 18, 1 << 19, 64
+# Letters, digits and marks whose lower case and normal form are single characters, and the vocabulary's pattern on them.
+LATIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f]+")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+# White space of the vocabulary's pattern, and the characters that only Python takes for white space.
+SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -45,34 +50,82 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
-def encoder(vocabulary: str):
-    """The tokenizer of a vocabulary file, read once a worker; strings of special tokens are ordinary text to it."""
-    # one thread a task; Spark runs the tasks side by side
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Pieces(dict):
+    """Ids (little-endian, four bytes each) of the pieces between which the vocabulary never merges."""
+
+    def __init__(self, coder):
+        self.model = coder.model
+        # the vocabulary is written in characters that stand for bytes: visible ones for themselves, the others from 256 on
+        seen = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        rest = [b for b in range(256) if b not in set(seen)]
+        self.shown = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))]
+        return _keep(self, piece, ids, KEPT_PIECES)
+
+
+def _keep(table: dict, key: str, ids: list[int], most: int) -> bytes:
+    packed = struct.pack(f"<{len(ids)}I", *ids)
+    if len(key) <= LONGEST_KEPT:
+        if len(table) >= most:
+            table.clear()
+        table[key] = packed
+    return packed
+
+
+class Encoder(dict):
+    """Ids of words, kept for the words met; the vocabulary's file is read once a worker.
 
-    coder = Tokenizer.from_file(vocabulary)
-    coder.encode_special_tokens = True
-    return coder
+    The vocabulary drops white space and no token spans it, so a text's ids are those of its words. Words of Latin letters, ASCII
+    digits and marks are put together from their lower-cased pieces; others go through the tokenizer whole. At most ``KEPT`` words
+    and ``KEPT_PIECES`` pieces are kept; then a table starts anew. Strings of special tokens are ordinary text.
+    """
+
+    def __init__(self, vocabulary: str):
+        # one thread a task; Spark runs the tasks side by side
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.coder = Tokenizer.from_file(vocabulary)
+        self.coder.encode_special_tokens = True
+        self.pieces = _Pieces(self.coder)
+
+    def __missing__(self, word: str) -> bytes:
+        if not LATIN.fullmatch(word):
+            return _keep(self, word, self.coder.encode(word, add_special_tokens=False).ids, KEPT)
+        packed = b"".join(map(self.pieces.__getitem__, PIECE.findall(word.lower())))
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = packed
+        return packed
+
+    def text(self, text: str) -> bytes:
+        # these four split a text in Python, but not in the vocabulary's pattern
+        if SEPARATORS.search(text):
+            return b"".join(map(self.__getitem__, SPACE.split(text)))
+        return b"".join(map(self.__getitem__, text.split()))
+
+
+@cache
+def encoder(vocabulary: str) -> Encoder:
+    return Encoder(vocabulary)
 
 
 def _pieces(vocabulary: str | None, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(vocabulary or vocabulary_path())
-        names, types = None, None
+        encode = encoder(vocabulary or vocabulary_path()).text
+        end, step = struct.pack("<I", END), 4 * size
 
         def rows(keys, texts):
             for key, text in zip(keys, texts, strict=True):
-                text = text.as_py() or ""
-                parts = [text] if len(text) <= STRETCH else list(chunks(text, STRETCH))
-                ids = np.concatenate([*[np.array(e.ids, "<u4") for e in coder.encode_batch_fast(parts, add_special_tokens=False)], np.array([END], "<u4")])
-                for piece, start in enumerate(range(0, len(ids), size)):
-                    part = ids[start:start + size]
-                    yield key, piece, start, len(part), zlib.crc32(part.tobytes())
+                ids = encode(text.as_py() or "") + end
+                for piece, at in enumerate(range(0, len(ids), step)):
+                    part = ids[at:at + step]
+                    yield key, piece, at // 4, len(part) // 4, zlib.crc32(part)
         for batch in batches:
-            names, types = ["key", "piece", "start", "length", "ids_crc32"], [batch.schema.types[0], *[pa.int64()] * 4]
-            yield from record_batches(rows(batch.column(0).to_pylist(), batch.column(1)), names, types, 4096)
+            yield from record_batches(rows(batch.column(0).to_pylist(), batch.column(1)), ["key", "piece", "start", "length", "ids_crc32"], [batch.schema.types[0], *[pa.int64()] * 4], 4096)
     return run
 
 

@@ -2,8 +2,10 @@
 
 import math
 import random
+import struct
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -16,13 +18,18 @@ SCHEMA = "doc_id long, text string, key string, part int, length string, sequenc
 ODD = [(1, None), (2, ""), (2, "  \n "), (3, "One two, three's 12345."), (3, "One two, three's 12345."), (None, "no key"), (4, "word " * 30_000), (5, "é日本 naïve ÉCOLÉ"), (6, "x" * 70_000), (7, "<|endoftext|> text <|startoftext|>")]
 
 
-def ids(text):
+@cache
+def coder():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    coder.encode_special_tokens = True
-    return [*coder.encode(text or "", add_special_tokens=False).ids, 0]
+    made = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    made.encode_special_tokens = True
+    return made
+
+
+def ids(text):
+    return [*coder().encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def check(rows, table):
@@ -47,6 +54,24 @@ def test_odd_rows(spark):
     assert P.packing_report(odd.limit(0)).count() == 0
 
 
+def test_words_give_the_ids_of_the_text():
+    spaces = [c for c in map(chr, range(0x10000)) if c.isspace() or P.SPACE.match(c) or ord(c) in (0, 8, 14, 27, 0x180e, 0x200b, 0xfeff)]
+    texts = [f"It's{c}one{c}{c}\u0301e's {c}'re 12 Σας İX don't<|endoftext|>{c}" for c in spaces] + ["a\x1cb\u2000c", "日本 語", "e\u0301 \u0308a"]
+    own = P.Encoder(P.vocabulary_path())
+    for t in texts:
+        assert list(struct.unpack(f"<{len(own.text(t)) // 4}I", own.text(t))) == ids(t)[:-1], repr(t)
+    letters = [chr(c) for c in range(0x21, 0x250) if not chr(c).isspace()]
+    for c in letters:
+        word = f"x{c}Y'{c}S {c}{c}'re1{c}2 {c}"
+        assert list(struct.unpack(f"<{len(own.text(word)) // 4}I", own.text(word))) == ids(word)[:-1], repr(word)
+    small = P.Encoder(P.vocabulary_path())
+    P_KEPT, P.KEPT = P.KEPT, 3
+    try:
+        assert small.text("one two three four five one " * 3) == own.text("one two three four five one " * 3) and len(small) <= 3
+    finally:
+        P.KEPT = P_KEPT
+
+
 def test_given_table(spark):
     docs = spark.read.parquet(f"{ROOT}/documents.parquet")
     n, least = check(P.packing_report(docs).collect(), [tuple(r) for r in docs.select("doc_id", "text").collect()])
