@@ -129,11 +129,17 @@ def rolling_weighted(
     df: DataFrame, by: list[str], order: list[str], column: str, weights: list[float], name: str, mean: bool = True,
 ) -> DataFrame:
     """Weighted sum or mean of the last ``len(weights)`` rows, oldest weight first; null while a row is missing."""
-    n = len(weights)
-    work = halo_blocks(position(df, by, order), col("_pos"), max(4096, 4 * n), n - 1, 0)
+    return rolling_shapes(df, by, order, column, {name: weights}, mean)
+
+
+def rolling_shapes(df: DataFrame, by: list[str], order: list[str], column: str, shapes: dict[str, list[float]], mean: bool = True) -> DataFrame:
+    """Several weighted sums or means of one column, by name, in one pass."""
+    longest = max(map(len, shapes.values()))
+    work = halo_blocks(position(df, by, order), col("_pos"), max(4096, 4 * longest), longest - 1, 0)
     w = Window.partitionBy(*[col(k) for k in by], BLOCK).orderBy("_pos")
-    total = sum((F.lag(col(column), n - 1 - i).over(w) * float(wt) for i, wt in enumerate(weights)), F.lit(0.0))
-    return drop_halo(work, df.columns, {name: total / (sum(weights) if mean else 1.0)})
+    work = work.withColumns({f"_lag{i}": F.lag(col(column), i).over(w) for i in range(longest)})
+    total = lambda weights: sum((col(f"_lag{len(weights) - 1 - i}") * float(x) for i, x in enumerate(weights)), F.lit(0.0))
+    return drop_halo(work, df.columns, {name: total(weights) / (sum(weights) if mean else 1.0) for name, weights in shapes.items()})
 
 
 def triangular_weights(n: int) -> list[float]:
@@ -145,6 +151,43 @@ def gaussian_weights(n: int, std: float) -> list[float]:
     return [math.exp(-0.5 * ((i - (n - 1) / 2) / std) ** 2) for i in range(n)]
 
 
+def window_weights(shape: str, n: int, *parameters: float) -> list[float]:
+    """The n weights of a named shape, symmetric.
+
+    boxcar, triang, bartlett, cosine sums (hamming, blackman, blackmanharris, nuttall), barthann, bohman, parzen; kaiser(beta),
+    gaussian(std), general_gaussian(power, width).
+    """
+    if n == 1:
+        return [1.0]
+    turn = [2 * math.pi * i / (n - 1) for i in range(n)]
+    off = [abs(2 * i / (n - 1) - 1) for i in range(n)]  # distance from the middle, 1 at the ends
+    # Coefficients of the cosine sums.
+    sums = {"hamming": (0.54, 0.46), "blackman": (0.42, 0.5, 0.08), "blackmanharris": (0.35875, 0.48829, 0.14128, 0.01168), "nuttall": (0.3635819, 0.4891775, 0.1365995, 0.0106411)}
+    if shape in sums:
+        return [sum((-1) ** k * a * math.cos(k * x) for k, a in enumerate(sums[shape])) for x in turn]
+    if shape == "boxcar":
+        return [1.0] * n
+    if shape == "triang":
+        return triangular_weights(n)
+    if shape == "bartlett":
+        return [1 - x for x in off]
+    if shape == "barthann":
+        return [0.62 - 0.24 * x + 0.38 * math.cos(math.pi * x) for x in off]
+    if shape == "bohman":
+        return [(1 - x) * math.cos(math.pi * x) + math.sin(math.pi * x) / math.pi if x < 1 else 0.0 for x in off]
+    if shape == "parzen":
+        far = [abs(2 * i - (n - 1)) / n for i in range(n)]
+        return [1 - 6 * x * x * (1 - x) if x <= 0.5 else 2 * (1 - x) ** 3 for x in far]
+    if shape == "kaiser":
+        return [float(np.i0(parameters[0] * math.sqrt(max(0.0, 1 - x * x))) / np.i0(parameters[0])) for x in off]
+    if shape == "gaussian":
+        return gaussian_weights(n, *parameters)
+    if shape == "general_gaussian":
+        power, width = parameters
+        return [math.exp(-0.5 * abs((i - (n - 1) / 2) / width) ** (2 * power)) for i in range(n)]
+    raise ValueError(shape)
+
+
 def expanding(df: DataFrame, by: list[str], order: list[str], column: str, outs: dict[str, str | tuple], min_periods: int = 1) -> DataFrame:
     """Statistics over all rows up to the current one: count, sum, mean, min, max, var, std, skew or kurt (bias-corrected),
     median, or ("quantile", share). Pairs of columns: ``scans.running_pairs``; functions of the caller's own: ``scans.scan``.

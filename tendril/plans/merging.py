@@ -138,8 +138,9 @@ def json_rows(t):
 def header_times_forms(t):
     """Notice header with its list of forms, exploded in place."""
     both = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
-    nested = both.select(F.struct("o_orderkey", "o_orderpriority").alias("header"), F.array(F.struct("l_linenumber", "l_partkey")).alias("forms"))
-    return nested.select("header.*", F.inline("forms"))
+    # an order's lines, as a notice's forms: a handful each
+    nested = both.groupBy("o_orderkey", "o_orderpriority").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("forms"))
+    return nested.select(F.struct("o_orderkey", "o_orderpriority").alias("header"), "forms").select("header.*", F.inline("forms"))
 
 
 @query("a40_already_seen", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -324,14 +325,26 @@ def html_tables_of_pages(t):
     UNION ALL SELECT 'date', count(*), count(*) FILTER (NOT regexp_full_match(strftime(o_orderdate, '%Y%m%d'), '(20)[0-9]{2}(1[0-2]|0[1-9])((3[0-1])|([1-2][0-9])|(0[1-9]))')) FROM orders
     UNION ALL SELECT 'full_date', count(*), 0 FROM orders
     UNION ALL SELECT 'notice_number', count(*), count(*) FILTER (length(o_custkey::VARCHAR) > 3) FROM orders
-    UNION ALL SELECT 'amount', count(*), count(*) FILTER (c_acctbal <= 0) FROM customer""")
+    UNION ALL SELECT 'amount', count(*), count(*) FILTER (c_acctbal <= 0) FROM customer
+    UNION ALL SELECT 'datetime', count(*), 0 FROM events
+    UNION ALL SELECT 'time', count(*), count(*) FILTER (event_type = 'error') FROM events
+    UNION ALL SELECT 'document_number', count(*), count(*) FILTER (length(o_orderkey::VARCHAR) > 4) FROM orders
+    UNION ALL SELECT 'phone', count(*), count(*) FILTER (c_acctbal < 0) FROM customer
+    UNION ALL SELECT 'e_mail', count(*), count(*) FILTER (c_mktsegment = 'BUILDING') FROM customer""")
 def pattern_checks(t):
     o = t.orders.select(F.date_format("o_orderdate", "yyyyMMdd").alias("date"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("full_date"),
                         F.concat(F.year("o_orderdate"), F.lit("/S "), F.expr("if(length(cast(o_custkey as string)) > 3, cast(o_custkey as string), lpad(cast(o_custkey as string), 3, '0'))"),
-                                 F.lit("-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0")).alias("notice_number"))
-    rules = {r: ql.matches(F.col(r), r) for r in ("date", "full_date", "notice_number")}
+                                 F.lit("-"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0")).alias("notice_number"),
+                        F.concat(F.col("o_orderkey") * 100, F.lit("-"), F.year("o_orderdate")).alias("document_number"))
+    rules = {r: ql.matches(F.col(r), r) for r in ("date", "full_date", "notice_number", "document_number")}
+    at = F.when(F.col("event_type") == "error", F.date_format("ts", "HH:mm:ss")).otherwise(F.date_format("ts", "H:mm"))
+    e = t.events.select(F.concat(F.lit("2019"), F.date_format("ts", "MMdd HH:mm")).alias("datetime"), at.alias("time"))
+    phone = F.concat(F.when(F.col("c_acctbal") < 0, "00").otherwise("+"), (F.col("c_nationkey") + 1).cast("string"), F.lit(" "), F.col("c_custkey").cast("string"), F.lit("-7 / +49 12"))
+    mail = F.concat(F.col("c_custkey").cast("string"), F.when(F.col("c_mktsegment") == "BUILDING", " at ").otherwise("@"), F.lit("host.eu"))
+    c = t.customer.select(phone.alias("phone"), mail.alias("e_mail"))
     parts = [ql.rule_counts(t.pages, {"url": ql.matches(F.col("url"), "url")}), ql.rule_counts(o, rules),
              ql.rule_counts(t.customer.select(F.col("c_acctbal").cast("decimal(15,2)").cast("string").alias("a")), {"amount": ql.amount_rule(F.col("a"))})]
+    parts += [ql.rule_counts(df, {r: ql.matches(F.col(r), r) for r in df.columns}) for df in (e, c)]
     return nz.stack(parts)
 
 
@@ -366,6 +379,14 @@ def uniqueness_check(t):
     return ql.repeated(t.lineitem, ["l_orderkey", "l_linenumber", "l_suppkey"])
 
 
+@query("a91_one_form_per_language", """
+    SELECT l_orderkey, ['DE', 'EN', 'FR'][l_linenumber % 3 + 1] AS language, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
+def one_form_per_language(t):
+    """Lines as the forms of a notice, which may have one in each language."""
+    language = F.element_at(F.array(*[F.lit(x) for x in ("DE", "EN", "FR")]), F.col("l_linenumber") % 3 + 1)
+    return ql.repeated(t.lineitem.select("l_orderkey", language.alias("language")), ["l_orderkey", "language"])
+
+
 @query("a92_change_log_rows", """
     SELECT o_orderkey, n AS change_no, CASE n WHEN 1 THEN 'status' ELSE 'priority' END AS "where", CASE n WHEN 1 THEN o_orderstatus ELSE o_orderpriority END AS old_value,
            CASE n WHEN 1 THEN 'X' ELSE lower(o_orderpriority) END AS new_value FROM orders, (SELECT unnest([1, 2]) AS n)""")

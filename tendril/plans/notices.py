@@ -414,3 +414,27 @@ def missing_reference(t):
 def first_elements(t):
     table = _table(t, "FILE", "MAIN_CPV_CODE", "MAIN_n2016:PERFORMANCE_NUTS__CODE", "MAIN_n2016:TENDERER_NUTS__CODE")
     return table.toDF("FILE", "MAIN_CPV_CODE", "place", "tenderer")
+
+
+_ONE, _MANY = "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__", "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__"
+_AWARDED = {
+    _ONE + "OFFICIALNAME": "CASE WHEN n = 1 THEN ['Firm & Co ' || c] END", _ONE + "COUNTRY__VALUE": "CASE WHEN n = 1 THEN ['N' || p] END",
+    _MANY + "OFFICIALNAME": "CASE WHEN n > 1 THEN ['Firm & Co ' || c, 'Second ' || id] END", _MANY + "COUNTRY__VALUE": "CASE WHEN n > 1 THEN ['N' || p, 'N0'] END",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_TOTAL": "[price]", "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_TOTAL__CURRENCY": "['EUR']",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__NB_TENDERS_RECEIVED": "[n::VARCHAR]", "AWARD_CONTRACT__ITEM": "['1']", "AWARD_CONTRACT__LOT_NO": "['L' || n]", "AWARD_CONTRACT__TITLE": "['Lot ' || id]"}
+
+
+@query("a36_award_columns", f"""
+    SELECT id AS file, {', '.join(f'{_AWARDED.get(c, "NULL::VARCHAR[]")} AS "{c}"' for c in S.AWARD_COLUMNS)}
+    FROM (SELECT o_orderkey::VARCHAR AS id, o_custkey::VARCHAR AS c, o_custkey % 25 AS p, o_custkey % 3 + 1 AS n, o_orderpriority || '!' AS price FROM orders)""")
+def award_columns(t):
+    """The 60 award columns of the open-ended flatten, over one award notice per order with one contractor or a list of two."""
+    address = lambda name, country: f"'<ADDRESS_CONTRACTOR><OFFICIALNAME>', {name}, '</OFFICIALNAME><COUNTRY VALUE=\"', {country}, '\"/></ADDRESS_CONTRACTOR>'"
+    text = f"""concat('<NOTICE_EXPORT><CODED_DATA_SECTION><CODIF_DATA><TD_DOCUMENT_TYPE CODE="7">Contract award notice</TD_DOCUMENT_TYPE></CODIF_DATA></CODED_DATA_SECTION><FORM_SECTION><F03_2014 LG="EN">',
+        '<AWARD_CONTRACT ITEM="1"><LOT_NO>L', n, '</LOT_NO><TITLE><P>Lot ', id, '</P></TITLE><AWARDED_CONTRACT><TENDERS><NB_TENDERS_RECEIVED>', n, '</NB_TENDERS_RECEIVED></TENDERS>',
+        if(n = 1, concat('<CONTRACTOR>', {address("concat('Firm &amp; Co ', c)", "concat('N', p)")}, '</CONTRACTOR>'),
+           concat('<CONTRACTORS><CONTRACTOR>', {address("concat('Firm &amp; Co ', c)", "concat('N', p)")}, '</CONTRACTOR><CONTRACTOR>', {address("concat('Second ', id)", "'N0'")}, '</CONTRACTOR></CONTRACTORS>')),
+        '<VALUE><VAL_TOTAL CURRENCY="EUR">', price, '</VAL_TOTAL></VALUE></AWARDED_CONTRACT></AWARD_CONTRACT></F03_2014></FORM_SECTION></NOTICE_EXPORT>')"""
+    orders = t.spread("orders").selectExpr("cast(o_orderkey AS string) AS id", "o_custkey AS c", "o_custkey % 25 AS p", "o_custkey % 3 + 1 AS n", "concat(o_orderpriority, '!') AS price")
+    docs = settle(orders.selectExpr("id AS file", "'20190101' AS date", f"{text} AS value"), "awards")
+    return fl.notice_columns(docs, S.AWARD_COLUMNS).select("file", *[col(c) for c in S.AWARD_COLUMNS])

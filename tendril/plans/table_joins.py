@@ -317,6 +317,12 @@ def interpolate_time(t):
     return fills.interpolate(_sparse(t), ["user_id"], ["ts", "event_id"], "v", "time").withColumn("v", F.round("v", 6))
 
 
+@query("b20_interpolate_nearest", _NEIGHBOURS + """
+    SELECT event_id, user_id, ts, CASE WHEN v IS NOT NULL THEN v WHEN pv IS NOT NULL AND nv IS NOT NULL THEN CASE WHEN (epoch_us(ts) - pt) * 2 <= nt - pt THEN pv ELSE nv END END AS v FROM n""")
+def interpolate_nearest(t):
+    return fills.interpolate(_sparse(t), ["user_id"], ["ts", "event_id"], "v", "nearest")
+
+
 @query("b21_asof_lookup", """
     WITH w AS (SELECT DISTINCT date_trunc('day', ts) + INTERVAL 12 HOUR AS ts FROM events),
          k AS (SELECT ts, event_id, value FROM events WHERE event_type = 'signup')

@@ -107,10 +107,14 @@ def dummies(t):
     return reshape.dummies(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderstatus", ["F", "O", "P"], "status", drop_first=True)
 
 
-@query("b64_split_dummies", """
-    SELECT p_partkey, list_contains(w, 'blue')::INT AS blue, list_contains(w, 'ring')::INT AS ring FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""")
+# All words of the part names.
+WORDS = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod", "small", "widget"]
+
+
+@query("b64_split_dummies", f"""
+    SELECT p_partkey, {', '.join(f"list_contains(w, '{x}')::INT AS {x}" for x in WORDS)} FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)""")
 def split_dummies(t):
-    return reshape.split_dummies(t.part.select("p_partkey", "p_name"), "p_name", ["blue", "ring"], " ").select("p_partkey", "blue", "ring")
+    return reshape.split_dummies(t.part.select("p_partkey", "p_name"), "p_name", WORDS, " ").select("p_partkey", *WORDS)
 
 
 @query("b65_factorize", """

@@ -96,6 +96,20 @@ def upsample_interpolate(t):
     return out.withColumn("v", F.round(F.col("v") + 1e-8, 6))
 
 
+@query("b52_upsample_nearest", _UP + """,
+    n AS (SELECT *, last_value(v IGNORE NULLS) OVER a AS pv, max(CASE WHEN v IS NOT NULL THEN ts END) OVER a AS pt,
+                 first_value(v IGNORE NULLS) OVER z AS nv, min(CASE WHEN v IS NOT NULL THEN ts END) OVER z AS nt FROM j
+          WINDOW a AS (PARTITION BY user_id ORDER BY ts), z AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT user_id, ts, CASE WHEN v IS NOT NULL THEN v WHEN (epoch(ts) - epoch(pt)) * 2 <= epoch(nt) - epoch(pt) THEN pv ELSE nv END AS v FROM n""")
+def upsample_nearest(t):
+    return rs.upsample(_signups(t), ["user_id"], "ts", timedelta(hours=12), ["v"], "nearest")
+
+
+@query("b52_upsample_asfreq", _UP + " SELECT user_id, ts, v FROM j")
+def upsample_asfreq(t):
+    return rs.upsample(_signups(t), ["user_id"], "ts", timedelta(hours=12), ["v"], "asfreq")
+
+
 @query("b53_date_ranges", """
     SELECT d AS date, n FROM (SELECT unnest(generate_series(date_trunc('day', min(o_orderdate)), max(o_orderdate), INTERVAL 1 DAY)) AS d FROM orders)
     LEFT JOIN (SELECT date_trunc('day', o_orderdate) AS d, count(*) AS n FROM orders GROUP BY 1) USING (d) WHERE isodow(d) < 6""")

@@ -292,6 +292,26 @@ def weighted_rolling(t):
     return _rounded(out.select("event_id", "m"))
 
 
+def _cosines(*a):
+    return "(" + " + ".join(f"{(-1) ** k * x} * cos({k} * 2 * pi() * (8 - b) / 8)" for k, x in enumerate(a)) + ")"
+
+
+_SHAPES = {
+    "hamming": _cosines(0.54, 0.46), "blackman": _cosines(0.42, 0.5, 0.08), "nuttall": _cosines(0.3635819, 0.4891775, 0.1365995, 0.0106411), "bartlett": "(1 - abs(8 - 2 * b) / 8)",
+    "bohman": "((1 - abs(b - 4) / 4) * cos(pi() * abs(b - 4) / 4) + sin(pi() * abs(b - 4) / 4) / pi())", "parzen": "CASE WHEN abs(b - 4) * 4 <= 9 THEN 1 - 6 * pow(2 * abs(b - 4) / 9, 2) * (1 - 2 * abs(b - 4) / 9) ELSE 2 * pow(1 - 2 * abs(b - 4) / 9, 3) END",
+    "gaussian": "exp(-0.5 * pow((b - 4) / 2.0, 2))"}
+
+
+@query("b50_window_shapes", f"""
+    WITH p AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+         w AS (SELECT p.event_id, q.value, p.i - q.i AS b FROM p JOIN p AS q ON p.user_id = q.user_id AND q.i BETWEEN p.i - 8 AND p.i AND p.i >= 9)
+    SELECT event_id, {', '.join(f"round(sum({w} * value) / sum({w}) + 1e-8, 5) AS {name}" for name, w in _SHAPES.items())} FROM w GROUP BY 1""")
+def window_shapes(t):
+    weights = {name: rolling.window_weights(name, 9, *([2.0] if name == "gaussian" else [])) for name in _SHAPES}
+    out = rolling.rolling_shapes(_events(t), BY, ORDER, "value", weights)
+    return out.filter("hamming IS NOT NULL").select("event_id", *[F.round(F.col(c) + 1e-8, 5).alias(c) for c in _SHAPES])
+
+
 @query("b90_autocorrelation", """
     SELECT user_id, round(corr(value, p), 6) + 0.0 AS autocorr FROM
       (SELECT user_id, value, lag(value, 2) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY 1""")

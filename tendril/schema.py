@@ -236,3 +236,68 @@ def merged_mapping() -> list[tuple[str, str, str]]:
     kinds = {c: "array<string>" if is_list(c) else "string" for c in [*COLUMNS, *LIST_COLUMNS]}
     kinds |= {n: "string" for n in FIRST_NAMES.values()}
     return [(c, merged_name(c), MERGED_TYPES.get(merged_name(c), k)) for c, k in kinds.items()]
+
+
+# Columns of the award comparison.
+AWARD_COLUMNS = [
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__ADDRESS",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__COUNTRY__VALUE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__E_MAIL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__FAX",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__NATIONALID",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__OFFICIALNAME",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__PHONE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__POSTAL_CODE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__TOWN",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__URL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__CONTRACTOR__ADDRESS_CONTRACTOR__n2016:NUTS__CODE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTORS__PUBLICATION",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__ADDRESS",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__COUNTRY__VALUE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__E_MAIL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__FAX",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__NATIONALID",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__OFFICIALNAME",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__PHONE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__POSTAL_CODE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__TOWN",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__URL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__CONTRACTOR__ADDRESS_CONTRACTOR__n2016:NUTS__CODE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__DATE_CONCLUSION_CONTRACT",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__INFO_ADD_SUBCONTRACTING",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__NB_TENDERS_RECEIVED",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__NB_TENDERS_RECEIVED_EMEANS",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__NB_TENDERS_RECEIVED_NON_EU",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__NB_TENDERS_RECEIVED_OTHER_EU",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__NB_TENDERS_RECEIVED_SME",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__PCT_SUBCONTRACTING",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__NB_TENDERS_RECEIVED",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__NB_TENDERS_RECEIVED_EMEANS",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__NB_TENDERS_RECEIVED_NON_EU",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__NB_TENDERS_RECEIVED_OTHER_EU",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__NB_TENDERS_RECEIVED_SME",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__TENDERS__PUBLICATION",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__PUBLICATION",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_ESTIMATED_TOTAL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_ESTIMATED_TOTAL__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_RANGE_TOTAL__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_RANGE_TOTAL__HIGH",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_RANGE_TOTAL__LOW",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_TOTAL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VALUE__VAL_TOTAL__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_BARGAIN_PURCHASE",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_BARGAIN_PURCHASE__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_ESTIMATED_TOTAL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_ESTIMATED_TOTAL__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_RANGE_TOTAL__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_RANGE_TOTAL__HIGH",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_RANGE_TOTAL__LOW",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_SUBCONTRACTING",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_SUBCONTRACTING__CURRENCY",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_TOTAL",
+    "AWARD_CONTRACT__AWARDED_CONTRACT__VAL_TOTAL__CURRENCY",
+    "AWARD_CONTRACT__CONTRACT_NO",
+    "AWARD_CONTRACT__ITEM",
+    "AWARD_CONTRACT__LOT_NO",
+    "AWARD_CONTRACT__TITLE",
+]
