@@ -121,6 +121,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     drawn = min(1.0, max_labelled / max(1, known.count()))
     known = known.where(F.pmod("at", F.lit(1_000_000)) < int(drawn * 1_000_000)).select("k", "at", domain_of(F.col("q"), F.col("t")).alias("domain"))
     sample = docs.select(F.col(key).alias("dk"), F.col(text).alias("text")).join(F.broadcast(known), F.col("dk") == F.col("k"))  # max_labelled rows
+    # one text a label, however many rows have its key
+    sample = sample.groupBy("at", "domain").agg(F.min("text").alias("text"))
     made = stored(sample.select("at", "domain", "text").mapInArrow(_labelled_features, "at long, domain int, features binary"), "labelled")
     return np.frombuffer(made.coalesce(1).mapInArrow(_train, "weights binary").first()["weights"], np.float32).reshape(len(DOMAINS), FEATURES)
 
@@ -147,13 +149,15 @@ def memberships(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str
     return made.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", *[f"p_{d}" for d in DOMAINS])
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, rounds: int = 15, tolerance: float = 1e-4) -> tuple[list[list[float]], dict]:
+def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, rounds: int = 15, tolerance: float = 1e-4, scarce: str = "repeat") -> tuple[list[list[float]], dict]:
     """Projected gradient steps (one list of a number per domain each) and the totals reached; see ``rate``.
 
-    The total is such that the first domain gets its supply and a little more, so its documents needn't go; of the others
-    none is asked for more than it has, as a few documents would else be repeated many times. A gradient step
-    is the gaps between totals and targets, times a small matrix that scales it: the inverse of how the totals answer to the
-    rates that are above 0. One aggregation gives both.
+    ``scarce`` says what becomes of a domain that has too little: with "repeat" the total is such that the first domain gets its
+    supply and a little more, and others may get more than they have, by rates above 1; with "thin" the total is as large as the
+    scarcest domain allows, so all wanted totals can be had without repeating; with "cap" the total is that of "repeat", but no
+    domain is asked for more than its supply (then weights are not met, and ``wanted`` and ``reached`` tell by how much).
+    A gradient step is the gaps between totals and targets, times a small matrix that scales it: the inverse of how the totals
+    answer to the rates that are above 0. One aggregation gives both.
     """
     targets = targets or TARGETS
     n = len(DOMAINS)
@@ -166,8 +170,15 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, round
         return got[:n], got[n:].reshape(n, n)
 
     supply, answer = totals(F.lit(1.0))
-    whole = HEADROOM * supply[0] / targets[DOMAINS[0]]
-    reached, wanted = supply, np.array([HEADROOM * supply[0], *[min(whole * targets[d], x) for d, x in zip(DOMAINS[1:], supply[1:], strict=True)]])
+    weights = np.array([targets[d] for d in DOMAINS])
+    if scarce == "thin":
+        whole = min((x / t for x, t in zip(supply, weights, strict=True) if t > 0), default=0.0)
+    else:
+        whole = HEADROOM * supply[0] / weights[0]
+    wanted = whole * weights
+    if scarce == "cap":
+        wanted[1:] = np.minimum(wanted[1:], supply[1:])
+    reached = supply
     steps: list[list[float]] = []
     for _ in range(rounds):
         gap = reached - wanted
@@ -176,7 +187,8 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, round
         scaled = np.linalg.solve(answer + np.eye(n) * (1e-6 * max(np.trace(answer), 1.0)), gap)
         steps.append([round(float(x), 9) for x in scaled])  # rounded: the same numbers in every expression
         reached, answer = totals(rate(steps))
-    return steps, {"supply": supply.tolist(), "wanted": wanted.tolist(), "reached": reached.tolist(), "rounds": len(steps)}
+    shares = lambda x: dict(zip(DOMAINS, (x / x.sum() if x.sum() else x).tolist(), strict=True))
+    return steps, {"supply": supply.tolist(), "wanted": wanted.tolist(), "reached": reached.tolist(), "rounds": len(steps), "wanted_shares": shares(wanted), "reached_shares": shares(reached)}
 
 
 def rate(steps: list[list[float]]) -> Column:
@@ -188,24 +200,32 @@ def rate(steps: list[list[float]]) -> Column:
 
 
 def mixing_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", targets: dict[str, float] | None = None) -> DataFrame:
-    """(key, n_tokens, posteriors, domain, rate) of each document."""
+    """(key, n_tokens, posteriors, domain, rate, and the share of tokens wanted and reached of the row's domain) of each document."""
     members = stored(memberships(docs, train(docs, labels, key, text), [key], text), "memberships")
-    steps, _ = fit_rates(members, targets)
+    steps, found = fit_rates(members, targets)
     best = F.greatest(*[F.col(f"p_{d}") for d in DOMAINS])
     named = F.when(F.col("p_clean") == best, "clean").when(F.col("p_low") == best, "low").otherwise("toxic")
-    return members.select(key, "n_tokens", *[f"p_{d}" for d in DOMAINS], named.alias("domain"), F.round(rate(steps), 6).alias("rate"))
+    share = lambda of: F.create_map(*[F.lit(x) for d in DOMAINS for x in (d, round(found[of][d], 6))])
+    return members.select(key, "n_tokens", *[f"p_{d}" for d in DOMAINS], named.alias("domain"), F.round(rate(steps), 6).alias("rate")).select(
+        "*", share("wanted_shares")[F.col("domain")].alias("wanted_share"), share("reached_shares")[F.col("domain")].alias("reached_share"))
 
 
-def draw(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", targets: dict[str, float] | None = None) -> DataFrame:
-    """``docs`` thinned to their rates: a document stays if a hash of its key and text, between 0 and 1, is below its rate.
-
-    A rate over 1 keeps the document once.
+def draw(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", targets: dict[str, float] | None = None, scarce: str = "repeat") -> DataFrame:
+    """``docs`` at their rates: as many copies as the rate has whole, and one more if a hash of key and text, between 0 and 1, is
+    below the rest. With ``scarce`` "thin" all rates are divided by the largest, so nothing is repeated and the weights are kept;
+    with "cap" a document stays once at most, whatever its rate.
     """
     names = docs.columns
     weights = train(docs, labels, key, text)
     safe = docs.toDF(*[f"d{i}" for i in range(len(names))])
     at, k = f"d{names.index(text)}", f"d{names.index(key)}"
-    steps, _ = fit_rates(stored(memberships(safe.select(at), weights, [], at), "memberships"), targets)
+    members = stored(memberships(safe.select(at), weights, [], at), "memberships")
+    steps, _ = fit_rates(members, targets, scarce=scarce)
+    scale = max(1.0, members.agg(F.max(F.when(F.col("n_tokens") > 0, rate(steps)))).first()[0] or 1.0) if scarce == "thin" else 1.0
     chance = F.pmod(F.xxhash64(k, at), F.lit(1 << 30)) / float(1 << 30)
     again = memberships(safe.withColumn("again", F.col(at)), weights, safe.columns, "again")
-    return again.where((chance < rate(steps)) | (F.col("n_tokens") == 0)).select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(names)])
+    own = F.when(F.col("n_tokens") == 0, 1.0).otherwise(rate(steps) / scale)
+    copies = (F.floor(own) + (chance < own - F.floor(own)).cast("long")).cast("int")
+    copies = F.when(own >= 1, F.lit(1)).otherwise(copies) if scarce == "cap" else copies
+    drawn = again.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return drawn.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(names)])
