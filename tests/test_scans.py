@@ -152,3 +152,20 @@ def test_dense_time_windows(spark, monkeypatch, closed):
                 assert (got[i][name] is None) == (r[name] is None), (i, name, got[i], r)
                 if r[name] is not None:
                     assert got[i][name] == pytest.approx(r[name], rel=1e-7, abs=1e-7), (i, name)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8])
+def test_window_shapes(n):
+    from tendril.operators.rolling import window_weights
+
+    for shape, own in {"hamming": np.hamming, "blackman": np.blackman, "bartlett": np.bartlett}.items():
+        np.testing.assert_allclose(window_weights(shape, n), own(n), atol=1e-12)
+    np.testing.assert_allclose(window_weights("kaiser", n, 6.0), np.kaiser(n, 6.0), atol=1e-12)
+    np.testing.assert_allclose(window_weights("general_gaussian", n, 1.0, 2.5), window_weights("gaussian", n, 2.5) if n > 1 else [1.0])
+    for shape in ("boxcar", "triang", "barthann", "bohman", "parzen", "blackmanharris", "nuttall"):
+        weights = window_weights(shape, n)
+        assert len(weights) == n and weights == pytest.approx(weights[::-1], abs=1e-12) and max(weights) <= 1 + 1e-9
+        if n == 7:
+            assert weights[3] == pytest.approx(1, abs=1e-9)
+    with pytest.raises(ValueError, match="unknown"):
+        window_weights("unknown", 3)
