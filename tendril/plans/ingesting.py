@@ -77,5 +77,5 @@ def redelivery(t):
     schema = t.spark.read.parquet(f"{root}/in/1").schema
     stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in/*")
     for _ in range(2):  # a second run finds nothing new
-        ig.run_once_per_key(stream, ["event_id"], f"{root}/out", f"{root}/checkpoint", ["delivery"], compact_every=1)
+        ig.run_once_per_key(stream, ["event_id"], f"{root}/out", f"{root}/checkpoint", ["delivery"])
     return t.spark.read.parquet(f"{root}/out").select("event_id", "value", "delivery")
