@@ -156,6 +156,52 @@ def date_range(spark, start: str, end: str | None = None, periods: int | None =
     return out.filter(F.weekday(col(name)) < 5) if business else out
 
 
+WEEKDAYS = ["MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN"]
+
+
+def on_rule(day: Column, rule: str) -> Column:
+    """Whether a date is one of those a calendar rule names.
+
+    MS, ME, QS, QE, YS, YE: first or last day of month, quarter or year; the same behind a B: its first or last day from Monday to
+    Friday; SMS: the 1st and the 15th; SME: the 15th and the last; W-MON ... W-SUN: that weekday; WOM-2TUE: the second Tuesday of
+    each month, LWOM-FRI: the last Friday; B: Monday to Friday; D: every day.
+    """
+    weekday, last = F.weekday(day), F.last_day(day)
+    if rule in ("D", "B"):
+        return F.lit(True) if rule == "D" else weekday < 5
+    if rule.startswith("W-"):
+        return weekday == WEEKDAYS.index(rule[2:])
+    if rule.startswith("WOM-"):
+        return (weekday == WEEKDAYS.index(rule[5:])) & (F.ceil(F.dayofmonth(day) / 7) == int(rule[4]))
+    if rule.startswith("LWOM-"):
+        return (weekday == WEEKDAYS.index(rule[5:])) & (F.datediff(last, day) < 7)
+    if rule in ("SMS", "SME"):
+        return (F.dayofmonth(day) == 15) | ((F.dayofmonth(day) == 1) if rule == "SMS" else (day == last))
+    working, unit, start = rule[0] == "B", rule[-2], rule[-1] == "S"
+    if unit not in "MQY" or rule[-1] not in "SE" or len(rule) != 2 + working:
+        raise ValueError(rule)
+    edge = F.trunc(day, "month") if start else last
+    if working:
+        # the nearest day from Monday to Friday inside the month
+        off = F.weekday(edge)
+        edge = F.date_add(edge, F.when(off > 4, 7 - off).otherwise(0)) if start else F.date_sub(edge, F.when(off > 4, off - 4).otherwise(0))
+    month = F.month(day)
+    held = {"M": F.lit(True), "Q": month % 3 == (1 if start else 0), "Y": month == (1 if start else 12)}[unit]
+    return held & (day == edge)
+
+
+def anchored_dates(spark, rule: str, start: str, end: str | None = None, periods: int | None = None, name: str = "date") -> DataFrame:
+    """The dates from ``start`` that a calendar rule names (see ``on_rule``), up to ``end`` or ``periods`` of them."""
+    if end is None:
+        # no rule leaves out more than a year and a few days
+        days = spark.range(periods * 373 + 373)
+    else:
+        days = spark.range(1).selectExpr(f"explode(sequence(0, greatest(datediff(date'{end}', date'{start}'), 0))) AS id")
+    out = days.select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias(name))
+    out = out.filter(on_rule(col(name), rule) & (F.lit(True) if end is None else col(name) <= F.lit(end).cast("date")))
+    return out if end is not None else out.orderBy(name).limit(periods)
+
+
 def at_time(df: DataFrame, on: str, time: str) -> DataFrame:
     return df.filter(F.date_format(col(on), "HH:mm:ss") == time)
 

@@ -120,6 +120,23 @@ def date_ranges(t):
     return days.join(counts, "date", "left")
 
 
+_MONTH_END_WORKING = "(CASE WHEN isodow(last_day(d)) > 5 THEN last_day(d) - (isodow(last_day(d)) - 5)::INT ELSE last_day(d) END)"
+_RULES = {
+    "ME": "d = last_day(d)", "QS": "day(d) = 1 AND month(d) % 3 = 1", "YE": "month(d) = 12 AND day(d) = 31", "BME": f"d = {_MONTH_END_WORKING}", "BQE": f"d = {_MONTH_END_WORKING} AND month(d) % 3 = 0",
+    "BMS": "d = (date_trunc('month', d)::DATE + (CASE isodow(date_trunc('month', d)) WHEN 6 THEN 2 WHEN 7 THEN 1 ELSE 0 END)::INT)", "SME": "day(d) = 15 OR d = last_day(d)",
+    "W-WED": "isodow(d) = 3", "WOM-2TUE": "isodow(d) = 2 AND day(d) BETWEEN 8 AND 14", "LWOM-FRI": "isodow(d) = 5 AND month(d + 7) <> month(d)"}
+
+
+@query("b53_anchored_dates", "WITH n AS (SELECT o_orderdate::DATE AS d, count(*) AS n FROM orders GROUP BY 1), days AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS d FROM n)\n" + " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, d AS date, n FROM days LEFT JOIN n USING (d) WHERE {sql}" for rule, sql in _RULES.items()))
+def anchored_dates(t):
+    """Orders of the days that calendar rules name, from the first order's day to the last one's."""
+    lo, hi = t.orders.agg(F.min("o_orderdate").cast("date").cast("string"), F.max("o_orderdate").cast("date").cast("string")).first()
+    dates = [rs.anchored_dates(t.spark, rule, lo, hi).select(F.lit(rule).alias("rule"), "date") for rule in _RULES]
+    counts = t.orders.groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.count("*").alias("n"))
+    return reduce(lambda a, b: a.unionByName(b), dates).join(counts, "date", "left").select("rule", "date", "n")
+
+
 @query("b54_date_parts_and_flags", """
     SELECT o_orderkey, year(o_orderdate)::INT AS y, quarter(o_orderdate)::INT AS q, dayofyear(o_orderdate)::INT AS doy, weekofyear(o_orderdate)::INT AS wk,
            isodow(o_orderdate)::INT - 1 AS wd, dayname(o_orderdate) AS dname, monthname(o_orderdate) AS mname, day(o_orderdate) = 1 AS month_start,

@@ -61,3 +61,15 @@ def test_redundant_columns_of_all_kinds(spark):
     assert profile.redundant_columns(df.unionByName(df), list("abe")).count() == 2
     # in an empty table all columns are alike
     assert profile.redundant_columns(df.limit(0), ["a", "b"]).count() in (0, 2)
+
+
+@pytest.mark.parametrize(("rule", "freq"), [("MS", "MS"), ("QE", "QE"), ("YS", "YS"), ("BME", "BME"), ("BMS", "BMS"), ("BQE", "BQE"), ("BYE", "BYE"), ("SMS", "SMS"), ("SME", "SME"), ("W-SUN", "W-SUN"), ("WOM-2TUE", "WOM-2TUE"), ("LWOM-FRI", None), ("B", "B")])
+def test_calendar_rules_equal_pandas(spark, rule, freq):
+    import pandas as pd
+
+    from tendril.operators.resample import anchored_dates
+
+    want = [x.date() for x in pd.date_range("2019-01-15", "2022-12-31", freq=freq or pd.offsets.LastWeekOfMonth(weekday=4))]
+    assert sorted(r.date for r in anchored_dates(spark, rule, "2019-01-15", "2022-12-31").collect()) == want
+    if rule in ("YS", "SME"):
+        assert [r.date for r in anchored_dates(spark, rule, "2019-01-15", periods=3).collect()] == want[:3]
