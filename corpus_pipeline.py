@@ -26,8 +26,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are thinned to the rates that meet the target weights."""
-    return mixing.draw(docs, table(spark, sf_dir, "labels"))
+    """Documents are thinned towards the target weights; the low ones went before, so no domain is asked for more than it has left."""
+    return mixing.draw(docs, table(spark, sf_dir, "labels"), scarce="cap")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
