@@ -6,7 +6,8 @@ with ``OPEN`` bins open, the fullest closes first. A closed bin is a sequence.
 
 The open bins that a task ends with are not closed half empty: their items go on to the next round, where ``FAN`` tasks' leftovers
 make one task's input, until one task is left, whose open bins are the last sequences. So no task but the first round's reads more
-than ``FAN * OPEN`` bins' items, and all but the last ``OPEN`` sequences close only because no open bin could take an item.
+than ``FAN * OPEN`` bins' items. That last task may have as many bins open as items for so many can come, and takes the long items
+first: the rest of all tasks is packed tightly once, whatever its number of tasks was.
 The rounds number log of the tasks to base ``FAN``; the first round runs where the items are made, without a shuffle.
 
 Null text is empty: a document of its end id alone. Equal keys are different documents, and repeated rows are packed as often as
@@ -203,7 +204,8 @@ def pack(items: DataFrame, length: str = "length", size: int = SIZE, most_open:
     columns = [*names, "sequence_id", "offset"]
 
     def one_round(df: DataFrame, number: int, last: bool) -> DataFrame:
-        return stored(df.mapInArrow(_packed(names.index(length), size, most_open, number, last, names, types), schema), "packed")
+        most = fan * most_open if last else most_open
+        return stored(df.mapInArrow(_packed(names.index(length), size, most, number, last, names, types), schema), "packed")
     made = one_round(items, 0, False)
     done = made.where("sequence_id IS NOT NULL").select(columns)
     tasks, number = (made.agg(F.max("part")).first()[0] or 0) + 1, 1
@@ -211,7 +213,8 @@ def pack(items: DataFrame, length: str = "length", size: int = SIZE, most_open:
         tasks = -(-tasks // fan)
         left = made.where("sequence_id IS NULL")
         # dealt out evenly; the same order whenever a task is repeated
-        left = left.select(names).repartition(tasks).sortWithinPartitions(F.xxhash64(*names))
+        order = [F.xxhash64(*names)] if tasks > 1 else [F.desc(length), F.xxhash64(*names)]
+        left = left.select(names).repartition(tasks).sortWithinPartitions(*order)
         made = one_round(left, number, tasks == 1)
         done = done.unionByName(made.where("sequence_id IS NOT NULL").select(columns))
         if tasks == 1:
