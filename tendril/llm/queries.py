@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import conversations, decontamination, licenses, line_dedup, mixing, ngram_join, packing, personal_data, quality, sharding, spelling, suffix_tree, token_counts
-from .common import table
+from .common import stored, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,8 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.context_limits(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+    # read for the lengths and for their ranges; stored, so that texts are encoded once
+    return token_counts.context_limits(stored(token_counts.length_histogram(table(spark, sf_dir, "documents")), "lengths"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
