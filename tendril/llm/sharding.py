@@ -101,8 +101,11 @@ def slots(rows: DataFrame, shard: str, order: Column, n_rows: int) -> DataFrame:
 
 def assign(docs: DataFrame, key: str = "doc_id", root: Node | None = None, name: str = "shard") -> DataFrame:
     """``docs`` with the shard each row descends to in the tree ``root`` (16 equal shards if not given)."""
-    placed = place(once(docs, "_key", key_string(key)), "_key", root or tree(16), name)
-    return placed.drop("_key")
+    names = docs.columns
+    # numbered names, so that no column of the table clashes with those of the descent
+    safe = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    placed = place(once(safe, "_key", key_string(f"c{names.index(key)}")), "_key", root or tree(16), "_shard")
+    return placed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names) if c != name], F.col("_shard").alias(name))
 
 
 def shard_report(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 16) -> DataFrame:

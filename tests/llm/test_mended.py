@@ -1,6 +1,6 @@
 """Rows that share a key or have none, benchmark items without a name, and columns named like the operators' own."""
 
-from tendril.llm import decontamination, line_dedup
+from tendril.llm import decontamination, line_dedup, sharding
 
 SHARED = "a line that stands in several documents"
 
@@ -38,3 +38,11 @@ def test_own_names_of_the_operators(spark):
     assert [tuple(r) for r in kept] == [(2, "clean words", 9, "y", [2], "u", "j")]
     cut = {r.doc_id: r for r in decontamination.remove_spans(docs, bench).collect()}
     assert cut[1].text.split() == ["before", "after"] and cut[1]._text == "t" and cut[1]._words == 8 and cut[2].text == "clean words"
+
+
+def test_own_names_of_sharding(spark):
+    docs = spark.createDataFrame([(1, "a", 5, "n", "c"), (None, "b", 6, "m", "d")], "doc_id long, text string, _key int, _above string, _node string")
+    got = sorted((tuple(r) for r in sharding.assign(docs).collect()), key=str)
+    plain = {r.doc_id: r.shard for r in sharding.assign(docs.select("doc_id")).collect()}
+    assert got == sorted(((1, "a", 5, "n", "c", plain[1]), (None, "b", 6, "m", "d", plain[None])), key=str)
+    assert sharding.assign(docs, name="_key").columns == ["doc_id", "text", "_above", "_node", "_key"]
