@@ -29,31 +29,50 @@ def apply_in_parts(
     """A mergeable pandas function per group of any size.
 
     ``part`` turns the rows of one group in one batch into a few summary rows (group columns included), ``combine`` merges
-    summary rows of a group into fewer ones of the same form, ``finish`` makes the result. A task holds one batch and the
-    summaries of the groups it has met; only summaries are shuffled, first in slices of a group, then per group.
+    summary rows of a group into fewer ones of the same form, ``finish`` makes the result. Rows are first brought together by
+    group, so ``part`` is called about once per group however the table lies; adaptive execution splits what is large, so a
+    group may be met by many tasks. A task holds one batch and at most ``held_rows`` summary rows of one group; summaries meet
+    in slices of a group, then per group.
     """
 
-    def per_group(pdf: pd.DataFrame, func: Callable) -> pd.DataFrame:
-        return pd.concat([func(g) for _, g in pdf.groupby(by, sort=False, dropna=False)], ignore_index=True)
-
-    def summarise(batches):
-        held = []
-        for batch in batches:
-            if len(batch):
-                held.append(per_group(batch, part))
-                if sum(map(len, held)) > held_rows:
-                    whole = per_group(pd.concat(held, ignore_index=True), combine)
-                    # many small groups do not shrink: hand them on instead of holding them
-                    held = [] if len(whole) > held_rows // 2 else [whole]
-                    if not held:
-                        yield whole
-        if held:
-            yield per_group(pd.concat(held, ignore_index=True), combine)
+    def merged(held: list) -> pd.DataFrame:
+        whole = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+        # a single row has nothing to be merged with
+        return combine(whole) if len(whole) > 1 else whole
+
+    def result(held: list) -> pd.DataFrame:
+        whole = combine(pd.concat(held, ignore_index=True))
+        # a group that the merge drops has no result
+        return finish(whole) if len(whole) else whole.iloc[:0]
+
+    def per_group(first: Callable | None, last: Callable):
+        def run(batches):
+            key, held = None, []
+            for batch in batches:
+                ready = []
+                for own, rows in batch.groupby(by, sort=False, dropna=False):
+                    own = tuple(None if pd.isna(k) else k for k in own)
+                    if held and own != key:
+                        ready.append(last(held))
+                        held = []
+                    key = own
+                    held.append(first(rows) if first else rows)
+                    if len(held) > 1 and sum(map(len, held)) > held_rows:
+                        held = [merged(held)]
+                if ready := [r for r in ready if len(r)]:
+                    yield pd.concat(ready, ignore_index=True)
+            if held and len(rest := last(held)):
+                yield rest
+        return run
 
     groups = [col(k) for k in by]
-    summaries = df.mapInPandas(summarise, part_schema).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
-    sliced = summaries.groupBy(*groups, "_slice").applyInPandas(lambda pdf: combine(pdf.drop(columns="_slice")), part_schema)
-    return sliced.groupBy(*groups).applyInPandas(lambda pdf: finish(combine(pdf)), schema)
+    # counts that adaptive execution keeps: summaries are few bytes, but a call each
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = df.hint("rebalance", *groups).sortWithinPartitions(*groups)
+    summaries = near.mapInPandas(per_group(part, merged), part_schema).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(slices)))
+    sliced = summaries.repartition(tasks, *groups, "_slice").sortWithinPartitions(*groups, "_slice")
+    sliced = sliced.drop("_slice").mapInPandas(per_group(None, merged), part_schema)
+    return sliced.repartition(tasks, *groups).sortWithinPartitions(*groups).mapInPandas(per_group(None, result), schema)
 
 
 def apply_with_summary(df: DataFrame, by: list[str], part: Callable, part_schema: str, combine: Callable, func: Callable, schema: str) -> DataFrame:

@@ -313,3 +313,21 @@ def test_expanding_shapes(df, pdf):
         want = getattr(groups(pdf)["x"].expanding(), fn)().reset_index(level=0, drop=True).sort_index()
         known = want.notna().to_numpy()
         np.testing.assert_allclose(got[name].to_numpy(float)[known], want.to_numpy()[known], rtol=1e-6, atol=1e-6)
+
+
+def test_apply_in_parts_calls_once_per_small_group(spark, tmp_path):
+    """Rows of 400 groups dealt over all partitions and batches; each call of ``part`` leaves a file."""
+    import uuid
+
+    calls = str(tmp_path)
+
+    def part(p):
+        open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+        return pd.DataFrame({"g": [p.g.iloc[0]], "n": [len(p)], "s": [p.i.sum()]})
+    rows = spark.range(8000, numPartitions=8).select((F.col("id") % 400).alias("g"), F.col("id").alias("i"))
+    kinds = "g long, n long, s long"
+    got = grouping.apply_in_parts(rows, ["g"], part, kinds, lambda p: p.groupby("g", as_index=False).sum(), lambda p: p, kinds).toPandas().sort_values("g")
+    assert got.g.tolist() == list(range(400)) and got.n.tolist() == [20] * 400
+    assert got.s.tolist() == [sum(range(g, 8000, 400)) for g in range(400)]
+    # 3,200 before
+    assert len(list(tmp_path.iterdir())) <= 500
