@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import scans
 from .ordered import BLOCK, col, drop_halo, equi_join, halo_blocks, has_group, position, running, settle, sort_image
 from .order_statistics import running_quantiles
-from .stats import unbiased_kurtosis, unbiased_skewness
+from .stats import correlation, unbiased_kurtosis, unbiased_skewness
 
 
 LONG = 512  # rows from which quantiles of a window no longer look at all of its rows
@@ -30,7 +30,7 @@ def _reducer(fn: str, args: list, w) -> tuple[Column, Column]:
         y = col(args[1])
         both = x.isNotNull() & y.isNotNull()
         a, b = F.when(both, x), F.when(both, y)
-        return (F.covar_samp(a, b) if fn == "cov" else F.corr(a, b)).over(w), F.count(a).over(w)
+        return F.covar_samp(a, b).over(w) if fn == "cov" else correlation(a, b, w), F.count(a).over(w)
     if fn == "quantile":
         return F.percentile(x, args[1]).over(w), n
     if fn == "skew":
@@ -322,4 +322,4 @@ def autocorrelation(df: DataFrame, by: list[str], order: list[str], column: str,
     from .ranks import shift
 
     pairs = shift(df, by, order, {"_lag": (column, lag)})
-    return pairs.filter(has_group(by)).groupBy(*[col(k) for k in by]).agg(F.corr(col(column), col("_lag")).alias("autocorr"))
+    return pairs.filter(has_group(by)).groupBy(*[col(k) for k in by]).agg(correlation(col(column), col("_lag")).alias("autocorr"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from .ordered import col, equi_join, has_group, running, settle
@@ -21,6 +21,19 @@ def unbiased_kurtosis(g2: Column, n: Column) -> Column:
     return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
+def correlation(x: Column, y: Column, over: WindowSpec | None = None) -> Column:
+    """Correlation of the rows where both are known, as an aggregate or over a window: NaN if either does not vary, null for one row.
+
+    ``corr`` divides by the product of the deviations, which stops the job with an error where a column does not vary.
+    """
+    of = (lambda c: c) if over is None else (lambda c: c.over(over))
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x), F.when(both, y)
+    square = of(F.var_pop(a)) * of(F.var_pop(b))
+    value = F.when(square > 0, of(F.covar_pop(a, b)) / F.sqrt(square)).otherwise(F.lit(float("nan")))
+    return F.when(of(F.count(a)) > 1, value)
+
+
 def moments(df: DataFrame, by: list[str], column: str) -> DataFrame:
     """sum, prod, mean, min, max, var, std, sem, skew and kurt (bias-corrected) per group in one aggregation."""
     x, n = col(column), F.count(col(column))
@@ -90,7 +103,7 @@ def correlation_pairs(df: DataFrame, columns: list[str], by: list[str] = (), min
         both = col(a).isNotNull() & col(b).isNotNull()
         x, y = F.when(both, col(a)), F.when(both, col(b))
         enough = F.count(x) >= min_periods
-        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.when(enough, F.corr(x, y)).alias("corr"),
+        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.when(enough, correlation(x, y)).alias("corr"),
                               F.when(enough, F.covar_samp(x, y)).alias("cov")))
     wide = df.groupBy(*[col(k) for k in by]).agg(F.array(*cells).alias("_cells"))
     return wide.select(*[col(k) for k in by], F.inline("_cells"))
@@ -100,7 +113,7 @@ def correlate_with(left: DataFrame, right: DataFrame, on: list[str], columns: li
     """Correlation of each column with the column of the same name in another frame, over rows of equal keys: (column, corr)."""
     other = right.select(*[col(k) for k in on], *[col(c).alias(f"_r{i}") for i, c in enumerate(columns)])
     joined = left.join(other, on)
-    cells = [F.struct(F.lit(c).alias("column"), F.corr(F.when(col(f"_r{i}").isNotNull(), col(c)), F.when(col(c).isNotNull(), col(f"_r{i}"))).alias("corr")) for i, c in enumerate(columns)]
+    cells = [F.struct(F.lit(c).alias("column"), correlation(col(c), col(f"_r{i}")).alias("corr")) for i, c in enumerate(columns)]
     return joined.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
 
 
@@ -111,7 +124,7 @@ def _spearman(df: DataFrame, columns: list[str], by: list[str], min_periods: int
     for a, b in combinations_with_replacement(columns, 2):
         both = df.filter(col(a).isNotNull() & col(b).isNotNull()).select(*[col(k) for k in by], col(a).alias("x"), col(b).alias("y"))
         ranked = rank(rank(both, by, "x", "rx"), by, "y", "ry")
-        value = F.when(F.count(F.lit(1)) >= min_periods, F.corr("rx", "ry"))
+        value = F.when(F.count(F.lit(1)) >= min_periods, correlation(col("rx"), col("ry")))
         parts.append(ranked.groupBy(*[col(k) for k in by]).agg(value.alias("corr")).withColumns({"a": F.lit(a), "b": F.lit(b)}))
     return reduce(DataFrame.unionByName, parts)
 

@@ -331,3 +331,15 @@ def test_apply_in_parts_calls_once_per_small_group(spark, tmp_path):
     assert got.s.tolist() == [sum(range(g, 8000, 400)) for g in range(400)]
     # 3,200 before
     assert len(list(tmp_path.iterdir())) <= 500
+
+
+def test_correlations_of_constant_values(spark):
+    """Windows and groups in which a column does not vary: no error, and other rows keep their results."""
+    rows = spark.createDataFrame([("a", i, 5.0 if i < 4 else float(i), float(i * i)) for i in range(8)] + [("b", i, 1.0, float(i)) for i in range(4)], "g string, i long, x double, y double")
+    got = rolling.rolling_rows(rows, ["g"], ["i"], 3, {"r": ("corr", "x", "y"), "c": ("cov", "x", "y")}, 2).toPandas().sort_values(["g", "i"])
+    a = got[got.g == "a"]
+    plain = pd.Series([5.0] * 4 + [4.0, 5.0, 6.0, 7.0]).rolling(3, 2).corr(pd.Series([float(i * i) for i in range(8)]))
+    np.testing.assert_allclose(a.r.to_numpy(float)[4:], plain.to_numpy()[4:], rtol=1e-9)
+    assert np.isnan(a.r.to_numpy(float)[:4]).all() and np.isnan(got[got.g == "b"].r.to_numpy(float)).all()
+    pairs = {(r["a"], r["b"]): r["corr"] for r in stats.correlation_pairs(rows.filter("g = 'b'"), ["x", "y"]).collect()}
+    assert np.isnan(pairs["x", "y"]) and pairs["y", "y"] == pytest.approx(1)
