@@ -57,7 +57,26 @@ def _foldings() -> tuple[str, str, str]:
             one.append((chr(n), folded))
         else:
             none.append(chr(n))
-    return "".join(a for a, _ in one) + "".join(none), "".join(b for _, b in one), "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in rest) + "]"
+    return "".join(a for a, _ in one) + "".join(none), "".join(b for _, b in one), _among(rest)
+
+
+def _among(ranges: list[list[int]]) -> str:
+    """Pattern of one character out of ``ranges`` beyond ASCII; an ASCII one is turned down by the first test, not by each range's."""
+    return "[\\x{80}-\\x{10FFFF}&&[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]]"
+
+
+@functools.cache
+def _unsettled(form: str) -> str:
+    """Pattern of the characters without which a text is in ``form`` already: those it changes, marks, and what joins with the one before."""
+    joins = {ord(x) for n in range(0x80, sys.maxunicode + 1) if not 0xD800 <= n <= 0xDFFF for x in unicodedata.normalize("NFD", chr(n))[1:]}
+    ranges = []
+    for n in range(0x80, sys.maxunicode + 1):
+        if not 0xD800 <= n <= 0xDFFF and (n in joins or unicodedata.combining(chr(n)) or unicodedata.normalize(form, chr(n)) != chr(n)):
+            if ranges and ranges[-1][1] == n - 1:
+                ranges[-1][1] = n
+            else:
+                ranges.append([n, n])
+    return _among(ranges)
 
 
 def _fold(text: str) -> str:
@@ -82,11 +101,14 @@ def strip_accents(c: Column) -> Column:
 
 
 def normalize(c: Column, form: str = "NFC") -> Column:
+    """Unicode normal form; only texts with a character that it concerns go to Python, the rest are sent as null."""
+
     @F.pandas_udf("string")
     def normal(s: pd.Series) -> pd.Series:
         return s.str.normalize(form)
 
-    return normal(c)
+    open_ = c.rlike(_unsettled(form))
+    return F.when(open_, normal(F.when(open_, c))).otherwise(c)
 
 
 def wrap(c: Column, width: int) -> Column:

@@ -222,3 +222,17 @@ def test_documents_of_a_day_share_archives(spark, tmp_path, monkeypatch):
     assert all(r["has_text"] and r["package"] == r["member"][:8] + "_1995001.tar.gz" for r in got)
     # an archive each before: 200
     assert seen[0] <= 50
+
+
+def test_normal_forms_in_python_only_where_needed(spark):
+    import re
+    import unicodedata
+
+    from tendril.functions import strings as S
+
+    texts = ["plain", "caf\u00e9 \u4e2d \u2019", "cafe\u0301", "\u1100\u1161\u11a8", "\u212b", "\u0929 \u0928\u093c", "a\u0327\u0301 q\u0323\u0307", "\u0b47\u0b3e", "\ufb01 \u00b2", "", None]
+    for form in ("NFC", "NFD", "NFKC", "NFKD"):
+        got = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i long, v string").select("i", S.normalize(F.col("v"), form).alias("v")).orderBy("i").collect()
+        assert [r["v"] for r in got] == [v if v is None else unicodedata.normalize(form, v) for v in texts]
+    pattern = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), S._unsettled("NFC").split("&&")[1][:-1]))
+    assert not pattern.search("caf\u00e9 \u4e2d \u2019") and pattern.search("cafe\u0301")
