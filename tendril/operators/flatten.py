@@ -23,54 +23,102 @@ SEP = "__"
 PATHS = "map<string,array<string>>"
 HEADER_SECTIONS = ("CODIF_DATA", "NOTICE_DATA")
 SKIPPED = ("URI_LIST",)
+MOST_STEPS = 100_000  # places of documents that a task remembers
 
 
-def _scan(text: str, wanted: frozenset | None) -> tuple[dict, list[dict]]:
-    """Header and form path maps of one document, in one pass over its tags."""
-    header, forms = {}, []
-    stack = [(None, None, None, None, None)]  # (element, path of its content, path of its own text, map it fills, text pieces)
+class _Step:
+    """An element at its place in a document: what becomes of its text and attributes, and the elements met below it."""
+
+    __slots__ = ("label", "live", "path", "text", "fills", "below", "keys", "wanted")
 
-    def add(out, path, value):
-        if value and (wanted is None or path in wanted):
-            out.setdefault(path, []).append(value)
+    def __init__(self, wanted: frozenset | None, label: str | None, path: str | None = None, text: str | None = None, fills: str | None = None):
+        self.wanted, self.label, self.live, self.path, self.fills = wanted, label, path is not None, path, fills
+        self.text = text if text and (wanted is None or text in wanted) else None
+        self.below: dict[str, _Step] = {}
+        self.keys: dict[str, str | None] = {}
 
-    def start(name, attrs):
-        parent, base, _, out, _ = stack[-1]
-        if out is not None:
+    def grow(self, name: str) -> _Step:
+        wanted = self.wanted
+        if self.live:
+            path = self.path + SEP + name if self.path else name
+            own = self.path if name == "P" else path
+            # a dropped element hides the names below it, and so does one that no wanted path leads through
             if name == "FT" or name in SKIPPED:
-                stack.append((name, None, None, None, None))
-                return
-            path = base + SEP + name if base else name
-            stack.append((name, path, base if name == "P" else path, out, []))
-        elif parent == "CODED_DATA_SECTION" and name in HEADER_SECTIONS:
-            path, out = "", header
-            stack.append((name, "", "", header, []))
-        elif parent == "FORM_SECTION":
-            path, out = "", {}
-            forms.append(out)
-            stack.append((name, "", "", out, []))
+                made = _Step(wanted, "FT")
+            elif wanted is None or own in wanted or path in wanted or any(w.startswith(path + SEP) for w in wanted):
+                made = _Step(wanted, name, path, own)
+            else:
+                made = _Step(wanted, "FT")
+        elif self.label == "CODED_DATA_SECTION" and name in HEADER_SECTIONS:
+            made = _Step(wanted, name, "", fills="header")
+        elif self.label == "FORM_SECTION":
+            made = _Step(wanted, name, "", fills="form")
         else:
-            # outside the flattened sections; a dropped element hides the names below it
-            stack.append((None if parent in ("FT", *SKIPPED, None) and len(stack) > 1 else name, None, None, None, None))
-            return
-        for key, value in attrs.items():
-            add(out, path + SEP + key if path else key, value)
-
-    def data(piece):
-        pieces = stack[-1][4]
-        if pieces is not None:
-            pieces.append(piece)
+            made = _Step(wanted, None if self.label in ("FT", *SKIPPED, None) else name)
+        self.below[name] = made
+        return made
+
+    def key(self, name: str) -> str | None:
+        path = self.path + SEP + name if self.path else name
+        self.keys[name] = found = path if self.wanted is None or path in self.wanted else None
+        return found
+
+
+class _Scanner:
+    """Documents to maps of values by path; the places met are remembered from one document to the next."""
+
+    def __init__(self, wanted: frozenset | None):
+        self.wanted, self.met = wanted, 0
+        self.root = _Step(wanted, "")
+
+    def __call__(self, text: str) -> tuple[dict, list[dict]]:
+        """Header and form path maps of one document, in one pass over its tags."""
+        header, forms = {}, []
+        if self.met > MOST_STEPS:
+            self.root, self.met = _Step(self.wanted, ""), 0
+        stack = [(self.root, None, None)]  # (place, map it fills, text pieces)
+
+        def start(name, attrs):
+            parent, out, _ = stack[-1]
+            step = parent.below.get(name)
+            if step is None:
+                step = parent.grow(name)
+                self.met += 1
+            if not step.live:
+                stack.append((step, None, None))
+                return
+            if step.fills:
+                out = header
+                if step.fills == "form":
+                    out = {}
+                    forms.append(out)
+            stack.append((step, out, [] if step.text else None))
+            for key, value in attrs.items():
+                path = step.keys[key] if key in step.keys else step.key(key)
+                if path and value:
+                    out.setdefault(path, []).append(value)
+
+        def data(piece):
+            pieces = stack[-1][2]
+            if pieces is not None:
+                pieces.append(piece)
+
+        def end(_):
+            step, out, pieces = stack.pop()
+            if pieces:
+                value = "".join(pieces).strip()
+                if value:
+                    out.setdefault(step.text, []).append(value)
+
+        parser = expat.ParserCreate()
+        parser.buffer_text = True
+        parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
+        parser.Parse(text, True)
+        return header, forms
 
-    def end(_):
-        _, _, own, out, pieces = stack.pop()
-        if own and pieces:
-            add(out, own, "".join(pieces).strip())
 
-    parser = expat.ParserCreate()
-    parser.buffer_text = True
-    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
-    parser.Parse(text, True)
-    return header, forms
+def _scan(text: str, wanted: frozenset | None) -> tuple[dict, list[dict]]:
+    return _Scanner(wanted)(text)
 
 
 def flatten_any(docs: DataFrame, paths: list[str] | None = None) -> DataFrame:
@@ -81,11 +129,12 @@ def flatten_any(docs: DataFrame, paths: list[str] | None = None) -> DataFrame:
         import pyarrow as pa
 
         items = pa.map_(pa.string(), pa.list_(pa.string()))
+        scan = _Scanner(wanted)
         for batch in batches:
             headers, forms, errors = [], [], []
             for doc in batch.column("value").to_pylist():
                 try:
-                    header, found = _scan(doc, wanted)
+                    header, found = scan(doc)
                     headers.append(list(header.items()))
                     forms.append([list(form.items()) for form in found])
                     errors.append(None)
@@ -222,11 +271,12 @@ def notice_columns(docs: DataFrame, paths: list[str], language: str | None = "EN
         import pyarrow as pa
 
         texts = pa.list_(pa.string())
+        scan = _Scanner(wanted)
         for batch in batches:
             source, number, total, language_, cells = [], [], [], [], [[] for _ in names]
             for i, doc in enumerate(batch.column("value").to_pylist()):
                 try:
-                    header, forms = _scan(doc, wanted)
+                    header, forms = scan(doc)
                 except (expat.ExpatError, TypeError):
                     continue
                 for k, form in enumerate(forms):

@@ -236,3 +236,20 @@ def test_normal_forms_in_python_only_where_needed(spark):
         assert [r["v"] for r in got] == [v if v is None else unicodedata.normalize(form, v) for v in texts]
     pattern = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m[1], 16))), S._unsettled("NFC").split("&&")[1][:-1]))
     assert not pattern.search("caf\u00e9 \u4e2d \u2019") and pattern.search("cafe\u0301")
+
+
+def test_places_without_wanted_paths_are_not_followed():
+    from tendril.operators import flatten as fl
+
+    doc = ("<N><CODED_DATA_SECTION><NOTICE_DATA><A K='1'><B><P>x<P>y</P></P></B></A><URI_LIST><A>n</A></URI_LIST></NOTICE_DATA></CODED_DATA_SECTION>"
+           "<FORM_SECTION><F LG='EN'><A><C>c<FT>z</FT></C><D K='2'><E>e</E></D></A></F></FORM_SECTION></N>")
+    whole = fl._Scanner(None)(doc)
+    assert whole == ({"A__K": ["1"], "A__B__P": ["y"], "A__B": ["x"]}, [{"LG": ["EN"], "A__C": ["c"], "A__D__K": ["2"], "A__D__E": ["e"]}])
+    keep = lambda values, wanted: {k: v for k, v in values.items() if k in wanted}
+    for wanted in ([], ["LG"], ["A__B"], ["A__B__P"], ["A__D__E", "A__K"], ["A__C", "A__D__K"]):
+        scan = fl._Scanner(frozenset(wanted))
+        assert scan(doc) == (keep(whole[0], wanted), [keep(f, wanted) for f in whole[1]])
+        met = scan.met
+        scan(doc)
+        # the places of a second document of the same kind are known
+        assert scan.met == met
