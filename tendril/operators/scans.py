@@ -115,18 +115,55 @@ def _replaced(table: pa.Table, state: dict) -> pa.Table:
     return table
 
 
+def _scanned(df: DataFrame, by: list[str], part: list[str], ordered: list[Column], names: list[str], merge: Merge) -> DataFrame:
+    """The states ``names`` merged from the first row of each part on, rows sorted by ``ordered`` within.
+
+    Tables of ``BATCH`` rows pass by, whatever the length of a part: the last row's state is carried into the next.
+    """
+    schema, types, columns = _shape(df)
+    rows = BATCH
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, carried = None, {}
+        for table in _pieces(batches, rows):
+            own = key_array(table, ["_group", *part])
+            first = starts(own)
+            state = segment_scan(_state(table, names), first, merge)
+            if key is not None and (own[0] == key).all():
+                n = int(np.searchsorted(first, 1))
+                going_on = merge({c: np.repeat(v, n) for c, v in carried.items()}, _at(state, slice(0, n)))
+                state = {c: np.concatenate([going_on[c], state[c][n:]]) for c in names}
+            key, carried = own[-1], {c: v[-1:].copy() for c, v in state.items()}
+            made = _replaced(table, state)
+            yield from pa.table([made[c].cast(t) for c, t in zip(columns, types, strict=True)], names=columns).to_batches(max_chunksize=1 << 14)
+    keys = [col(k) for k in [*by, "_group", *part]]
+    return df.repartition(*keys).sortWithinPartitions(*keys, *ordered).mapInArrow(run, schema)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows, wherever they end."""
+    held, n = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            n += len(batch)
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def scan(df: DataFrame, by: list[str], order: list[str], state: dict[str, Column], merge: Merge, reverse: bool = False) -> DataFrame:
     """Add the columns of ``state``, merged from the first row of the group to the current one (from the last, if ``reverse``)."""
     names = list(state)
     work = with_chunk(df.filter(has_group(by)).withColumns({**state, "_group": _group_number(by)}), order)
 
-    def forward(table: pa.Table) -> pa.Table:
-        first = starts(key_array(table, ["_group", CHUNK]))
-        if reverse:
-            first = _ends(first)
-        return _replaced(table, segment_scan(_state(table, names), first, merge, reverse))
+    # from the last row on: sorted the other way, and what was met before stands after
+    along = [col(c).desc() if reverse else col(c).asc() for c in order]
+    ahead = (lambda a, b: merge(b, a)) if reverse else merge
     # read for the summaries and for the rows: stored, so that what lies above runs once
-    work = settle(_local(work, by, [CHUNK], [col(c) for c in order], forward), "scanned")
+    work = settle(_scanned(work, by, [CHUNK], along, names, ahead), "scanned")
 
     # one summary a chunk: the state of its last row (its first, if reverse)
     pick = F.min_by if reverse else F.max_by

@@ -169,3 +169,22 @@ def test_window_shapes(n):
             assert weights[3] == pytest.approx(1, abs=1e-9)
     with pytest.raises(ValueError, match="unknown"):
         window_weights("unknown", 3)
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_a_scan_holds_no_whole_chunk(spark, monkeypatch, reverse):
+    """One group of equal times: its chunk is longer than a piece; no merge sees more rows than a piece has."""
+    monkeypatch.setattr(scans, "BATCH", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        rows = spark.range(3000, numPartitions=3).select(F.lit("a").alias("g"), F.lit(1).alias("t"), F.col("id").alias("i"))
+
+        def longest(a, b):
+            seen = np.maximum(np.maximum(a["most"], b["most"]), float(len(a["n"])))
+            return {"n": a["n"] + b["n"], "last": b["last"], "first": a["first"], "most": seen}
+        state = {"n": F.lit(1.0), "first": F.col("i").cast("double"), "last": F.col("i").cast("double"), "most": F.lit(0.0)}
+        got = scans.scan(rows, ["g"], ["t"], state, longest, reverse).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got.n) == list(range(1, 3001))
+    assert got.most.max() <= 200
