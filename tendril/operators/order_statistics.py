@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .ordered import chunk_number, col, cut_points, equi_join, has_group, position, settle
+from .ordered import col, cut_points, equi_join, has_group, position, settle, with_number
 from .scans import _group_number, key_array, starts, whole_keys
 
 LEAST_BLOCK = 4096
@@ -133,7 +133,7 @@ def running_quantiles(df: DataFrame, by: list[str], order: list[str], column: st
 def _cores(known: DataFrame, ends: DataFrame, key: list[str], block: int, reach: int | None, shares: list[float], n: int) -> DataFrame:
     """(key, _block, _x, _count): of each block's core the values near its quantiles with their counts, elsewhere a count per cell."""
     points, _, _ = cut_points(known, "_x", max(8, min(MOST_CELLS, n // block)))
-    known = known.withColumn("_cell", chunk_number(col("_x"), points)).select(*[col(k) for k in key], "_block", "_cell", "_x")
+    known = with_number(known, "_cell", col("_x"), points).select(*[col(k) for k in key], "_block", "_cell", "_x")
     keys = [col(k) for k in key]
     # equal values of a block are one row from here on
     values = settle(known.groupBy(*keys, "_block", "_cell", "_x").agg(F.count(F.lit(1)).alias("_n")), "values")

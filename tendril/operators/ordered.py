@@ -14,6 +14,7 @@ import math
 from collections import Counter
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +97,22 @@ def chunk_number(x: Column, points: list) -> Column:
     return F.when(x.isNull(), -1).otherwise(number).cast("long")
 
 
+def with_number(df: DataFrame, name: str, x: Column, points: list) -> DataFrame:
+    """Add ``chunk_number`` of ``x`` as the column ``name``; by binary search where doubles hold the cut points exactly.
+
+    A long that is no double is then beyond all cut points, and stays on its side of them when rounded.
+    """
+    bounds = [float(p) + 0.0 for p in points if isinstance(p, float) or isinstance(p, int) and abs(p) < 1 << 53]
+    splits = [-math.inf, *[b for p in bounds for b in (p, math.nextafter(p, math.inf))], math.inf]
+    if not points or len(bounds) < len(points) or any(a >= b for a, b in zip(splits, splits[1:])):
+        return df.withColumn(name, chunk_number(x, points))
+    # each cut point is a bucket of its own; -0.0 is 0.0, and NaN is above all others
+    imaged = df.withColumn("_image", x.cast("double") + F.lit(0.0))
+    found = Bucketizer(splits=splits, inputCol="_image", outputCol="_bucket", handleInvalid="keep").transform(imaged)
+    number = F.when(col("_image").isNull(), -1).otherwise(F.least(col("_bucket"), F.lit(2.0 * len(points))))
+    return found.withColumn(name, number.cast("long")).drop("_image", "_bucket")
+
+
 def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None) -> DataFrame:
     """Add an order-preserving chunk number.
 
@@ -110,7 +127,8 @@ def with_chunk(df: DataFrame, order: list[str], chunks: int | None = None) -> Da
         if numbers >= 1 << 62:  # a chunk number is a long
             break
         image = sort_image(df, name)
-        number = chunk_number(col(name) if image is None else image, points)
+        df = with_number(df, "_number", col(name) if image is None else image, points)
+        number = col("_number")
         if depth == 0:
             df = df.withColumn(CHUNK, number).withColumn("_heavy", col(CHUNK).isin(list(heavy)))
         else:

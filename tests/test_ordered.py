@@ -1,5 +1,6 @@
 """Chunked scans against pandas, with one key holding a third of the rows and one order value holding another third."""
 
+import math
 from datetime import timedelta
 
 import numpy as np
@@ -79,6 +80,19 @@ def test_chunk_numbers_keep_order_and_isolate_heavy_values(spark):
     assert out[out.c % 2 == 1].id.tolist() == points
 
 
+def test_numbers_by_binary_search_equal_comparisons(spark):
+    """Among doubles with NaN, both zeros and infinities, and longs that are no doubles."""
+    odd = [float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 5e-324, 1.5, math.nextafter(1.5, 2), 1e300, None]
+    points = [0.0, 1.5, 1e300]
+    numbers = od.with_number(spark.createDataFrame([(x,) for x in odd], "x double"), "n", F.col("x"), points)
+    assert all(r.n == r.c for r in numbers.withColumn("c", od.chunk_number(F.col("x"), points)).collect())
+    assert "bucketizer" in numbers._jdf.queryExecution().optimizedPlan().toString()
+    large = (1 << 53) + 1
+    rows = spark.createDataFrame([(x,) for x in (-large, -1, 0, 1, large - 2, large - 1, large, 1 << 60, (1 << 60) + 1, None)], "x long")
+    for points in ([0, 1], [0, large - 2], [1, large], [1 << 60]):
+        assert all(r.n == r.c for r in od.with_number(rows, "n", F.col("x"), points).withColumn("c", od.chunk_number(F.col("x"), points)).collect())
+
+
 def test_no_chunk_holds_the_hot_group(df, pdf):
     sizes = od.with_chunk(df, ["t", "i"]).groupBy("g", od.CHUNK).count().toPandas()
     assert sizes["count"].max() < 0.25 * (pdf.g == "hot").sum()
