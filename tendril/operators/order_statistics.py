@@ -8,7 +8,9 @@ core, a block gets only the values around those ranks, and one row with a count
 * cells that hold one of the ranks in question are asked for their values, distinct ones with their counts, cut by position to
   the core; of the others the count is enough, as no quantile can lie there.
 
-A task then holds a few blocks' rows, never a window. There the windows are ranges of one sequence (rows that leave, core, own
+A window of up to ``MOST_NEAR`` rows needs no core: blocks of its length, with the rows before them, hold all of it.
+
+A task then holds a few blocks' rows, never a longer window. There the windows are ranges of one sequence (rows that leave, core, own
 rows), and all their quantiles are found together, descending the bits of the values' ranks with prefix sums of counts.
 """
 
@@ -28,6 +30,7 @@ from .scans import _group_number, key_array, starts, whole_keys
 
 LEAST_BLOCK = 4096
 MOST_CELLS = 16384
+MOST_NEAR = 1 << 18
 
 
 def kth_in_ranges(ranks: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -96,7 +99,8 @@ def running_quantiles(df: DataFrame, by: list[str], order: list[str], column: st
     shares = list(dict.fromkeys(outs.values()))
     placed = settle(position(df.filter(has_group(by)), by, order, "_pos").withColumns({"_x": x, "_group": _group_number(by)}), "positions")
     size = placed.agg(F.count(F.lit(1)).alias("n"), F.max("_pos").alias("last")).first()
-    block = block or max(LEAST_BLOCK, 2 * math.isqrt(size["n"]))
+    near = window is not None and window <= MOST_NEAR
+    block = block or max(LEAST_BLOCK, window if near else 2 * math.isqrt(size["n"]))
     placed = placed.withColumn("_block", F.floor(col("_pos") / block))
     rows = placed.withColumns({"_kind": F.lit(2), "_count": F.lit(1).cast("long")})
     key = [*by, "_group"]

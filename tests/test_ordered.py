@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tendril.operators import fills, grouping, joins, ranks, resample, reshape, rolling, scans, stats
+from tendril.operators import fills, grouping, joins, order_statistics, ranks, resample, reshape, rolling, scans, stats
 from tendril.operators import ordered as od
 
 N = 1500
@@ -357,3 +357,13 @@ def test_correlations_of_constant_values(spark):
     assert np.isnan(a.r.to_numpy(float)[:4]).all() and np.isnan(got[got.g == "b"].r.to_numpy(float)).all()
     pairs = {(r["a"], r["b"]): r["corr"] for r in stats.correlation_pairs(rows.filter("g = 'b'"), ["x", "y"]).collect()}
     assert np.isnan(pairs["x", "y"]) and pairs["y", "y"] == pytest.approx(1)
+
+
+def test_windows_of_one_block_have_no_core(spark, monkeypatch):
+    """A window much longer than the blocks that follow from the number of rows, over several of its lengths."""
+    monkeypatch.setattr(order_statistics, "_cores", lambda *args: pytest.fail("values looked up beside the rows"))
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, 70_000), "i": np.arange(70_000), "x": np.where(rng.random(70_000) < 0.1, np.nan, rng.integers(0, 500, 70_000))})
+    out = order_statistics.running_quantiles(spark.createDataFrame(pdf), ["g"], ["i"], "x", {"m": 0.5}, window=9_000).toPandas().sort_values("i")
+    want = pdf.groupby("g").x.transform(lambda s: s.rolling(9_000, min_periods=1).median())
+    same(out.m, want)
