@@ -31,6 +31,7 @@ from .scans import _group_number, key_array, starts, whole_keys
 LEAST_BLOCK = 4096
 MOST_CELLS = 16384
 MOST_NEAR = 1 << 18
+GRID_ROWS = 1 << 20
 
 
 def kth_in_ranges(ranks: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -143,9 +144,11 @@ def _cores(known: DataFrame, ends: DataFrame, key: list[str], block: int, reach:
     values = settle(known.groupBy(*keys, "_block", "_cell", "_x").agg(F.count(F.lit(1)).alias("_n")), "values")
     counts = values.groupBy(*keys, "_block", "_cell").agg(F.sum("_n").alias("_n"))
     cells = values.groupBy(*keys, "_cell").agg(F.min("_x").alias("_least"))
-    # every block with every cell of its group: summaries, a block's worth of rows each
-    grid = equi_join(cells, ends, key, "inner").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), col("_end")))).drop("_end")
-    grid = equi_join(grid, counts, [*key, "_block", "_cell"])
+    # every block with every cell of its group: summaries, a block's worth of rows each; dealt by cell, as a group may be all there is
+    parts = max(8, n // GRID_ROWS)
+    grid = equi_join(cells, ends, key, "inner").repartition(parts, *keys, "_cell")
+    grid = grid.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), col("_end")))).drop("_end")
+    grid = equi_join(grid, counts.repartition(parts, *keys, "_cell"), [*key, "_block", "_cell"])
     before = Window.partitionBy(*keys, "_cell").orderBy("_block").rowsBetween(Window.unboundedPreceding if reach is None else -reach, -1)
     grid = grid.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     across = Window.partitionBy(*keys, "_block").orderBy("_cell")
