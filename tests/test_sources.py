@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tendril.functions import strings as st
 from tendril.operators import recommend as rec
 from tendril.operators import text as tx
+from tendril.sources import html
 from tendril.sources import packages as pk
 from tendril.sources import tables as tb
 from tendril.sources.html import html_tables
@@ -116,6 +117,22 @@ def test_html_tables(spark):
     assert (1, 2, 0, False, ["in"]) in rows and (1, 1, 0, False, ["out"]) in rows and len(rows) == 4
 
 
+def test_plain_html_needs_no_search(spark, monkeypatch):
+    """Pages of plain tags give the parser's rows without it; others are given to it whole."""
+    plain = [f"{a}<table>{b}<TR><th scope=\"col\">h{c}</th\n></tr ><tr><td>1{c}<td >2 </table>{a}" for a in ("", "x > y", "<p>") for b in ("", "t", "<br>") for c in ("", "&amp;", "&lt", "&am", " \x00", "é")]
+    other = ["<!-- <table> --><table><tr><td>a</table>", "<table><tr><td a=b>x<td/>y", "<title><table><tr><td>t</title>", "<table><tr><td>a < b</td", "<table><tr><td class=\"a>b\">x</td y=\"z\">"]
+
+    def parsed(page):
+        tables = html._Tables()
+        tables.feed(page)
+        tables.close()
+        return tables.rows
+    want = {page: parsed(page) for page in [*plain, *other]}
+    assert all(html._rows(page) == want[page] for page in other)
+    monkeypatch.setattr(html._Tables, "feed", lambda self, page: pytest.fail(page))
+    assert all(html._rows(page) == want[page] for page in plain)
+
+
 def test_label_index_is_the_string_indexer_order(spark):
     pairs = spark.createDataFrame([(c, "x") for c in "bbbaacdddde"], "service string, contractor string")
     labels = StringIndexer(inputCol="service", outputCol="i").fit(pairs).labels
