@@ -30,10 +30,10 @@ def incremental_ingestion(t):
 def incremental_notices(t):
     """Documents flattened inside the stream by the plan the batch job uses."""
     root = scratch_path(t.spark, "notices")
-    notices.documents(t).write.parquet(f"{root}/in")
+    notices.composed(t).write.parquet(f"{root}/in")
     stream = t.spark.readStream.schema("file string, date string, value string").parquet(f"{root}/in")
     rates = notices.rates(t.spark)
-    _run(t, stream, {"all": (F.lit(True), f"{root}/out")}, root, lambda batch: ig.notice_table(batch, rates).select("FILE", "LG", "VALUES__VALUE"))
+    _run(t, stream, {"all": (F.lit(True), f"{root}/out")}, root, lambda batch: ig.notice_table(batch, rates, ["FILE", "LG", "VALUES__VALUE"]))
     return t.spark.read.parquet(f"{root}/out").select("FILE", "LG", "VALUES__VALUE")
 
 

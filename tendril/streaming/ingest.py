@@ -26,9 +26,9 @@ def document_stream(spark: SparkSession, root: str, files_per_trigger: int = 100
     return text.select(F.col("_metadata.file_name").alias("file"), F.regexp_extract(path, r"(\d{8})_[^/]*/[^/]*$", 1).alias("date"), "value")
 
 
-def notice_table(docs: DataFrame, rates: DataFrame, **choice) -> DataFrame:
-    """The extracted table of a document table or stream; stateless, so batch and stream share it."""
-    return extracted(notice_columns(docs, S.source_paths(), **choice), rates)
+def notice_table(docs: DataFrame, rates: DataFrame, columns: list[str] | None = None, **choice) -> DataFrame:
+    """The extracted table of a document table or stream, or the named columns of it; stateless, so batch and stream share it."""
+    return extracted(notice_columns(docs, S.source_paths(columns), **choice), rates, columns)
 
 
 def run_routed(

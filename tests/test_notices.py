@@ -136,3 +136,21 @@ def test_fixed_projection_adds_and_orders_columns(spark):
 def test_patterns(spark, rule, good, bad):
     row = spark.createDataFrame([(good, bad)], "g string, b string").select(ql.matches(F.col("g"), rule), ql.matches(F.col("b"), rule)).first()
     assert tuple(row) == (True, False)
+
+
+def test_named_columns_of_the_notice_table(spark):
+    """The stream's table limited to some columns reads their paths alone, older places of the value among them."""
+    from tendril.streaming import ingest as ig
+
+    head = "<NOTICE_EXPORT><CODED_DATA_SECTION><NOTICE_DATA><LG_ORIG>EN</LG_ORIG>{}</NOTICE_DATA><CODIF_DATA><TD_DOCUMENT_TYPE CODE=\"7\">Contract award notice</TD_DOCUMENT_TYPE></CODIF_DATA></CODED_DATA_SECTION>"
+    form = "<FORM_SECTION><F03_2014 LG=\"EN\" CATEGORY=\"ORIGINAL\" FORM=\"F03\">{}</F03_2014></FORM_SECTION></NOTICE_EXPORT>"
+    value = "<VALUES><VALUE CURRENCY=\"EUR\">5</VALUE></VALUES>"
+    older = "<VALUES_LIST><VALUES><SINGLE_VALUE><VALUE CURRENCY=\"EUR\">7</VALUE></SINGLE_VALUE></VALUES></VALUES_LIST>"
+    texts = [head.format(value) + form.format(""), head.format("") + form.format(older), head.format("") + form.format("")]
+    docs = spark.createDataFrame([(f"{i}.xml", "20200101", x) for i, x in enumerate(texts)], "file string, date string, value string")
+    rates = spark.createDataFrame([("SEK", 10.5)], "currency string, rate double")
+    names = ["FILE", "LG", "VALUES__VALUE"]
+    got = ig.notice_table(docs, rates, names)
+    assert got.columns == names
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ig.notice_table(docs, rates).select(*names).collect()), key=str)
+    assert {r["VALUES__VALUE"] for r in got.collect()} >= {"5", "7"}
