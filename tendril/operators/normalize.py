@@ -26,10 +26,10 @@ def to_eur(df: DataFrame, rates: DataFrame, value: str, currency: str, name: str
     """Amount text in euro by a (currency, rate) table of units per euro.
 
     Euro amounts pass through unchanged; an unknown or missing currency or a bad number gives an empty string. The rate table has
-    one row per currency, so Catalyst broadcasts it by its size.
+    one row per currency and is broadcast whatever Catalyst knows of its size: rows dealt by currency would be a few tasks.
     """
     known = rates.select(F.col("currency").alias("_cur"), F.col("rate").alias("_rate"))
-    joined = df.join(known, col(currency) == F.col("_cur"), "left")
+    joined = df.join(F.broadcast(known), col(currency) == F.col("_cur"), "left")
     converted = F.try_divide(col(value).try_cast("double"), F.col("_rate")).cast("string")
     text = F.when(col(currency) == "EUR", col(value)).otherwise(F.coalesce(converted, F.lit("")))
     return joined.withColumn(name, text).drop("_cur", "_rate")

@@ -154,3 +154,15 @@ def test_named_columns_of_the_notice_table(spark):
     assert got.columns == names
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ig.notice_table(docs, rates).select(*names).collect()), key=str)
     assert {r["VALUES__VALUE"] for r in got.collect()} >= {"5", "7"}
+
+
+def test_rows_are_not_dealt_by_currency(spark):
+    """A rate table of unknown size: amounts stay where they are, however few currencies there are."""
+    from tendril.operators import normalize as nz
+
+    rates = spark.createDataFrame(spark.sparkContext.parallelize([("SEK", 10.0), ("GBP", 0.5)]), "currency string, rate double")
+    amounts = spark.createDataFrame([("5", "SEK"), ("5", "GBP"), ("5", "EUR"), ("5", "ZZZ"), ("5", None), ("x", "SEK")], "v string, c string")
+    out = nz.to_eur(amounts, rates, "v", "c", "e")
+    assert [r["e"] for r in out.collect()] == ["0.5", "10.0", "5", "", "", ""]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
