@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..operators import ranks, rolling, scans
+from ..operators.ordered import settle
 from .registry import query
 
 BY, ORDER = ["user_id"], ["ts", "event_id"]
@@ -249,7 +250,8 @@ def _sparse(t):
            CASE WHEN count(b.x) >= 1 THEN round(sum(pow(1 - 2 / 11.0, a.i - b.i) * b.x) / sum(pow(1 - 2 / 11.0, a.i - b.i)), 6) END AS mean
     FROM p a LEFT JOIN p b ON a.user_id = b.user_id AND b.i <= a.i AND b.x IS NOT NULL GROUP BY 1""")
 def exponentially_weighted_with_nulls(t):
-    first = rolling.exponential(_sparse(t), BY, ORDER, {"mean": ("mean", "x")}, span=10)
+    # read for the cut points and the rows of the second pass
+    first = settle(rolling.exponential(_sparse(t), BY, ORDER, {"mean": ("mean", "x")}, span=10), "weighted")
     out = rolling.exponential(first, BY, ORDER, {"late": ("mean", "x")}, min_periods=60, span=10)
     return _rounded(out.select("event_id", "mean", "late"))
 
