@@ -1,14 +1,18 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
-The tree's nodes are contexts: the last one to ``max_depth`` words. A context is a candidate if it makes up a set share of
-the training tokens, and is retained if its next-word distribution diverges from that of its longest retained suffix. A
-context lists the next words that follow it often; the rest of its probability, and a discount from each listed word, goes
-to its suffix, and at the root to add-half unigrams. Each token is scored in the state of the longest retained suffix of
-what stands before it in its text.
-
-Unigram counts cover every training token and have no bound; they stay a distributed table. What is broadcast has a proven
-bound whatever the corpus: words and listed followers make up at least ``word_share`` of all tokens each (so at most its
-inverse of them), contexts at least ``context_share``. Words below that are joined with the table of counts, and only they.
+The tree's nodes are contexts: the last one to ``max_depth`` words. A context is retained if its next-word distribution
+diverges from that of its longest retained suffix. It lists the next words that follow it ``min_count`` times or more; the
+rest of its probability, and a discount from each listed word, goes to its suffix, and at the root to add-half unigrams. Each
+token is scored in the state of the longest retained suffix of what stands before it in its text. ``min_count`` is a fixed
+number: contexts and listed words grow with the corpus, and none is left out for being a small share of it.
+
+The whole tree is in tables: one of unigrams, and for each depth one of n-grams (context and listed word) and one of retained
+contexts. A token's score is a sum over the n-grams that end with it: what the unigram gives, what each listed n-gram adds to
+its suffix (its ``gain``), and what each retained context gives to its suffix (its ``rest``). A text's score is therefore the
+sum over all n-grams in it, each looked up once by its key. N-grams that make up ``hot_share`` of the tokens are broadcast
+(at most ``HOT_MOST`` words and as many longer ones) and added up where the text is read; all others go to the tables by a
+join. What is broadcast decides on the work only, never on the result. Bitmaps of bounded size tell n-grams that are surely not in a
+table; those that seem to be in it are counted or joined like any other.
 
 Words are runs without white space, A-Z lower-cased; each text ends with an end token. Null and empty texts have the end
 token only. A null key counts as the empty string when texts are held out. Repeated rows count as often as they stand
@@ -21,22 +25,32 @@ import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .common import stored
 from .words import FOLD, VISIBLE, Words, mix, words
 
 MAX_DEPTH = 2
-WORD_SHARE = 5e-7
-CONTEXT_SHARE = 1e-4
 MIN_COUNT = 3
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
 END = np.uint64(0x5851F42D4C957F2D)
+# what is broadcast; results don't depend on these
+HOT_SHARE = 5e-7
+HOT_MOST = (1 << 21) - 1
+MOST_BITS = 28
+# keys: numbers of broadcast words have 21 bits, those of n-grams of up to three of them 63; the others are hashes with the top bit
+WORD_BITS = 21
+TOP = np.uint64(1 << 63)
+COUNTED_AT_ONCE = 1 << 20
 
 
 class Lookup:
@@ -107,60 +121,6 @@ def with_ends(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def contexts_before(tree: Tree, word: np.ndarray, bounds: np.ndarray, depth: int) -> list[np.ndarray]:
-    """For each token and depth 1 .. depth, the number of the context of that many words before it in its text, or -1."""
-    first = np.zeros(len(word), bool)
-    first[bounds[:-1]] = True
-    previous = np.concatenate([[-1], word[:-1]])
-    previous[first] = -1
-    out = []
-    for d in range(depth):
-        if d == 0:
-            got = np.where(previous >= 0, tree.levels[0].contexts.find(np.maximum(previous, 0).astype(np.uint64)), -1)
-        else:
-            shorter = np.concatenate([[-1], out[-1][:-1]])
-            shorter[first] = -1
-            known = np.flatnonzero((shorter >= 0) & (previous >= 0))
-            got = np.full(len(word), -1, np.int64)
-            got[known] = tree.levels[d].contexts.find(_key(shorter[known], previous[known]))
-        out.append(got)
-    return out
-
-
-def _loaded(model):
-    return pickle.loads(zlib.decompress(model.value))
-
-
-def _sent(df: DataFrame, tree: Tree):
-    return df.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(tree), 1))
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        seen = [with_ends(w)[0] for w in words(batch.column(0), VISIBLE, FOLD)]
-        if seen:
-            values, n = np.unique(np.concatenate(seen), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["word", "n"])
-
-
-def _count_followers(model, depth: int):
-    """Followers of the contexts of ``depth`` words, as (context << 32 | word)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = _loaded(model)
-        for batch in batches:
-            seen = []
-            for w in words(batch.column(0), VISIBLE, FOLD):
-                tokens, bounds = with_ends(w)
-                word = tree.words.find(tokens)
-                context = contexts_before(tree, word, bounds, depth)[-1]
-                ok = (context >= 0) & (word >= 0)
-                seen.append(_key(context[ok], word[ok]))
-            if seen:
-                values, n = np.unique(np.concatenate(seen), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["entry", "n"])
-    return run
-
-
 def log_probability(tree: Tree, word: np.ndarray, contexts: list[np.ndarray], root: np.ndarray) -> np.ndarray:
     """log10 probability of each token in the longest retained state of its contexts; ``root`` has what the root says."""
     out, open_ = np.zeros(len(word)), np.ones(len(word), bool)
@@ -204,62 +164,251 @@ def _add_level(tree: Tree, level: Level, context_counts: np.ndarray, entry: np.n
     tree.levels.append(level)
 
 
-def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, word_share: float = WORD_SHARE, context_share: float = CONTEXT_SHARE,
-          divergence: float = DIVERGENCE) -> tuple[Tree, DataFrame]:
-    """The tree, and the table (word, n) of all unigram counts."""
+def _loaded(model):
+    return pickle.loads(zlib.decompress(model.value))
+
+
+def _sent(df: DataFrame, value):
+    return df.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(value), 1))
+
+
+def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Key of each n-gram, from the key of all words but the last (0: none) and that of the last. Negative keys are hashes."""
+    hashed = (mix(context.view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + word.view(np.uint64)) | TOP).view(np.int64)
+    small = (word >= 0) & (context >= 0) & (context < 1 << 2 * WORD_BITS)
+    return np.where(context == 0, word, np.where(small, (context << WORD_BITS) | word, hashed))
+
+
+@F.pandas_udf(LongType())
+def _extended(context: pd.Series, word: pd.Series) -> pd.Series:
+    return pd.Series(extended(context.to_numpy(), word.to_numpy()))
+
+
+@dataclass
+class Bitmap:
+    """Tells keys that are surely not in a table. Its size is bounded; when the table outgrows it, it tells fewer."""
+
+    bits: np.ndarray
+    size: int
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = places(keys, self.size)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def places(keys: np.ndarray, size: int) -> np.ndarray:
+    return (mix(keys.view(np.uint64)) & np.uint64(size - 1)).astype(np.int64)
+
+
+def _bitmap(table: DataFrame, most_bits: int = MOST_BITS) -> Bitmap | None:
+    """Bitmap of the column ``key``, put together by ranges of bits; none for an empty table."""
+    n = table.count()
+    if not n:
+        return None
+    size = 1 << max(15, min(most_bits, (32 * n - 1).bit_length()))
+
+    @F.pandas_udf(LongType())
+    def place(key: pd.Series) -> pd.Series:
+        return pd.Series(places(key.to_numpy(), size) + 1)
+
+    put = table.select(place("key").alias("place")).select(F.bitmap_bucket_number("place").alias("bucket"), F.bitmap_bit_position("place").alias("bit")).repartition("bucket")
+    bits = np.zeros(size // 8, np.uint8)
+    got = put.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
+    for bucket, part in zip(got["bucket"].to_pylist(), got["bits"], strict=True):
+        bits[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(part.as_buffer(), np.uint8)
+    return Bitmap(bits, size)
+
+
+def _codes(at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Keys of words, from their positions in the vocabulary: number from 1 of those that are broadcast, hash with the top bit of the others."""
+    return np.where(at >= 0, at + 1, (tokens | TOP).view(np.int64))
+
+
+def _chains(codes: np.ndarray, bounds: np.ndarray, length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For 1 .. length the keys of the n-grams of that many words that end at each token, and each token's place in its text.
+
+    A key counts only where the place is large enough.
+    """
+    chains = [codes]
+    for _ in range(length - 1):
+        chains.append(extended(np.concatenate([[1], chains[-1][:-1]]), codes))
+    return chains, np.arange(len(codes)) - np.repeat(bounds[:-1], np.diff(bounds))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seen = [with_ends(w)[0] for w in words(batch.column(0), VISIBLE, FOLD)]
+        if seen:
+            values, n = np.unique(np.concatenate(seen), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["word", "n"])
+
+
+def _key_words(model):
+    """Keys of the unigrams in place of their hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _loaded(model)
+        for batch in batches:
+            tokens = batch.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(_codes(vocabulary.find(tokens), tokens)), batch.column(1)], ["key", "n"])
+    return run
+
+
+def _counted(keys: np.ndarray, context: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
+    """Distinct n-grams and how often they occur; packed keys give back their context and word."""
+    packed = keys >= 0
+    values, n = np.unique(keys[packed], return_counts=True)
+    _, first, m = np.unique(keys[~packed], return_index=True, return_counts=True)
+    at = np.flatnonzero(~packed)[first]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([values >> WORD_BITS, context[at]])), pa.array(np.concatenate([values & HOT_MOST, word[at]])), pa.array(np.concatenate([n, m]))], ["context", "word", "n"])
+
+
+def _count_grams(model, depth: int):
+    """N-grams of ``depth`` words and one more, where both n-grams within may have been seen often enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, often = _loaded(model)
+        for batch in batches:
+            held, size = [], 0
+            for w in words(batch.column(0), VISIBLE, FOLD):
+                tokens, bounds = with_ends(w)
+                chains, place = _chains(_codes(vocabulary.find(tokens), tokens), bounds, depth + 1)
+                ok = often.find(chains[depth - 1])
+                at = np.flatnonzero(ok[1:] & ok[:-1] & (place[1:] >= depth)) + 1
+                held.append((chains[depth][at], chains[depth - 1][at - 1], chains[0][at]))
+                size += len(at)
+                if size > COUNTED_AT_ONCE:
+                    yield _counted(*map(np.concatenate, zip(*held, strict=True)))
+                    held, size = [], 0
+            if held:
+                yield _counted(*map(np.concatenate, zip(*held, strict=True)))
+    return run
+
+
+@dataclass
+class Hot:
+    """What is broadcast for scoring: of words what the root and they as contexts give, of longer n-grams their gain."""
+
+    vocabulary: Lookup
+    root: np.ndarray
+    rest: np.ndarray
+    grams: Lookup
+    gain: np.ndarray
+    others: Bitmap | None
+    depth: int
+
+
+@dataclass
+class Model:
+    """A tree. ``nodes``: (key, n, gain) of all that is not broadcast; n is null but for words. A key may have two rows: as an n-gram and as a context."""
+
+    hot: Hot
+    nodes: DataFrame
+    tokens: int
+    distinct: int
+
+    def log_root(self, n: Column) -> Column:
+        return _log_root(n, self.tokens, self.distinct)
+
+
+def _log_root(n, tokens: int, distinct: int):
+    return (F if isinstance(n, Column) else np).log10((n + 0.5) / (tokens + 0.5 * (distinct + 1)))
+
+
+def _cut(n: np.ndarray, least: int, most: int) -> int:
+    """Smallest count from ``least`` on that at most ``most`` of them reach."""
+    return least if len(n) <= most else max(least, int(np.partition(n, len(n) - most - 1)[len(n) - most - 1]) + 1)
+
+
+def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE, hot_share: float = HOT_SHARE) -> Model:
     read = training.select(F.col(text).alias("text"))
     counts = stored(read.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    least = max(MIN_COUNT, int(np.ceil(word_share * tokens)))
-    got = counts.where(F.col("n") >= least).sort(F.desc("n"), "word").toArrow()  # at most 1 / word_share rows
-    words_, n = got["word"].to_numpy().view(np.uint64), got["n"].to_numpy()
-    tree = Tree(Lookup(words_), n.astype(np.float64), tokens, distinct, [])
-
-    often = max(MIN_COUNT, context_share * tokens)
-    chosen = np.flatnonzero((n >= often) & (words_ != END))
-    level, context_counts, suffix = Level(Lookup(chosen)), n[chosen].astype(np.float64), np.full(len(chosen), -1)
+    least = max(min_count, int(np.ceil(hot_share * tokens)))
+    got = counts.where(F.col("n") >= least).toArrow()  # at most 1 / hot_share rows
+    word, n = got["word"].to_numpy(), got["n"].to_numpy()
+    word_cut = _cut(n, least, HOT_MOST)
+    word, n = word[n >= word_cut], n[n >= word_cut]
+    order = np.lexsort((word, -n))
+    vocabulary, n = Lookup(word[order].view(np.uint64)), n[order]
+
+    unigrams = counts.mapInArrow(_key_words(_sent(counts, vocabulary)), "key long, n long")
+    grams = unigrams.where(F.col("n") >= min_count).select("key", "n", F.lit(0).cast("long").alias("suffix"), _log_root(F.col("n"), tokens, distinct).alias("log_p"))
+    p, rest_p, rest_q = (F.col("n") - DISCOUNT) / F.col("context_n"), F.greatest(1 - F.col("p_sum"), F.lit(1e-9)), F.greatest(1 - F.col("q_sum"), F.lit(1e-9))
+    nodes = []
     for depth in range(1, max_depth + 1):
-        if not len(context_counts):
+        often = _bitmap(grams)
+        if often is None:
             break
-        searched = Tree(tree.words, tree.counts, tokens, distinct, [*tree.levels, level])
-        found = read.mapInArrow(_count_followers(_sent(read, searched), depth), "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-        got = found.where(F.col("n") >= least).sort("entry").toArrow()  # at most 1 / word_share rows
-        entry, count = got["entry"].to_numpy().view(np.uint64), got["n"].to_numpy().astype(np.float64)
-        _add_level(tree, level, context_counts, entry, count, suffix, divergence)
-        # contexts one word longer: frequent followers of these; the suffix drops their first word
-        word = (entry & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        longer = np.flatnonzero((count >= often) & (words_[word] != END))
-        context = (entry[longer] >> np.uint64(32)).astype(np.int64)
-        if depth == 1:
-            suffix = tree.levels[0].contexts.find(word[longer].astype(np.uint64))
-        else:
-            before = suffix[context]
-            suffix = np.where(before >= 0, level.contexts.find(_key(np.maximum(before, 0), word[longer])), -1)
-        context_counts = count[longer]
-        level = Level(Lookup(entry[longer]))
-    return tree, counts
+        # (context, word) with the context's count and what the suffixes of both say of the word
+        found = read.mapInArrow(_count_grams(_sent(read, (vocabulary, often)), depth), "context long, word long, n long").groupBy("context", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        contexts = grams.select(F.col("key").alias("context"), F.col("n").alias("context_n"), F.col("suffix").alias("context_suffix"))
+        lower = grams.select(F.col("key").alias("suffix"), F.col("log_p").alias("lower"))
+        followers = stored(
+            found.join(contexts, "context").select("context", "word", "n", "context_n", _extended("context_suffix", "word").alias("suffix")).join(lower, "suffix"), "followers")
+        q = F.pow(F.lit(10.0), "lower")
+        sums = followers.groupBy("context").agg(F.sum(p).alias("p_sum"), F.sum(q).alias("q_sum"), F.sum(p * F.ln(p / q)).alias("diverges"), F.max("context_n").alias("n"))
+        retained = stored(sums.where(F.col("diverges") + rest_p * F.ln(rest_p / rest_q) >= divergence).select("context", "n", F.log10(rest_p / rest_q).alias("rest")), "contexts")
+        listed = F.col("rest").isNotNull()
+        grams = stored(followers.join(retained.select("context", "rest"), "context", "left").select(
+            _extended("context", "word").alias("key"), "n", "suffix", F.when(listed, F.log10(p)).otherwise(F.col("lower")).alias("log_p"),
+            F.when(listed, F.log10(p) - F.col("lower") - F.col("rest")).alias("gain")), "grams")
+        nodes += [retained.select(F.lit(depth).alias("length"), F.col("context").alias("key"), "n", F.col("rest").alias("gain")),
+                  grams.where(F.col("gain").isNotNull()).select(F.lit(depth + 1).alias("length"), "key", "n", "gain")]
+
+    return _model(unigrams, nodes, vocabulary, n, word_cut, least, tokens, distinct)
+
+
+def _model(unigrams: DataFrame, nodes: list[DataFrame], vocabulary: Lookup, n: np.ndarray, word_cut: int, least: int, tokens: int, distinct: int) -> Model:
+    """Parts what is broadcast from what is joined."""
+    words_ = unigrams.where(F.col("n") < word_cut).select("key", "n", F.lit(0.0).alias("gain"))
+    hot = Hot(vocabulary, _log_root(n.astype(np.float64), tokens, distinct), np.zeros(len(n)), Lookup(np.zeros(0, np.uint64)), np.zeros(0), None, len(nodes) // 2)
+    if not nodes:
+        return Model(hot, words_, tokens, distinct)
+    every = reduce(DataFrame.unionByName, nodes)
+    got = every.where(F.col("n") >= least).select("length", "key", "n", "gain").toArrow()  # at most 2 / hot_share rows a depth
+    length, key, m, gain = (got[c].to_numpy() for c in ("length", "key", "n", "gain"))
+    own = (length == 1) & (m >= word_cut)
+    hot.rest[key[own] - 1] = gain[own]
+    cut = _cut(m[length > 1], least, HOT_MOST)
+    longer = (length > 1) & (m >= cut)
+    keys, at = np.unique(key[longer], return_inverse=True)
+    hot.grams, hot.gain = Lookup(keys.view(np.uint64)), np.bincount(at, gain[longer], len(keys))
+    others = every.where(F.col("n") < F.when(F.col("length") == 1, word_cut).otherwise(cut))
+    hot.others = _bitmap(others.where("length > 1").select("key"))
+    return Model(hot, words_.unionByName(others.select("key", F.lit(None).cast("long").alias("n"), "gain")), tokens, distinct)
+
+
+SUMS = "n_tokens long, n_frequent long, base double, score double"
 
 
 def _score(model, n_columns: int):
-    """Adds to the columns before the text: number of tokens, of frequent ones, their base and tree log10 probabilities, the rare words."""
+    """A row for each text, with the columns before it, the number of its tokens, of broadcast ones and their log10 probabilities so far; one for each n-gram to be joined."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = _loaded(model)
-        root_of = tree.log_root(tree.counts) if len(tree.counts) else np.zeros(1)
+        hot, row = _loaded(model), TaskContext.get().partitionId() << 33
+        root, rest = np.append(hot.root, 0.0), np.append(hot.rest, 0.0)
         for batch in batches:
             for w in words(batch.column(n_columns), VISIBLE, FOLD):
                 tokens, bounds = with_ends(w)
-                word = tree.words.find(tokens)
-                known = word >= 0
-                root = np.where(known, root_of[np.maximum(word, 0)], 0.0)
-                contexts = contexts_before(tree, word, bounds, len(tree.levels))
-                score = log_probability(tree, word, contexts, root)
-                sums = [np.add.reduceat(x, bounds[:-1]) for x in (known.astype(np.int64), root, score)]
-                rare = np.flatnonzero(~known)
-                rare_bounds = np.searchsorted(rare, bounds).astype(np.int32)
+                at = hot.vocabulary.find(tokens)
+                known = at >= 0
+                chains, place = _chains(_codes(at, tokens), bounds, hot.depth + 1)
+                base, score, joined = root[at], root[at] + rest[at], [np.flatnonzero(~known)]
+                for length, keys in enumerate(chains[1:], 1):
+                    inside = np.flatnonzero(place >= length)
+                    got = hot.grams.find(keys[inside].view(np.uint64))
+                    score[inside[got >= 0]] += hot.gain[got[got >= 0]]
+                    left = inside[got < 0]
+                    joined.append(left[hot.others.find(keys[left])] if hot.others else left[:0])
+                sums = [np.add.reduceat(x, bounds[:-1]) for x in (known.astype(np.int64), base, score)]
+                n, owner = len(w), np.searchsorted(bounds, np.concatenate(joined), "right") - 1
+                key = np.concatenate([np.arange(row, row + n), *[keys[i] for keys, i in zip(chains, joined, strict=True)]])
+                # rows of texts first, which meet no node
+                text = pa.array(np.concatenate([np.arange(n), np.full(len(owner), -1)]), mask=np.arange(len(key)) >= n)
+                fields = [*[c.slice(w.first, n) for c in batch.columns[:n_columns]], pa.array(np.diff(bounds)), *[pa.array(x) for x in sums]]
+                names = [*batch.schema.names[:n_columns], "n_tokens", "n_frequent", "base", "score"]
                 yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(w.first, len(w)) for c in batch.columns[:n_columns]], pa.array(np.diff(bounds)), *[pa.array(x) for x in sums],
-                     pa.ListArray.from_arrays(pa.array(rare_bounds), pa.array(tokens[rare].view(np.int64)))],
-                    [*batch.schema.names[:n_columns], "n_tokens", "n_frequent", "frequent_base", "tree_score", "rare"])
+                    [pa.array(row + np.concatenate([np.arange(n), owner])), pa.array(key), pa.StructArray.from_arrays(fields, names).take(text)], ["row", "key", "text"])
+                row += n
     return run
 
 
@@ -271,16 +420,17 @@ def score_report(docs: DataFrame, key: str = "doc_id", text: str = "text", held:
     """Per document: tokens, known ones, log10 probability under add-half unigrams and under the tree, learnt from the rows that are not held out."""
     held = held_out(key) if held is None else held
     read = docs.select(F.col(key).alias("key"), held.alias("held_out"), F.col(text).alias("text"))
-    tree, counts = learn(read.where(~F.col("held_out")), **options)
-    fields = f"key {read.schema['key'].dataType.simpleString()}, held_out boolean, n_tokens long, n_frequent long, frequent_base double, tree_score double, rare array<long>"
-    scored = stored(read.mapInArrow(_score(_sent(read, tree), 2), fields).withColumn("row", F.monotonically_increasing_id()), "scored")
-
-    rare = scored.select("row", F.explode("rare").alias("word"))
-    unknown = F.coalesce("n", F.lit(0))
-    root = F.log10((unknown + 0.5) / (tree.tokens + 0.5 * (tree.distinct + 1)))
-    found = rare.join(counts, "word", "left").groupBy("row").agg(F.count_if(unknown > 0).alias("rare_known"), F.sum(root).alias("rare_base"))
-    joined = scored.drop("rare").join(found, "row", "left")
-    more = F.coalesce("rare_base", F.lit(0.0))
-    return joined.select(
-        F.col("key").alias(key), "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tree.tokens).cast("long").alias("train_tokens"),
-        (F.col("frequent_base") + more).alias("base_score"), (F.col("tree_score") + more).alias("score"))
+    model = learn(read.where(~F.col("held_out")), text="text", **options)
+    fields = f"row long, key long, text struct<key: {read.schema['key'].dataType.simpleString()}, held_out: boolean, {SUMS.replace(' ', ': ').replace(',:', ',')}>"
+    scored = read.mapInArrow(_score(_sent(read, model.hot), 2), fields)
+
+    nodes = model.nodes.select(F.col("key").alias("node"), "n", "gain")
+    root = model.log_root(F.col("n"))
+    joined = scored.join(nodes, (scored["key"] == nodes["node"]) & scored["text"].isNull(), "left").select(
+        "row", "text.*", F.col("n").isNotNull().cast("long").alias("n_rare"), F.coalesce(root, F.lit(0.0)).alias("rare_base"), (F.coalesce(root, F.lit(0.0)) + F.coalesce("gain", F.lit(0.0))).alias("rare_score"))
+    found = joined.groupBy("row").agg(
+        F.first("key", ignorenulls=True).alias("key"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), (F.sum("n_frequent") + F.sum("n_rare")).alias("n_known"),
+        (F.sum("rare_base") + F.sum("base")).alias("base"), (F.sum("rare_score") + F.sum("score")).alias("score"))
+    unknown = (F.col("n_tokens") - F.col("n_known")) * _log_root(F.lit(0), model.tokens, model.distinct)
+    return found.select(
+        F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") + unknown).alias("base_score"), (F.col("score") + unknown).alias("score"))
