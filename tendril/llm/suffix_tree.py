@@ -9,9 +9,9 @@ number: contexts and listed words grow with the corpus, and none is left out for
 The whole tree is in tables: one of unigrams, and for each depth one of n-grams (context and listed word) and one of retained
 contexts. A token's score is a sum over the n-grams that end with it: what the unigram gives, what each listed n-gram adds to
 its suffix (its ``gain``), and what each retained context gives to its suffix (its ``rest``). A text's score is therefore the
-sum over all n-grams in it, each looked up once by its key. N-grams that make up ``hot_share`` of the tokens are broadcast
-(at most ``HOT_MOST`` words and as many longer ones) and added up where the text is read; all others go to the tables by a
-join. What is broadcast decides on the work only, never on the result. Bitmaps of bounded size tell n-grams that are surely not in a
+sum over all n-grams in it, each looked up once by its key. The most frequent n-grams
+are broadcast (at most ``HOT_MOST`` words and as many longer ones) and added up where the text is read; all others go to the
+tables by a join. What is broadcast decides on the work only, never on the result. Bitmaps of bounded size tell n-grams that are surely not in a
 table; those that seem to be in it are counted or joined like any other.
 
 Words are runs without white space, A-Z lower-cased; each text ends with an end token. Null and empty texts have the end
@@ -43,14 +43,14 @@ MIN_COUNT = 3
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
 END = np.uint64(0x5851F42D4C957F2D)
-# what is broadcast; results don't depend on these
-HOT_SHARE = 5e-7
-HOT_MOST = (1 << 21) - 1
+# what is broadcast: n-grams that occur so often, and at most so many words and so many longer ones; results don't depend on these
+HOT_COUNT = 16
+HOT_MOST = 1 << 20
 MOST_BITS = 28
 # keys: numbers of broadcast words have 21 bits, those of n-grams of up to three of them 63; the others are hashes with the top bit
 WORD_BITS = 21
 TOP = np.uint64(1 << 63)
-COUNTED_AT_ONCE = 1 << 20
+COUNTED_AT_ONCE = 1 << 21
 
 
 class Lookup:
@@ -74,11 +74,15 @@ class Lookup:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Position of each key, or -1."""
-        out = np.full(len(keys), -1, np.int64)
+        out, at = np.full(len(keys), -1, np.int64), np.arange(len(keys))
         for level, (size, table) in enumerate(self.tables):
             got = table[self._slot(keys, level, int(size))]
-            ok = (got >= 0) & (self.keys[got] == keys)
-            out[ok] = got[ok]
+            met = np.flatnonzero(got >= 0)  # a key whose slot is empty is in no later table either
+            same = self.keys[got[met]] == keys[met]
+            out[at[met[same]]] = got[met[same]]
+            at, keys = at[met[~same]], keys[met[~same]]
+            if not len(keys):
+                break
         return out
 
 
@@ -164,8 +168,15 @@ def _add_level(tree: Tree, level: Level, context_counts: np.ndarray, entry: np.n
     tree.levels.append(level)
 
 
+_held: dict = {}
+
+
 def _loaded(model):
-    return pickle.loads(zlib.decompress(model.value))
+    """What was broadcast; tasks that a worker runs one after the other unpack it once."""
+    if model not in _held:
+        _held.clear()
+        _held[model] = pickle.loads(zlib.decompress(model.value))
+    return _held[model]
 
 
 def _sent(df: DataFrame, value):
@@ -184,6 +195,9 @@ def _extended(context: pd.Series, word: pd.Series) -> pd.Series:
     return pd.Series(extended(context.to_numpy(), word.to_numpy()))
 
 
+_extended = _extended.asNondeterministic()  # else it is also worked out for filters that are pushed below a join
+
+
 @dataclass
 class Bitmap:
     """Tells keys that are surely not in a table. Its size is bounded; when the table outgrows it, it tells fewer."""
@@ -253,34 +267,36 @@ def _key_words(model):
     return run
 
 
-def _counted(keys: np.ndarray, context: np.ndarray, word: np.ndarray) -> pa.RecordBatch:
-    """Distinct n-grams and how often they occur; packed keys give back their context and word."""
-    packed = keys >= 0
-    values, n = np.unique(keys[packed], return_counts=True)
-    _, first, m = np.unique(keys[~packed], return_index=True, return_counts=True)
-    at = np.flatnonzero(~packed)[first]
+def _counted(packed: list[np.ndarray], hashed: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Distinct n-grams and how often they occur. Packed keys give back their context and word; hashed ones come with them."""
+    values, n = np.unique(np.concatenate(packed), return_counts=True)
+    keys, context, word = map(np.concatenate, zip(*hashed, strict=True))
+    _, first, m = np.unique(keys, return_index=True, return_counts=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([values >> WORD_BITS, context[at]])), pa.array(np.concatenate([values & HOT_MOST, word[at]])), pa.array(np.concatenate([n, m]))], ["context", "word", "n"])
+        [pa.array(np.concatenate(x)) for x in ((values >> WORD_BITS, context[first]), (values & ((1 << WORD_BITS) - 1), word[first]), (n, m))], ["context", "word", "n"])
 
 
 def _count_grams(model, depth: int):
     """N-grams of ``depth`` words and one more, where both n-grams within may have been seen often enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, often = _loaded(model)
+        packed, hashed, size = [], [], 0
         for batch in batches:
-            held, size = [], 0
             for w in words(batch.column(0), VISIBLE, FOLD):
                 tokens, bounds = with_ends(w)
                 chains, place = _chains(_codes(vocabulary.find(tokens), tokens), bounds, depth + 1)
                 ok = often.find(chains[depth - 1])
                 at = np.flatnonzero(ok[1:] & ok[:-1] & (place[1:] >= depth)) + 1
-                held.append((chains[depth][at], chains[depth - 1][at - 1], chains[0][at]))
-                size += len(at)
+                keys = chains[depth][at]
+                packed.append(keys[keys >= 0])
+                at = at[keys < 0]
+                hashed.append((chains[depth][at], chains[depth - 1][at - 1], chains[0][at]))
+                size += len(keys)
                 if size > COUNTED_AT_ONCE:
-                    yield _counted(*map(np.concatenate, zip(*held, strict=True)))
-                    held, size = [], 0
-            if held:
-                yield _counted(*map(np.concatenate, zip(*held, strict=True)))
+                    yield _counted(packed, hashed)
+                    packed, hashed, size = [], [], 0
+        if packed:
+            yield _counted(packed, hashed)
     return run
 
 
@@ -314,24 +330,26 @@ def _log_root(n, tokens: int, distinct: int):
     return (F if isinstance(n, Column) else np).log10((n + 0.5) / (tokens + 0.5 * (distinct + 1)))
 
 
-def _cut(n: np.ndarray, least: int, most: int) -> int:
-    """Smallest count from ``least`` on that at most ``most`` of them reach."""
-    return least if len(n) <= most else max(least, int(np.partition(n, len(n) - most - 1)[len(n) - most - 1]) + 1)
+def _cut(table: DataFrame, least: int, most: int = HOT_MOST) -> int:
+    """Smallest n from ``least`` on that at most ``most`` rows reach, by the numbers of rows of each n."""
+    got = table.where(F.col("n") >= least).groupBy("n").count().toArrow()
+    n, rows = got["n"].to_numpy(), got["count"].to_numpy()
+    order = np.argsort(-n)
+    over = np.flatnonzero(np.cumsum(rows[order]) > most)
+    return int(n[order][over[0]]) + 1 if len(over) else least
 
 
-def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE, hot_share: float = HOT_SHARE) -> Model:
+def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, min_count: int = MIN_COUNT, divergence: float = DIVERGENCE, hot_count: int = HOT_COUNT) -> Model:
     read = training.select(F.col(text).alias("text"))
     counts = stored(read.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    least = max(min_count, int(np.ceil(hot_share * tokens)))
-    got = counts.where(F.col("n") >= least).toArrow()  # at most 1 / hot_share rows
+    word_cut = _cut(counts, hot_count)
+    got = counts.where(F.col("n") >= word_cut).toArrow()
     word, n = got["word"].to_numpy(), got["n"].to_numpy()
-    word_cut = _cut(n, least, HOT_MOST)
-    word, n = word[n >= word_cut], n[n >= word_cut]
     order = np.lexsort((word, -n))
     vocabulary, n = Lookup(word[order].view(np.uint64)), n[order]
 
-    unigrams = counts.mapInArrow(_key_words(_sent(counts, vocabulary)), "key long, n long")
+    unigrams = stored(counts.mapInArrow(_key_words(_sent(counts, vocabulary)), "key long, n long"), "words")
     grams = unigrams.where(F.col("n") >= min_count).select("key", "n", F.lit(0).cast("long").alias("suffix"), _log_root(F.col("n"), tokens, distinct).alias("log_p"))
     p, rest_p, rest_q = (F.col("n") - DISCOUNT) / F.col("context_n"), F.greatest(1 - F.col("p_sum"), F.lit(1e-9)), F.greatest(1 - F.col("q_sum"), F.lit(1e-9))
     nodes = []
@@ -343,8 +361,9 @@ def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, m
         found = read.mapInArrow(_count_grams(_sent(read, (vocabulary, often)), depth), "context long, word long, n long").groupBy("context", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
         contexts = grams.select(F.col("key").alias("context"), F.col("n").alias("context_n"), F.col("suffix").alias("context_suffix"))
         lower = grams.select(F.col("key").alias("suffix"), F.col("log_p").alias("lower"))
+        suffix = F.col("word") if depth == 1 else _extended("context_suffix", "word")
         followers = stored(
-            found.join(contexts, "context").select("context", "word", "n", "context_n", _extended("context_suffix", "word").alias("suffix")).join(lower, "suffix"), "followers")
+            found.join(contexts.hint("shuffle_hash"), "context").select("context", "word", "n", "context_n", suffix.alias("suffix")).join(lower.hint("shuffle_hash"), "suffix"), "followers")
         q = F.pow(F.lit(10.0), "lower")
         sums = followers.groupBy("context").agg(F.sum(p).alias("p_sum"), F.sum(q).alias("q_sum"), F.sum(p * F.ln(p / q)).alias("diverges"), F.max("context_n").alias("n"))
         retained = stored(sums.where(F.col("diverges") + rest_p * F.ln(rest_p / rest_q) >= divergence).select("context", "n", F.log10(rest_p / rest_q).alias("rest")), "contexts")
@@ -355,25 +374,23 @@ def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, m
         nodes += [retained.select(F.lit(depth).alias("length"), F.col("context").alias("key"), "n", F.col("rest").alias("gain")),
                   grams.where(F.col("gain").isNotNull()).select(F.lit(depth + 1).alias("length"), "key", "n", "gain")]
 
-    return _model(unigrams, nodes, vocabulary, n, word_cut, least, tokens, distinct)
+    return _model(unigrams, nodes, vocabulary, n, word_cut, hot_count, tokens, distinct)
 
 
-def _model(unigrams: DataFrame, nodes: list[DataFrame], vocabulary: Lookup, n: np.ndarray, word_cut: int, least: int, tokens: int, distinct: int) -> Model:
+def _model(unigrams: DataFrame, nodes: list[DataFrame], vocabulary: Lookup, n: np.ndarray, word_cut: int, hot_count: int, tokens: int, distinct: int) -> Model:
     """Parts what is broadcast from what is joined."""
     words_ = unigrams.where(F.col("n") < word_cut).select("key", "n", F.lit(0.0).alias("gain"))
     hot = Hot(vocabulary, _log_root(n.astype(np.float64), tokens, distinct), np.zeros(len(n)), Lookup(np.zeros(0, np.uint64)), np.zeros(0), None, len(nodes) // 2)
     if not nodes:
         return Model(hot, words_, tokens, distinct)
     every = reduce(DataFrame.unionByName, nodes)
-    got = every.where(F.col("n") >= least).select("length", "key", "n", "gain").toArrow()  # at most 2 / hot_share rows a depth
-    length, key, m, gain = (got[c].to_numpy() for c in ("length", "key", "n", "gain"))
-    own = (length == 1) & (m >= word_cut)
-    hot.rest[key[own] - 1] = gain[own]
-    cut = _cut(m[length > 1], least, HOT_MOST)
-    longer = (length > 1) & (m >= cut)
-    keys, at = np.unique(key[longer], return_inverse=True)
-    hot.grams, hot.gain = Lookup(keys.view(np.uint64)), np.bincount(at, gain[longer], len(keys))
-    others = every.where(F.col("n") < F.when(F.col("length") == 1, word_cut).otherwise(cut))
+    cut = F.when(F.col("length") == 1, word_cut).otherwise(_cut(every.where("length > 1"), hot_count))
+    got = every.where(F.col("n") >= cut).select("length", "key", "gain").toArrow()
+    length, key, gain = (got[c].to_numpy() for c in ("length", "key", "gain"))
+    hot.rest[key[length == 1] - 1] = gain[length == 1]
+    keys, at = np.unique(key[length > 1], return_inverse=True)
+    hot.grams, hot.gain = Lookup(keys.view(np.uint64)), np.bincount(at, gain[length > 1], len(keys))
+    others = every.where(F.col("n") < cut)
     hot.others = _bitmap(others.where("length > 1").select("key"))
     return Model(hot, words_.unionByName(others.select("key", F.lit(None).cast("long").alias("n"), "gain")), tokens, distinct)
 
@@ -425,12 +442,13 @@ def score_report(docs: DataFrame, key: str = "doc_id", text: str = "text", held:
     scored = read.mapInArrow(_score(_sent(read, model.hot), 2), fields)
 
     nodes = model.nodes.select(F.col("key").alias("node"), "n", "gain")
-    root = model.log_root(F.col("n"))
-    joined = scored.join(nodes, (scored["key"] == nodes["node"]) & scored["text"].isNull(), "left").select(
-        "row", "text.*", F.col("n").isNotNull().cast("long").alias("n_rare"), F.coalesce(root, F.lit(0.0)).alias("rare_base"), (F.coalesce(root, F.lit(0.0)) + F.coalesce("gain", F.lit(0.0))).alias("rare_score"))
+    # a text's row has sums so far, that of an n-gram what the node gives; a word that no training text has meets none
+    base, known = F.coalesce("text.base", model.log_root(F.col("n")), F.lit(0.0)), F.coalesce("text.n_frequent", F.col("n").isNotNull().cast("long"))
+    joined = scored.join(nodes.hint("shuffle_hash"), (scored["key"] == nodes["node"]) & scored["text"].isNull(), "left").select(
+        "row", "text.key", "text.held_out", "text.n_tokens", known.alias("n_known"), base.alias("base"), F.coalesce("text.score", base + F.coalesce("gain", F.lit(0.0))).alias("score"))
     found = joined.groupBy("row").agg(
-        F.first("key", ignorenulls=True).alias("key"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), (F.sum("n_frequent") + F.sum("n_rare")).alias("n_known"),
-        (F.sum("rare_base") + F.sum("base")).alias("base"), (F.sum("rare_score") + F.sum("score")).alias("score"))
-    unknown = (F.col("n_tokens") - F.col("n_known")) * _log_root(F.lit(0), model.tokens, model.distinct)
+        F.first("key", ignorenulls=True).alias("key"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"),
+        F.sum("score").alias("score"))
+    unknown = (F.col("n_tokens") - F.col("n_known")) * model.log_root(F.lit(0))
     return found.select(
         F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("base") + unknown).alias("base_score"), (F.col("score") + unknown).alias("score"))

@@ -57,7 +57,7 @@ def corpus():
     return [*rows, (None, None), (None, "rare1 phrase1"), (7, ""), (8, "unseen words\x0bonly"), (9, "é É 日本 " * 50), *rows[:20]]
 
 
-@pytest.mark.parametrize(("options", "depth"), [({}, 2), ({"hot_share": 2.0}, 2), ({"hot_share": 0.002}, 2), ({"hot_share": 0.01, "max_depth": 3}, 3)])
+@pytest.mark.parametrize(("options", "depth"), [({}, 2), ({"hot_count": 1 << 40}, 2), ({"hot_count": 1}, 2), ({"hot_count": 40, "max_depth": 3}, 3)])
 def test_scores_equal_a_tree_of_all_ngrams(spark, options, depth):
     rows = corpus()
     wanted, states = plain(rows, depth)
@@ -92,6 +92,11 @@ def test_the_bitmap_knows_all_keys(spark):
     for bits in (28, 15):
         bitmap = suffix_tree._bitmap(table, bits)
         assert bitmap.find(keys).all()
-    others = np.random.default_rng(5).integers(-(1 << 63), (1 << 63) - 1, 5000)
-    assert suffix_tree._bitmap(table).find(others).mean() < 0.1
+    other = np.random.default_rng(5).integers(-(1 << 63), (1 << 63) - 1, 5000)
+    assert suffix_tree._bitmap(table).find(other).mean() < 0.1
     assert suffix_tree._bitmap(table.limit(0)) is None
+
+
+def test_no_more_than_a_bound_is_broadcast(spark):
+    table = spark.createDataFrame([(n,) for n in (1, 2, 2, 5, 5, 5, 9)], "n long")
+    assert [suffix_tree._cut(table, 1, most) for most in (0, 1, 3, 4, 6, 7)] == [10, 6, 6, 3, 2, 1]
