@@ -51,6 +51,7 @@ MOST_BITS = 28
 WORD_BITS = 21
 TOP = np.uint64(1 << 63)
 COUNTED_AT_ONCE = 1 << 21
+ROWS_AT_ONCE = 1 << 16
 
 
 class Lookup:
@@ -172,15 +173,18 @@ _held: dict = {}
 
 
 def _loaded(model):
-    """What was broadcast; tasks that a worker runs one after the other unpack it once."""
+    """What was broadcast; tasks that a worker runs one after the other unpack it once, each array straight from its own bytes."""
     if model not in _held:
         _held.clear()
-        _held[model] = pickle.loads(zlib.decompress(model.value))
+        packed, arrays = model.value
+        _held[model] = pickle.loads(packed, buffers=map(zlib.decompress, arrays))
     return _held[model]
 
 
 def _sent(df: DataFrame, value):
-    return df.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(value), 1))
+    arrays: list[pickle.PickleBuffer] = []
+    packed = pickle.dumps(value, protocol=5, buffer_callback=arrays.append)
+    return df.sparkSession.sparkContext.broadcast((packed, [zlib.compress(a.raw(), 1) for a in arrays]))
 
 
 def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -249,12 +253,25 @@ def _chains(codes: np.ndarray, bounds: np.ndarray, length: int) -> tuple[list[np
     return chains, np.arange(len(codes)) - np.repeat(bounds[:-1], np.diff(bounds))
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The executor holds a batch whole, outside its heap; so it gets a large one in pieces."""
+    return (batch.slice(at, ROWS_AT_ONCE) for at in range(0, batch.num_rows, ROWS_AT_ONCE))
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(seen: list[np.ndarray]) -> pa.RecordBatch:
+        values, n = np.unique(np.concatenate(seen), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["word", "n"])
+    seen, size = [], 0
     for batch in batches:
-        seen = [with_ends(w)[0] for w in words(batch.column(0), VISIBLE, FOLD)]
-        if seen:
-            values, n = np.unique(np.concatenate(seen), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n)], ["word", "n"])
+        for w in words(batch.column(0), VISIBLE, FOLD):
+            seen.append(with_ends(w)[0])
+            size += len(seen[-1])
+            if size > COUNTED_AT_ONCE:
+                yield from _pieces(counted(seen))
+                seen, size = [], 0
+    if seen:
+        yield from _pieces(counted(seen))
 
 
 def _key_words(model):
@@ -293,13 +310,19 @@ def _count_grams(model, depth: int):
                 hashed.append((chains[depth][at], chains[depth - 1][at - 1], chains[0][at]))
                 size += len(keys)
                 if size > COUNTED_AT_ONCE:
-                    yield _counted(packed, hashed)
+                    yield from _pieces(_counted(packed, hashed))
                     packed, hashed, size = [], [], 0
         if packed:
-            yield _counted(packed, hashed)
+            yield from _pieces(_counted(packed, hashed))
     return run
 
 
+def _gram_counts(read: DataFrame, known: tuple[Lookup, Bitmap], depth: int) -> DataFrame:
+    # blocks come counted: to add them up before the shuffle too takes out few rows, and a hash table as large as the task
+    blocks = read.mapInArrow(_count_grams(_sent(read, known), depth), "context long, word long, n long").repartition("context", "word")
+    return blocks.groupBy("context", "word").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class Hot:
     """What is broadcast for scoring: of words what the root and they as contexts give, of longer n-grams their gain."""
@@ -358,7 +381,7 @@ def learn(training: DataFrame, text: str = "text", max_depth: int = MAX_DEPTH, m
         if often is None:
             break
         # (context, word) with the context's count and what the suffixes of both say of the word
-        found = read.mapInArrow(_count_grams(_sent(read, (vocabulary, often)), depth), "context long, word long, n long").groupBy("context", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        found = _gram_counts(read, (vocabulary, often), depth).where(F.col("n") >= min_count)
         contexts = grams.select(F.col("key").alias("context"), F.col("n").alias("context_n"), F.col("suffix").alias("context_suffix"))
         lower = grams.select(F.col("key").alias("suffix"), F.col("log_p").alias("lower"))
         suffix = F.col("word") if depth == 1 else _extended("context_suffix", "word")

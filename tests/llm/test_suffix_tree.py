@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tendril.llm import suffix_tree
@@ -100,3 +101,21 @@ def test_the_bitmap_knows_all_keys(spark):
 def test_no_more_than_a_bound_is_broadcast(spark):
     table = spark.createDataFrame([(n,) for n in (1, 2, 2, 5, 5, 5, 9)], "n long")
     assert [suffix_tree._cut(table, 1, most) for most in (0, 1, 3, 4, 6, 7)] == [10, 6, 6, 3, 2, 1]
+
+
+def test_counting_holds_neither_a_large_batch_nor_a_table_before_the_shuffle(spark):
+    rows = 3 * suffix_tree.ROWS_AT_ONCE
+    texts = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{i}" for i in range(k, rows, 100)) for k in range(100)] * 2)], ["text"])
+    got = list(suffix_tree._count_words(iter([texts])))
+    assert max(b.num_rows for b in got) <= suffix_tree.ROWS_AT_ONCE
+    words = pa.Table.from_batches(got)
+    assert len(set(words["word"].to_pylist())) == words.num_rows == rows + 1
+    assert Counter(words["n"].to_pylist()) == {2: rows, 200: 1}
+
+    read = spark.createDataFrame([("a b a b",), ("a b",)], "text string")
+    tokens = [suffix_tree.with_ends(w)[0] for w in suffix_tree.words(pa.array(["a b"]), suffix_tree.VISIBLE, suffix_tree.FOLD)][0]
+    codes = spark.createDataFrame([(k,) for k in (1, 2, 3)], "key long")
+    counted = suffix_tree._gram_counts(read, (suffix_tree.Lookup(tokens), suffix_tree._bitmap(codes)), 1)
+    assert sorted(map(tuple, counted.collect())) == [(1, 2, 3), (2, 1, 1), (2, 3, 2)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "Aggregate" not in plan[plan.rindex("Exchange hashpartitioning"):]
