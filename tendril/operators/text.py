@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import strip_accents
+from .grams import gram_weights, text_blocks
 from .ordered import col, settle
 
 
@@ -31,10 +32,13 @@ def _grams(words: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
+def _kept_words(text: str, stop_words: list[str]) -> Column:
+    return F.filter(word_tokens(col(text)), lambda w: ~w.isin(stop_words)) if stop_words else word_tokens(col(text))
+
+
 def terms(df: DataFrame, key: str, text: str, stop_words: list[str], longest: int = 3) -> DataFrame:
     """(key, term): n-grams up to ``longest`` words over each text's words after stop-word removal."""
-    words = F.filter(word_tokens(col(text)), lambda w: ~w.isin(stop_words)) if stop_words else word_tokens(col(text))
-    tokens = df.select(col(key), words.alias("w"))
+    tokens = df.select(col(key), _kept_words(text, stop_words).alias("w"))
     grams = [F.col("w")] + [_grams(F.col("w"), n) for n in range(2, longest + 1)]
     return tokens.select(key, F.explode(F.concat(*grams)).alias("term"))
 
@@ -46,15 +50,13 @@ def document_frequencies(term_counts: DataFrame, min_df: int) -> DataFrame:
 def tf_idf(df: DataFrame, key: str, text: str, stop_words: list[str] = (), min_df: int = 20, longest: int = 3) -> DataFrame:
     """(key, term, weight): (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per text.
 
-    A frequent term occurs in most texts; it has one frequency row, so adaptive execution can split its side of the join.
+    The same as ``terms`` joined to ``document_frequencies``, but terms are counted and weighed in blocks of texts: a row per term and text, shuffled and
+    stored, takes many times the disk of the texts.
     """
-    counts = terms(df, key, text, list(stop_words), longest).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    counts = settle(counts, "terms")  # read for frequencies and for weights; texts are cut into terms once
     n = df.count()
-    weights = document_frequencies(counts, min_df).select("term", (F.log((1 + n) / (1 + col("df"))) + 1).alias("idf"))
-    raw = settle(counts.join(weights, "term").select(key, "term", ((1 + F.log("tf")) * col("idf")).alias("_w")), "weights")
-    norms = raw.groupBy(key).agg(F.sqrt(F.sum(col("_w") * col("_w"))).alias("_norm"))
-    return raw.join(norms, key).select(key, "term", (col("_w") / col("_norm")).alias("weight"))
+    words = F.array_join(_kept_words(text, list(stop_words)), " ")
+    blocks = settle(text_blocks(df.select(col(key), words.alias("_text")), key, "_text", n), "blocks")  # texts are cut into words once
+    return gram_weights(blocks, key, n, min_df, max(1, longest))
 
 
 def vocabulary(features: DataFrame) -> DataFrame:
