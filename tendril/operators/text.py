@@ -65,7 +65,5 @@ def vocabulary(features: DataFrame) -> DataFrame:
 
 def shape(features: DataFrame, key: str) -> DataFrame:
     """Number of texts with a feature, distinct terms and non-zero weights."""
-    per_term = features.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    texts = features.select(key).distinct().agg(F.count(F.lit(1)).alias("n_texts"))
-    totals = per_term.agg(F.count(F.lit(1)).alias("n_terms"), F.sum("n").alias("n_weights"))
-    return texts.join(F.broadcast(totals))  # two one-row tables
+    both = (F.count_distinct(col(key)).alias("n_texts"), F.count_distinct("term").alias("n_terms"))
+    return features.agg(*both, F.sum(F.lit(1)).alias("n_weights"))  # one pass over the features

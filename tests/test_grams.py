@@ -60,3 +60,13 @@ def test_terms_take_less_disk_than_their_texts(spark):
     out = tx.tf_idf(spark.createDataFrame(rows, "k int, text string"), "k", "text", min_df=2)
     assert out.count() > 100_000
     assert sum(size for f, size in stored().items() if f not in before) < sum(len(t or "") for _, t in rows)
+
+
+def test_shape_makes_the_features_once(spark):
+    rows = texts(6, 60)
+    features = tx.tf_idf(spark.createDataFrame(rows, "k int, text string"), "k", "text", min_df=3)
+    out, want = tx.shape(features, "k"), plain(rows, 3, 3)
+    assert out.dtypes == [("n_texts", "bigint"), ("n_terms", "bigint"), ("n_weights", "bigint")]
+    assert out.first() == (len({k for k, _ in want}), len({t for _, t in want}), len(want))
+    made = out._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count("FlatMapGroupsInArrow") == 1
