@@ -9,6 +9,8 @@ import pytest
 
 from tendril.operators import grams
 from tendril.operators import text as tx
+from tendril.plans import load_all
+from tendril.plans.registry import QUERIES
 from tendril.session import scratch_root
 
 
@@ -70,3 +72,16 @@ def test_shape_makes_the_features_once(spark):
     assert out.first() == (len({k for k, _ in want}), len({t for _, t in want}), len(want))
     made = out._jdf.queryExecution().optimizedPlan().toString()
     assert made.count("FlatMapGroupsInArrow") == 1
+
+
+def test_vocabulary_query_is_whole_and_takes_less_disk_than_its_texts(spark, tmp_path):
+    load_all()
+    english = [(k, t) for k, t in texts(8, 260, 300, 500) if k is not None]
+    docs = [(str(k), t, "en") for k, t in english] + [(f"x{k}", t, "de") for k, t in english[:50]]
+    spark.createDataFrame(docs, "doc_id string, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    stored = lambda: {f: f.stat().st_size for f in Path(scratch_root(spark).removeprefix("file:")).rglob("*.parquet")}
+    before = stored()
+    found = [r.term for r in QUERIES["a75_vocabulary"](spark, str(tmp_path)).collect()]
+    assert len(found) == len(set(found)) and set(found) == {t for _, t in plain(english, 20, 3)}
+    assert any(t.count(" ") == 2 for t in found)
+    assert sum(size for f, size in stored().items() if f not in before) < sum(len(t or "") for _, t in english)
